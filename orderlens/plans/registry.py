@@ -10,15 +10,22 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.ml.classification import GBTClassifier, OneVsRest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators import aggregate as A
 from orderlens.operators import clean as C
+from orderlens.operators import metrics as MT
+from orderlens.operators import models as MO
 from orderlens.operators import pareto as P
+from orderlens.operators import prep as PR
+from orderlens.operators import split as SP
 from orderlens.plans import basetable as B
 from orderlens.plans import features as FE
 from orderlens.plans import insights as I
+from orderlens.plans import modeling as ML
 from orderlens.plans import oracle as O
 from orderlens.sources import csv as CSV
 from orderlens.sources import views as V
@@ -421,3 +428,357 @@ def q_predicted_sentiment_distribution(spark, sf_dir):
     "GROUP BY prediction", "v_multi"), ROUND, ["share"])
 def q_prediction_distribution(spark, sf_dir):
     return I.prediction_distribution(V.multi(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- splits and set operations (H*, G*)
+
+_TS_ORDER = "ORDER BY order_purchase_timestamp ASC NULLS LAST, order_id"
+_RANKED = (f"SELECT *, row_number() OVER ({_TS_ORDER}) AS rn, "
+           "floor(CAST(count(*) OVER () AS DOUBLE) * CAST(0.7 AS DOUBLE)) AS k FROM v_orders")
+
+
+@register("split_time_prefix", O.with_views(f"SELECT * EXCLUDE (rn, k) FROM ({_RANKED}) r WHERE rn <= k",
+                                            "v_orders"))
+def q_split_time_prefix(spark, sf_dir):
+    """First 70 % of orders in (purchase time, id) order, as a pushed-down predicate."""
+    first, _ = SP.split_time_prefix(V.orders(spark, sf_dir), "order_purchase_timestamp", "order_id")
+    return first
+
+
+@register("split_complement", O.with_views(f"SELECT * EXCLUDE (rn, k) FROM ({_RANKED}) r WHERE rn > k",
+                                           "v_orders"))
+def q_split_complement(spark, sf_dir):
+    """Orders not in the time prefix: left anti join on the id."""
+    orders = V.orders(spark, sf_dir)
+    first, _ = SP.split_time_prefix(orders, "order_purchase_timestamp", "order_id")
+    return SP.complement(orders, first, "order_id")
+
+
+_STRATA = {1: 0.7, 2: 0.7, 3: 0.7, 4: 0.7, 5: 0.7}
+
+
+@register("stratified_sample", O.with_views(
+    "SELECT * FROM v_multi WHERE ('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8))::BIGINT "
+    "< CASE label " + " ".join(f"WHEN {k} THEN CAST({v} AS DOUBLE)" for k, v in _STRATA.items())
+    + " END * 4294967296", "v_multi"))
+def q_stratified_sample(spark, sf_dir):
+    """70 % of every label stratum by id hash (reproducible on any layout)."""
+    return SP.stratified_sample(V.multi(spark, sf_dir), "id", "label", _STRATA)
+
+
+_CUT = "1995-06-17"
+
+
+def _flags(spark, sf_dir, cols, early):
+    li = V.table(spark, sf_dir, "lineitem", [*cols, "l_shipdate"])
+    if early:
+        li = li.where(F.col("l_shipdate") < F.lit(_CUT).cast("timestamp_ntz"))
+    return li.select(*cols)
+
+
+@register("except_all", f"SELECT l_returnflag, l_linestatus FROM lineitem EXCEPT ALL SELECT l_returnflag, "
+          f"l_linestatus FROM lineitem WHERE l_shipdate < TIMESTAMP '{_CUT}'")
+def q_except_all(spark, sf_dir):
+    """Multiset difference of line flags: all lines minus lines shipped before the cut."""
+    cols = ["l_returnflag", "l_linestatus"]
+    return SP.except_all(_flags(spark, sf_dir, cols, False), _flags(spark, sf_dir, cols, True))
+
+
+@register("except_distinct", f"SELECT l_partkey, l_returnflag FROM lineitem EXCEPT SELECT l_partkey, "
+          f"l_returnflag FROM lineitem WHERE l_shipdate < TIMESTAMP '{_CUT}'")
+def q_except_distinct(spark, sf_dir):
+    cols = ["l_partkey", "l_returnflag"]
+    return SP.except_distinct(_flags(spark, sf_dir, cols, False), _flags(spark, sf_dir, cols, True))
+
+
+# ---------------------------------------------------------------- metrics (K*, D15, D16)
+
+METRIC_DIGITS = 9
+_ROWS = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+
+def _score_cum_sql(split: bool) -> list[str]:
+    part = "PARTITION BY split " if split else ""
+    key = "split, " if split else ""
+    return [
+        f"g AS (SELECT {key}score, count(CASE WHEN label = 1 THEN 1 END) AS pos, "
+        f"count(CASE WHEN label = 0 THEN 1 END) AS neg FROM v_scored GROUP BY {key}score)",
+        f"c AS (SELECT *, sum(pos) OVER ({part}ORDER BY score DESC {_ROWS}) AS cum_pos, "
+        f"sum(neg) OVER ({part}ORDER BY score DESC {_ROWS}) AS cum_neg FROM g)",
+        f"t AS (SELECT {key}sum(pos) AS P, sum(neg) AS N FROM g {'GROUP BY split' if split else ''})",
+    ]
+
+
+def _scored(spark, sf_dir):
+    return V.scored(spark, sf_dir)
+
+
+@register("auc_roc", O.with_views(
+    "SELECT CAST(sum(CAST(neg AS HUGEINT) * (2 * cum_pos - pos)) AS DOUBLE) / (CAST(2.0 AS DOUBLE) * "
+    "CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc_roc FROM c", "v_scored",
+    extra=_score_cum_sql(False)), METRIC_DIGITS, ["auc_roc"])
+def q_auc_roc(spark, sf_dir):
+    """Exact ROC AUC (ties by trapezoid) over all scored orders."""
+    return MT.auc_roc(_scored(spark, sf_dir))
+
+
+@register("auc_pr", O.with_views(
+    "SELECT sum(CAST(pos AS DOUBLE) * (prec + prev) / CAST(2.0 AS DOUBLE)) / CAST(sum(pos) AS DOUBLE) AS auc_pr "
+    "FROM (SELECT pos, CAST(cum_pos AS DOUBLE) / CAST(cum_pos + cum_neg AS DOUBLE) AS prec, "
+    "CASE WHEN cum_pos + cum_neg - pos - neg = 0 THEN CAST(cum_pos AS DOUBLE) / CAST(cum_pos + cum_neg AS DOUBLE) "
+    "ELSE CAST(cum_pos - pos AS DOUBLE) / CAST(cum_pos + cum_neg - pos - neg AS DOUBLE) END AS prev FROM c) x",
+    "v_scored", extra=_score_cum_sql(False)), METRIC_DIGITS, ["auc_pr"])
+def q_auc_pr(spark, sf_dir):
+    return MT.auc_pr(_scored(spark, sf_dir))
+
+
+@register("roc_points", O.with_views(
+    "SELECT c.split, c.score AS threshold, CAST(cum_neg AS DOUBLE) / CAST(N AS DOUBLE) AS fpr, "
+    "CAST(cum_pos AS DOUBLE) / CAST(P AS DOUBLE) AS tpr FROM c JOIN t ON c.split = t.split", "v_scored",
+    extra=_score_cum_sql(True)), METRIC_DIGITS, ["threshold", "fpr", "tpr"])
+def q_roc_points(spark, sf_dir):
+    """ROC points per split (train / validate), one per distinct score."""
+    return MT.roc_points(_scored(spark, sf_dir), split_col="split")
+
+
+@register("lift_points", O.with_views(
+    "SELECT split, CAST(k AS INTEGER) AS point, CAST(cum_pos + cum_neg AS DOUBLE) / CAST(P + N AS DOUBLE) AS population, "
+    "(CAST(cum_pos AS DOUBLE) / CAST(P AS DOUBLE)) / (CAST(cum_pos + cum_neg AS DOUBLE) / CAST(P + N AS DOUBLE)) AS lift "
+    "FROM (SELECT c.*, t.P, t.N, unnest(generate_series(CAST((10 * (cum_pos - pos)) // P + 1 AS BIGINT), CAST((10 * cum_pos) // P AS BIGINT))) AS k "
+    "FROM c JOIN t ON c.split = t.split WHERE (10 * (cum_pos - pos)) // P + 1 <= (10 * cum_pos) // P) x",
+    "v_scored", extra=_score_cum_sql(True)), METRIC_DIGITS, ["population", "lift"])
+def q_lift_points(spark, sf_dir):
+    """Cumulative lift at each 10 % of positives, per split (two curves)."""
+    return MT.lift_points(_scored(spark, sf_dir), split_col="split")
+
+
+@register("accuracy", O.with_views(
+    "SELECT avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS accuracy FROM v_multi", "v_multi"),
+    METRIC_DIGITS, ["accuracy"])
+def q_accuracy(spark, sf_dir):
+    return MT.accuracy(V.multi(spark, sf_dir))
+
+
+@register("f1_weighted", O.with_views(
+    "SELECT sum(support * CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END) / sum(support) AS f1_weighted "
+    "FROM (SELECT support, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS p, "
+    "CASE WHEN support > 0 THEN tp / support ELSE 0 END AS r FROM cls) m", "v_multi",
+    extra=["pairs AS (SELECT label, prediction, count(*) AS n FROM v_multi GROUP BY label, prediction)",
+           "cls AS (SELECT c, sum(support) AS support, sum(tp) AS tp, sum(predicted) AS predicted FROM ("
+           "SELECT CAST(label AS DOUBLE) AS c, n AS support, CASE WHEN label = prediction THEN n ELSE 0 END AS tp, "
+           "0 AS predicted FROM pairs UNION ALL SELECT CAST(prediction AS DOUBLE), 0, 0, n FROM pairs) u GROUP BY c)"]),
+    METRIC_DIGITS, ["f1_weighted"])
+def q_f1_weighted(spark, sf_dir):
+    return MT.f1_weighted(V.multi(spark, sf_dir))
+
+
+_CLASSES = [1, 2, 3, 4, 5]
+
+
+@register("confusion_matrix", O.with_views(
+    "SELECT label, " + ", ".join(f"count(CASE WHEN prediction = {c} THEN 1 END) AS prediction_{c}" for c in _CLASSES)
+    + " FROM v_multi GROUP BY label", "v_multi"))
+def q_confusion_matrix(spark, sf_dir):
+    return MT.confusion_matrix(V.multi(spark, sf_dir), classes=_CLASSES)
+
+
+CORR_COLS = ["review_score", "delivery_delay_days", "delivery_duration_days", "avg_prod_desc_length",
+             "avg_prod_weight_g", "avg_prod_name_length", "in_top_20", "avg_ship_cost"]
+CORR_IMPUTE = ["in_top_20", "avg_prod_desc_length", "avg_prod_weight_g", "avg_prod_name_length", "avg_ship_cost"]
+_BIGINT_COLS = {"in_top_20", "not_in_top_20"}
+
+
+def _median_ctes(cols, src="bt_train"):
+    return [f"med AS (SELECT {', '.join(f'median({c}) AS m_{c}' for c in cols)} FROM {src})"]
+
+
+def _impute_expr(c):
+    m = f"CAST(trunc(med.m_{c}) AS BIGINT)" if c in _BIGINT_COLS else f"med.m_{c}"
+    return f"coalesce(b.{c}, {m}) AS {c}"
+
+
+def _corr_sql(sentinel: bool) -> str:
+    def src(c):
+        if c in CORR_IMPUTE:
+            return _impute_expr(c)
+        if sentinel and c.startswith("delivery_"):
+            return f"coalesce(b.{c}, 999) AS {c}"
+        return f"b.{c}"
+    pairs = [(a, b) for i, a in enumerate(CORR_COLS) for b in CORR_COLS[i + 1:]]
+    ctes = _median_ctes(CORR_IMPUTE) + [
+        f"imp AS (SELECT {', '.join(src(c) for c in CORR_COLS)} FROM bt_train b, med)",
+        "agg AS (SELECT " + ", ".join(f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS {a}__{b}" for a, b in pairs)
+        + " FROM imp)"]
+    rows = []
+    for a in CORR_COLS:
+        for b in CORR_COLS:
+            r = "CAST(1.0 AS DOUBLE)" if a == b else (f"{a}__{b}" if (a, b) in pairs else f"{b}__{a}")
+            rows.append(f"SELECT '{a}' AS row, '{b}' AS col, {r} AS r FROM agg")
+    return O.on_basetable(" UNION ALL ".join(rows), extra=ctes)
+
+
+@register("corr_matrix", _corr_sql(False), METRIC_DIGITS, ["r"])
+def q_corr_matrix(spark, sf_dir):
+    """Pearson matrix of 8 basetable columns, 5 median-imputed; NULL durations drop
+    out pairwise."""
+    return MT.corr_matrix(_bt(spark, sf_dir), CORR_COLS, impute=CORR_IMPUTE)
+
+
+@register("corr_matrix_sentinel", _corr_sql(True), METRIC_DIGITS, ["r"])
+def q_corr_matrix_sentinel(spark, sf_dir):
+    """As the reference: missing durations read as 999."""
+    return MT.corr_matrix(_bt(spark, sf_dir), CORR_COLS, impute=CORR_IMPUTE,
+                          sentinel={"delivery_delay_days": I.MISSING_DAYS, "delivery_duration_days": I.MISSING_DAYS})
+
+
+# ---------------------------------------------------------------- feature preparation
+
+IMPUTE_COLS = ["in_top_20", "not_in_top_20", "avg_price", "avg_ship_cost", "avg_prod_name_length",
+               "avg_prod_desc_length", "avg_photos_qty", "avg_prod_weight_g", "avg_prod_volume_cm3",
+               "avg_ship_cost_per_g"]
+
+
+@register("median_impute", O.on_basetable(
+    "SELECT b.order_id, " + ", ".join(_impute_expr(c) for c in IMPUTE_COLS) + " FROM bt_train b, med",
+    extra=_median_ctes(IMPUTE_COLS)), ROUND, [c for c in IMPUTE_COLS if c not in _BIGINT_COLS])
+def q_median_impute(spark, sf_dir):
+    """Exact-median imputation of the 10 item columns (orders without items)."""
+    return PR.median_impute(_bt(spark, sf_dir).select("order_id", *IMPUTE_COLS), IMPUTE_COLS)
+
+
+_ONEHOT = ["status", "repeat_customer", "payment_methods"]
+
+
+def _onehot_sql() -> str:
+    ctes = [f"lv_{c} AS (SELECT {c} AS level, row_number() OVER (ORDER BY count(*) DESC, {c} ASC) - 1 AS idx, "
+            f"count(*) OVER () AS n FROM bt_train GROUP BY {c})" for c in _ONEHOT]
+    cols = ", ".join(f"CAST(l_{c}.idx AS INTEGER) AS {c}_index, "
+                     f"CAST(CASE WHEN l_{c}.idx < l_{c}.n - 1 THEN l_{c}.idx END AS INTEGER) AS {c}_active"
+                     for c in _ONEHOT)
+    joins = " ".join(f"JOIN lv_{c} l_{c} ON b.{c} = l_{c}.level" for c in _ONEHOT)
+    return O.on_basetable(f"SELECT b.order_id, {cols} FROM bt_train b {joins}", extra=ctes)
+
+
+@register("onehot_encode", _onehot_sql())
+def q_onehot_encode(spark, sf_dir):
+    """Levels by frequency (ties by name), last level dropped: index and hot position."""
+    enc = PR.onehot_encode(_bt(spark, sf_dir).select("order_id", *_ONEHOT), _ONEHOT)
+    out = [F.col("order_id")]
+    for c in _ONEHOT:
+        pos = F.array_position(vector_to_array(F.col(f"{c}_vec")), 1.0)
+        out += [F.col(f"{c}_index").cast("int").alias(f"{c}_index"),
+                F.when(pos > 0, pos - 1).cast("int").alias(f"{c}_active")]
+    return enc.select(*out)
+
+
+SCALE_COLS = ["avg_price", "avg_ship_cost", "avg_prod_weight_g", "delivery_duration_days", "delivery_delay_days"]
+
+
+@register("maxabs_scale", O.on_basetable(
+    "SELECT b.order_id, " + ", ".join(
+        f"CAST(b.{c} AS DOUBLE) / CASE WHEN coalesce(m.{c}, 0) = 0 THEN CAST(1.0 AS DOUBLE) "
+        f"ELSE CAST(m.{c} AS DOUBLE) END AS {c}" for c in SCALE_COLS) + " FROM bt_train b, m",
+    extra=["m AS (SELECT " + ", ".join(f"max(abs({c})) AS {c}" for c in SCALE_COLS) + " FROM bt_train)"]),
+    ROUND, SCALE_COLS)
+def q_maxabs_scale(spark, sf_dir):
+    return PR.maxabs_scale(_bt(spark, sf_dir).select("order_id", *SCALE_COLS), SCALE_COLS)
+
+
+# ---------------------------------------------------------------- models (J5-J12): rows-only checks
+
+
+@register("holdout_features")
+def q_holdout_features(spark, sf_dir):
+    """Holdout orders through the pipeline fitted on the train split only."""
+    p = ML.prepared(spark, sf_dir)
+    return p.holdout.select("order_id", vector_to_array("features").alias("features"))
+
+
+@register("model_leaderboard")
+def q_model_leaderboard(spark, sf_dir):
+    """Six binary classifiers fitted on the first 70 % (time order), PR/ROC on the rest."""
+    return ML.binary_board(ML.prepared(spark, sf_dir))[0]
+
+
+@register("model_select")
+def q_model_select(spark, sf_dir):
+    return MO.model_select(ML.binary_board(ML.prepared(spark, sf_dir))[0], "areaUnderPR")
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    p = ML.prepared(spark, sf_dir)
+    return MO.feature_importance(spark, ML.importance_model(p), p.names)
+
+
+@register("feature_select_topk")
+def q_feature_select_topk(spark, sf_dir):
+    p = ML.prepared(spark, sf_dir)
+    return MO.feature_select_topk(MO.feature_importance(spark, ML.importance_model(p), p.names))
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    """3-fold CV of the GBT over depths 4-12 on the whole binary train split."""
+    p = ML.prepared(spark, sf_dir)
+    return MO.cross_validate(p.train_binary, GBTClassifier(seed=MO.GBT_SEED_FINAL), "maxDepth", MO.CV_DEPTHS)
+
+
+@register("ovr_leaderboard")
+def q_ovr_leaderboard(spark, sf_dir):
+    """Four one-vs-rest classifiers on the 5-class score: weighted F1 and accuracy."""
+    p = ML.prepared(spark, sf_dir)
+    return MO.leaderboard(p.train_multi, p.valid_multi, MO.ovr_estimators(p.n_features), MO.MULTI_METRICS)[0]
+
+
+@register("ovr_predict")
+def q_ovr_predict(spark, sf_dir):
+    """One-vs-rest GBT (depth 10) predictions for the validation orders."""
+    p = ML.prepared(spark, sf_dir)
+    return MO.ovr_predict(p.train_multi, p.valid_multi, ML.final_gbt())
+
+
+@register("score_holdout")
+def q_score_holdout(spark, sf_dir):
+    """Final binary GBT fitted on all reviewed train orders, scored on the holdout."""
+    p = ML.prepared(spark, sf_dir)
+    return MO.score_holdout(p.full_binary, p.holdout, ML.final_gbt())
+
+
+@register("final_scores")
+def q_final_scores(spark, sf_dir):
+    """Binary and multiclass holdout predictions merged per order."""
+    p = ML.prepared(spark, sf_dir)
+    binary = MO.score_holdout(p.full_binary, p.holdout, ML.final_gbt())
+    multi = MO.predictions(OneVsRest(classifier=ML.final_gbt()).fit(p.full_multi), p.holdout, keep_label=False)
+    return MO.score_merge(binary, multi)
+
+
+# ---------------------------------------------------------------- scored-output joins
+
+
+@register("score_merge", O.with_views(
+    "SELECT s.id AS order_id, CAST(s.label AS DOUBLE) AS prediction_binary, m.prediction AS prediction_multiclass "
+    "FROM v_scored s JOIN v_multi m ON s.id = m.id", "v_scored", "v_multi"))
+def q_score_merge(spark, sf_dir):
+    binary = V.scored(spark, sf_dir).select(F.col("id").alias("order_id"),
+                                            F.col("label").cast("double").alias("prediction"))
+    multi = V.multi(spark, sf_dir).select(F.col("id").alias("order_id"), "prediction")
+    return MO.score_merge(binary, multi)
+
+
+@register("prediction_join", O.with_views(
+    "SELECT o.*, m.label, m.prediction FROM v_orders o LEFT JOIN v_multi m ON o.order_id = m.id",
+    "v_orders", "v_multi"))
+def q_prediction_join(spark, sf_dir):
+    return MO.prediction_join(V.orders(spark, sf_dir), V.multi(spark, sf_dir), "order_id", "id")
+
+
+@register("row_max_score", O.with_views(
+    "SELECT id, label, 1 - score AS p_0, score AS p_1, greatest(1 - score, score) AS max_score FROM v_scored",
+    "v_scored"), ROUND, ["p_0", "p_1", "max_score"])
+def q_row_max_score(spark, sf_dir):
+    """Probability pair (1 - score, score) and its row maximum (the reference's lift score)."""
+    s = V.scored(spark, sf_dir).select("id", "label", (F.lit(1) - F.col("score")).alias("p_0"),
+                                       F.col("score").alias("p_1"))
+    return MO.row_max_score(s, ["p_0", "p_1"], "max_score")
