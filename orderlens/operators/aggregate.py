@@ -60,15 +60,14 @@ def group_means(df: DataFrame, by: Sequence[str] | str, spec: dict[str, str], fi
 def value_counts(df: DataFrame, col: str | Column, name: str | None = None, share: bool = False,
                  count_col: str = "count") -> DataFrame:
     """Rows per value (NULL is a value, as in ``groupBy().count()``). With ``share``,
-    adds ``n / total``; the total is a one-row aggregate joined back by broadcast, so no
+    adds ``n / total``; the total is a scalar subquery over the aggregated table, so no
     window gathers the table into one task."""
     c = F.col(col) if isinstance(col, str) else col
     name = name or (col if isinstance(col, str) else None)
     out = df.groupBy(c.alias(name) if name else c).agg(F.count(F.lit(1)).alias(count_col))
     if share:
-        total = out.agg(F.sum(count_col).alias("_total")).withColumn("_g", F.lit(0))
-        out = (out.withColumn("_g", F.lit(0)).join(F.broadcast(total), "_g")
-               .withColumn("share", F.col(count_col) / F.col("_total")).drop("_g", "_total"))
+        total = out.agg(F.sum(count_col)).scalar()  # scalar subquery, computed once
+        out = out.withColumn("share", F.col(count_col) / total)
     return out
 
 

@@ -65,8 +65,8 @@ def _with_totals(c: DataFrame, split_col: str | None) -> DataFrame:
     if g:
         tot = c.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
         return c.join(tot, g)
-    tot = c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).withColumn("_g", F.lit(0))
-    return c.withColumn("_g", F.lit(0)).join(F.broadcast(tot), "_g").drop("_g")
+    tot = c.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
+    return c.withColumns({"P": tot.getField("P"), "N": tot.getField("N")})
 
 
 def roc_points(df: DataFrame, score: str = "score", label: str = "label", split_col: str | None = None) -> DataFrame:
@@ -136,16 +136,15 @@ def impute_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace NULL/NaN in ``cols`` by the column's exact median; the type is kept
     (integral columns take the median truncated, as MLlib's ``Imputer``)."""
     meds = exact_medians(df, cols)
-    wide = meds.groupBy().pivot("column", list(cols)).agg(F.first("median")).withColumn("_g", F.lit(0))
-    wide = wide.select("_g", *[F.col(c).alias(f"_m_{c}") for c in cols])
-    out = df.withColumn("_g", F.lit(0)).join(F.broadcast(wide), "_g")  # one row
+    wide = meds.groupBy().pivot("column", list(cols)).agg(F.first("median"))
+    m = wide.select(F.struct(*cols)).scalar()  # one row: a scalar subquery
     types = dict(df.dtypes)
     exprs = {}
     for c in cols:
         x = F.col(c)
         missing = x.isNull() | (F.isnan(x) if types[c] in ("double", "float") else F.lit(False))
-        exprs[c] = F.when(missing, F.col(f"_m_{c}").cast(types[c])).otherwise(x)
-    return out.withColumns(exprs).drop("_g", *[f"_m_{c}" for c in cols])
+        exprs[c] = F.when(missing, m.getField(c).cast(types[c])).otherwise(x)
+    return df.withColumns(exprs)
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], impute: Sequence[str] = (),
@@ -154,7 +153,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], impute: Sequence[str] = (),
 
     ``impute`` columns get their exact median first (the reference's ``Imputer``);
     ``sentinel`` maps columns whose NULLs are read as a number (the reference's 999).
-    Remaining NULLs drop out pairwise. All 28-of-64 distinct pairs are one aggregate.
+    Remaining NULLs drop out pairwise. The distinct pairs are one grouped aggregate.
     """
     data = df.select(*cols)
     if sentinel:
@@ -162,13 +161,13 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], impute: Sequence[str] = (),
     if impute:
         data = impute_medians(data, list(impute))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    agg = data.agg(*[F.corr(_as_double(a), _as_double(b)).alias(f"{a}__{b}") for a, b in pairs])
-    entries = []
-    for a in cols:
-        for b in cols:
-            if a == b:
-                r = F.lit(1.0)
-            else:
-                r = F.col(f"{a}__{b}") if f"{a}__{b}" in agg.columns else F.col(f"{b}__{a}")
-            entries.append(F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), r.alias("r")))
-    return agg.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    # Long form (pair, x, y) and one narrow ``corr`` per pair group: the partial
+    # aggregate keeps one small buffer per pair and task, and the generated code stays
+    # small (one wide 28-way aggregate compiles past the JIT's method-size limit).
+    long = data.select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), _as_double(a).alias("x"), _as_double(b).alias("y"))
+        for a, b in pairs])).alias("e")).select("e.*")
+    upper = long.groupBy("row", "col").agg(F.corr("x", "y").alias("r"))
+    lower = upper.select(F.col("col").alias("row"), F.col("row").alias("col"), "r")
+    diag = data.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "row string, col string, r double")
+    return upper.unionByName(lower).unionByName(diag)

@@ -8,6 +8,7 @@ importance per feature), bounded by the number of models and features, never by
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any, Sequence
 
 from pyspark.ml.classification import (FMClassifier, GBTClassifier, LinearSVC, LogisticRegression,
@@ -44,14 +45,17 @@ def binary_estimators(n_features: int, seed: int = 7) -> dict[str, Any]:
     }
 
 
+OVR_PARALLELISM = 5  # one concurrent fit per class; results do not depend on it
+
+
 def ovr_estimators(n_features: int, seed: int = 7) -> dict[str, Any]:
     """The four one-vs-rest candidates of the multiclass comparison."""
+    wrap = lambda c: OneVsRest(classifier=c, parallelism=OVR_PARALLELISM)
     return {
-        "MultilayerPerceptronClassifier": OneVsRest(
-            classifier=MultilayerPerceptronClassifier(layers=[n_features, 2], seed=seed)),
-        "GBTClassifier": OneVsRest(classifier=GBTClassifier(seed=GBT_SEED_COMPARE)),
-        "FMClassifier": OneVsRest(classifier=FMClassifier(seed=seed)),
-        "LogisticRegression": OneVsRest(classifier=LogisticRegression()),
+        "MultilayerPerceptronClassifier": wrap(MultilayerPerceptronClassifier(layers=[n_features, 2], seed=seed)),
+        "GBTClassifier": wrap(GBTClassifier(seed=GBT_SEED_COMPARE)),
+        "FMClassifier": wrap(FMClassifier(seed=seed)),
+        "LogisticRegression": wrap(LogisticRegression()),
     }
 
 
@@ -66,16 +70,25 @@ def evaluate(pred: DataFrame, metric: str) -> float:
 
 
 def leaderboard(train: DataFrame, valid: DataFrame, estimators: dict[str, Any],
-                metrics: Sequence[str] = BINARY_METRICS) -> tuple[DataFrame, dict[str, Any]]:
+                metrics: Sequence[str] = BINARY_METRICS, parallelism: int = 3) -> tuple[DataFrame, dict[str, Any]]:
     """Fit every estimator on ``train``, score ``valid``; one row per model with one
-    column per metric. Returns the table and the fitted models."""
+    column per metric. Returns the table and the fitted models.
+
+    Models are fitted concurrently (``parallelism`` driver threads submitting Spark
+    jobs, as ``CrossValidator(parallelism=...)`` does); results do not depend on it.
+    """
     spark = train.sparkSession
-    rows, fitted = [], {}
-    for name, est in estimators.items():
+
+    def fit_one(item):
+        name, est = item
         model = est.fit(train)
         pred = model.transform(valid)
-        fitted[name] = model
-        rows.append((name, *[float(evaluate(pred, m)) for m in metrics]))
+        return name, model, [float(evaluate(pred, m)) for m in metrics]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        done = list(pool.map(fit_one, estimators.items()))
+    fitted = {name: model for name, model, _ in done}
+    rows = [(name, *scores) for name, _, scores in done]
     schema = StructType([StructField("model", StringType())] + [StructField(m, DoubleType()) for m in metrics])
     return spark.createDataFrame(rows, schema), fitted
 
@@ -121,7 +134,7 @@ def predictions(model: Any, df: DataFrame, id_col: str = "order_id", keep_label:
 
 
 def ovr_predict(train: DataFrame, valid: DataFrame, classifier: Any, id_col: str = "order_id") -> DataFrame:
-    return predictions(OneVsRest(classifier=classifier).fit(train), valid, id_col)
+    return predictions(OneVsRest(classifier=classifier, parallelism=OVR_PARALLELISM).fit(train), valid, id_col)
 
 
 def score_holdout(train: DataFrame, holdout: DataFrame, estimator: Any, id_col: str = "order_id") -> DataFrame:

@@ -4,8 +4,8 @@ Fit: count rows per category, order by count descending (ties by name, NULL firs
 keep the categories whose running total is below ``share`` of the grand total. The
 reference does this with an unpartitioned window, a driver ``collect`` of the total and
 a collected Python list shipped back as an ``IN`` literal. Here the running total is a
-distributed prefix sum over the per-category table, the grand total a one-row aggregate
-joined by broadcast, and the list stays a DataFrame.
+distributed prefix sum over the per-category table, the grand total a scalar subquery,
+and the list stays a DataFrame.
 
 Apply: left join of the rows to the fitted categories. The fitted table has at most one
 row per category; no broadcast hint is forced on it, adaptive execution turns the join
@@ -25,21 +25,27 @@ IN_TOP = "in_top_20"
 NOT_IN_TOP = "not_in_top_20"
 
 
+def category_counts(df: DataFrame, category_col: str, count_col: str = "product_id") -> DataFrame:
+    return df.groupBy(category_col).agg(F.count(count_col).alias("present_in"))
+
+
+def _accumulate(counts: DataFrame, category_col: str) -> DataFrame:
+    cum = prefix_sums(counts, [("present_in", False), (category_col, True, False)], ["present_in"])
+    return cum.withColumnRenamed("cum_present_in", "accumulate")
+
+
 def cumulative_counts(df: DataFrame, category_col: str, count_col: str = "product_id") -> DataFrame:
     """``(category, present_in, accumulate)``: non-NULL ``count_col`` per category and the
     running total in descending count order (ties by category, NULL first)."""
-    counts = df.groupBy(category_col).agg(F.count(count_col).alias("present_in"))
-    cum = prefix_sums(counts, [("present_in", False), (category_col, True, False)], ["present_in"])
-    return cum.withColumnRenamed("cum_present_in", "accumulate")
+    return _accumulate(category_counts(df, category_col, count_col), category_col)
 
 
 def pareto_fit(df: DataFrame, category_col: str, share: float = 0.8, count_col: str = "product_id") -> DataFrame:
     """The categories inside the cut: running total ``< share`` x grand total."""
-    cum = cumulative_counts(df, category_col, count_col)
-    total = cum.agg(F.sum("present_in").alias("_total")).withColumn("_g", F.lit(0))
-    return (cum.withColumn("_g", F.lit(0)).join(F.broadcast(total), "_g")
-            .where(F.col("accumulate") < F.col("_total") * F.lit(share))
-            .select(category_col))
+    counts = category_counts(df, category_col, count_col)
+    total = counts.agg(F.sum("present_in")).scalar()  # scalar subquery: the reference's collect()
+    cum = _accumulate(counts, category_col)
+    return cum.where(F.col("accumulate") < total * F.lit(share)).select(category_col)
 
 
 def pareto_apply(df: DataFrame, fitted: DataFrame, category_col: str, out: str | None = None,

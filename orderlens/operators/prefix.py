@@ -7,7 +7,8 @@ single task. Here the ordered key range is cut into buckets at approximate quant
 (a bounded GK sketch per group, ``percentile_approx``); per-bucket totals (a table of
 at most ``buckets`` rows per group) give each bucket's offset, and the running sum
 inside a bucket is an ordinary window partitioned by ``(group, bucket)``. Every step is
-a distributed DataFrame operation; nothing is collected.
+a distributed DataFrame operation; nothing is collected (single-row results such as the
+split points are scalar subqueries, planned once and inlined).
 
 Callers aggregate first (one row per distinct sort key, e.g. per score or per value),
 so a hot key is a single row and buckets hold about ``rows / buckets`` rows each.
@@ -73,30 +74,29 @@ def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
     groups = list(partition_by)
     lead, lead_asc = order_by[0][0], order_by[0][1]
     keyed = df.withColumn("_k", _sort_key(df, lead, lead_asc))
-    if not groups:
-        keyed = keyed.withColumn("_g", F.lit(0))
-    gcols = groups or ["_g"]
 
     probs = [i / nb for i in range(1, nb)]
-    splits = keyed.groupBy(*gcols).agg(F.percentile_approx("_k", probs, accuracy).alias("_splits"))
-    if not groups:  # exactly one row
-        splits = F.broadcast(splits)
-    bucketed = (keyed.join(splits, gcols)
-                .withColumn("_b", F.size(F.filter("_splits", lambda s: s < F.col("_k"))))
+    sketch = F.percentile_approx("_k", probs, accuracy).alias("_splits")
+    if groups:  # one row of split points per group, joined on the group key
+        keyed = keyed.join(keyed.groupBy(*groups).agg(sketch), groups)
+    else:  # one row: a scalar subquery, computed once and inlined (in its own
+        # projection: subqueries may not sit inside the lambda below)
+        keyed = keyed.withColumn("_splits", keyed.agg(sketch).scalar())
+    bucketed = (keyed.withColumn("_b", F.size(F.filter("_splits", lambda s: s < F.col("_k"))))
                 .drop("_splits", "_k"))
 
-    totals = bucketed.groupBy(*gcols, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    before = Window.partitionBy(*gcols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*gcols, "_b", *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}")
-                                            for s in sums])
-    if not groups:  # at most `buckets` rows
+    totals = bucketed.groupBy(*groups, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*groups, "_b", *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}")
+                                             for s in sums])
+    if not groups:  # at most `buckets` rows: a proven bound
         offsets = F.broadcast(offsets)
 
-    running = (Window.partitionBy(*gcols, "_b").orderBy(*_order_exprs(order_by))
+    running = (Window.partitionBy(*groups, "_b").orderBy(*_order_exprs(order_by))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = bucketed.join(offsets, gcols + ["_b"])
+    out = bucketed.join(offsets, [*groups, "_b"])
     out = out.withColumns({f"{prefix}{s}": F.col(f"_o_{s}") + F.sum(s).over(running) for s in sums})
-    return out.drop("_b", *[f"_o_{s}" for s in sums], *([] if groups else ["_g"]))
+    return out.drop("_b", *[f"_o_{s}" for s in sums])
 
 
 def rows_at_ranks(df: DataFrame, order_by: OrderSpec, weight: str, ranks: Column,

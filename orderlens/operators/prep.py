@@ -1,7 +1,7 @@
 """Feature preparation: imputation, one-hot encoding, max-abs scaling
 and the fitted preprocessing pipeline. All fits are distributed aggregates; only the
 fitted parameters (one median / level list / max per column) reach the driver, and for
-the exact forms not even those: they are joined back as one-row tables."""
+the exact forms not even those: they are scalar subqueries inlined into the plan."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, MaxAbsScaler, OneHotEncoder, RFormula, StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,22 +29,31 @@ def onehot_encode(df: DataFrame, cols: Sequence[str], drop_last: bool = True, un
     """``<c>_index`` (levels by frequency, ties by name) and ``<c>_vec`` (one-hot,
     last level dropped by default). ``unseen='keep'`` maps unseen/NULL levels to an
     extra index (and an all-zero vector)."""
-    idx = [f"{c}_index" for c in cols]
-    stages = [StringIndexer(inputCols=list(cols), outputCols=idx, stringOrderType="frequencyDesc",
-                            handleInvalid=unseen),
-              OneHotEncoder(inputCols=idx, outputCols=[f"{c}_vec" for c in cols], dropLast=drop_last,
-                            handleInvalid="keep" if unseen == "keep" else "error")]
-    return Pipeline(stages=stages).fit(df).transform(df)
+    indexer = StringIndexer(inputCols=list(cols), outputCols=[f"{c}_index" for c in cols],
+                            stringOrderType="frequencyDesc", handleInvalid=unseen).fit(df)
+    out = indexer.transform(df)
+    # A single level with the last one dropped is a zero-width vector; MLlib's encoder
+    # refuses such a column, so it gets the empty vector directly.
+    width = {c: len(labels) - (1 if drop_last else 0) + (1 if unseen == "keep" else 0)
+             for c, labels in zip(cols, indexer.labelsArray)}
+    wide = [c for c in cols if width[c] > 0]
+    if wide:
+        out = OneHotEncoder(inputCols=[f"{c}_index" for c in wide], outputCols=[f"{c}_vec" for c in wide],
+                            dropLast=drop_last, handleInvalid="keep" if unseen == "keep" else "error"
+                            ).fit(out).transform(out)
+    for c in cols:
+        if width[c] == 0:
+            out = out.withColumn(f"{c}_vec", array_to_vector(F.array().cast("array<double>")))
+    return out
 
 
 def maxabs_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``x / max|x|`` per column (an all-zero column stays 0, as MLlib's
-    ``MaxAbsScaler``). The maxima are a one-row aggregate joined by broadcast."""
-    m = df.agg(*[F.max(F.abs(F.col(c))).alias(f"_m_{c}") for c in cols]).withColumn("_g", F.lit(0))
-    out = df.withColumn("_g", F.lit(0)).join(F.broadcast(m), "_g")
-    scaled = {c: F.col(c).cast("double") / F.when(F.coalesce(F.col(f"_m_{c}"), F.lit(0)) == 0, F.lit(1.0))
-              .otherwise(F.col(f"_m_{c}").cast("double")) for c in cols}
-    return out.withColumns(scaled).drop("_g", *[f"_m_{c}" for c in cols])
+    ``MaxAbsScaler``). The maxima are one scalar subquery (a one-row aggregate)."""
+    m = df.agg(F.struct(*[F.max(F.abs(F.col(c))).alias(c) for c in cols])).scalar()  # one row
+    scaled = {c: F.col(c).cast("double") / F.when(F.coalesce(m.getField(c), F.lit(0)) == 0, F.lit(1.0))
+              .otherwise(m.getField(c).cast("double")) for c in cols}
+    return df.withColumns(scaled)
 
 
 def preprocessing_pipeline(label: str, numeric: Sequence[str], categorical: Sequence[str],

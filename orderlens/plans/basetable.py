@@ -68,7 +68,9 @@ def basetables(spark: SparkSession, sf_dir: str, sentinel: bool = False) -> tupl
     and applied to both (the reference re-derived them from the holdout)."""
     tr = V.split_tables(spark, sf_dir, holdout=False)
     ho = V.split_tables(spark, sf_dir, holdout=True)
-    fitted = fit_categories(tr["items"], tr["products"])
+    # The fitted category list (one row per category) is written once and read by both
+    # sides instead of being recomputed inside each plan.
+    fitted = materialize(fit_categories(tr["items"], tr["products"]), "pareto-categories")
     train = basetable(tr["orders"], tr["payments"], tr["items"], tr["products"], tr["reviews"],
                       fitted=fitted, sentinel=sentinel)
     hold = basetable(ho["orders"], ho["payments"], ho["items"], ho["products"], None,

@@ -750,7 +750,8 @@ def q_final_scores(spark, sf_dir):
     """Binary and multiclass holdout predictions merged per order."""
     p = ML.prepared(spark, sf_dir)
     binary = MO.score_holdout(p.full_binary, p.holdout, ML.final_gbt())
-    multi = MO.predictions(OneVsRest(classifier=ML.final_gbt()).fit(p.full_multi), p.holdout, keep_label=False)
+    ovr = OneVsRest(classifier=ML.final_gbt(), parallelism=MO.OVR_PARALLELISM)
+    multi = MO.predictions(ovr.fit(p.full_multi), p.holdout, keep_label=False)
     return MO.score_merge(binary, multi)
 
 
