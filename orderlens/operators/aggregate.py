@@ -12,13 +12,22 @@ from typing import Any, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from orderlens import functions as X
 
 
 def multi_flag(df: DataFrame, by: str, id_col: str, out: str, yes: Any = "yes", no: Any = "no") -> DataFrame:
-    """Per ``by`` group: ``yes`` when it holds more than one distinct ``id_col``.
-    One aggregate (``min <> max``), one exchange; returns ``(by, out)``."""
+    """Per ``by`` group: ``yes`` when it holds more than one distinct ``id_col``;
+    returns ``(by, out)``.
+
+    A fixed-width id (number, date, timestamp) is one hash aggregate, ``min <> max``.
+    Text ids would force a sort-based aggregate for ``min``/``max``, so they are first
+    reduced to distinct ``(by, id)`` pairs (hash aggregate), then counted per group.
+    """
+    if isinstance(df.schema[id_col].dataType, (StringType, BinaryType)):
+        pairs = df.select(by, id_col).distinct()
+        return pairs.groupBy(by).agg(X.binary_recode(F.count(id_col) > 1, yes, no).alias(out))
     return df.groupBy(by).agg(X.binary_recode(X.more_than_one(id_col), yes, no).alias(out))
 
 

@@ -59,14 +59,21 @@ def normalize_payment_types(payments: DataFrame) -> DataFrame:
 
 
 def payments_by_order(payments: DataFrame, types: Sequence[str]) -> DataFrame:
-    """``(order_id, payment_methods, <type>_installments, <type>_amount ...)`` from one
-    aggregate: the distinct-type flag and the pivot share the exchange on ``order_id``
-    (the reference computes them as two aggregates and joins them)."""
-    methods = X.binary_recode(X.more_than_one("payment_type"), "multiple", "single").alias("payment_methods")
+    """``(order_id, payment_methods, <type>_installments, <type>_amount ...)``.
+
+    Two hash aggregates and no join (the reference runs a distinct count and a pivot
+    as two aggregates and joins them): first per (order, type), which pre-sums the
+    payment rows; then per order, where "several types" is ``count(type) > 1`` over
+    the per-type rows and the pivot sums the per-type sums.
+    """
+    per_type = payments.groupBy("order_id", "payment_type").agg(
+        F.sum("payment_installments").alias("payment_installments"),
+        F.sum("payment_value").alias("payment_value"))
+    methods = X.binary_recode(F.count("payment_type") > 1, "multiple", "single").alias("payment_methods")
     pivot = A.pivot_exprs("payment_type", types,
                           {"installments": ("sum", "payment_installments"), "amount": ("sum", "payment_value")},
                           fill=0)
-    return payments.groupBy("order_id").agg(methods, *pivot)
+    return per_type.groupBy("order_id").agg(methods, *pivot)
 
 
 def items_products_join(items: DataFrame, products: DataFrame) -> DataFrame:
