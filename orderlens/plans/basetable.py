@@ -24,7 +24,7 @@ from orderlens import functions as X
 from orderlens.operators import clean as C
 from orderlens.operators import pareto as P
 from orderlens.plans import features as FE
-from orderlens.session import materialize
+from orderlens.session import materialize, session_key
 from orderlens.sources import views as V
 
 
@@ -88,7 +88,7 @@ def materialized_basetable(spark: SparkSession, sf_dir: str, holdout: bool = Fal
     reference's notebook re-read its un-cached basetable; written Parquet cuts the
     lineage (a lost executor re-reads files) and keeps pruning/pushdown for readers.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), holdout)
+    key = (session_key(spark), sf_dir.rstrip("/"), holdout)
     if key not in _MATERIALIZED:
         train, hold = basetables(spark, sf_dir)
         _MATERIALIZED[key[:2] + (False,)] = materialize(train, "basetable-train")

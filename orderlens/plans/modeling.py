@@ -15,12 +15,14 @@ from typing import Any
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.operators import models as M
 from orderlens.operators import prep as PR
 from orderlens.operators import split as S
 from orderlens.plans import basetable as B
 from orderlens.plans import features as FE
+from orderlens.session import session_key
 
 NUMERIC = [
     "delivery_duration_days", "delivery_delay_days", "duration_flag", "delays_flag",
@@ -72,7 +74,7 @@ _PREPARED: dict[tuple, Prepared] = {}
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _PREPARED:
         bt = B.materialized_basetable(spark, sf_dir)
         ho = B.materialized_basetable(spark, sf_dir, holdout=True)
@@ -99,3 +101,19 @@ def importance_model(p: Prepared) -> Any:
 
 def final_gbt() -> GBTClassifier:
     return GBTClassifier(seed=M.GBT_SEED_FINAL, maxDepth=M.GBT_FINAL_DEPTH)
+
+
+def scored_splits(p: Prepared, seed: int) -> DataFrame:
+    """A depth-10 GBT fitted on the binary train split, scoring both the train and the
+    validation split: ``(split, order_id, label, p_0, p_1, max_score)``, the inputs of
+    the reference's train-versus-validate ROC and lift curves."""
+    key = f"scored_splits_{seed}"
+    if key not in p.cache:
+        model = GBTClassifier(seed=seed, maxDepth=M.GBT_FINAL_DEPTH).fit(p.train_binary)
+        parts = []
+        for name, d in (("train", p.train_binary), ("validate", p.valid_binary)):
+            scored = M.probability_columns(model.transform(d)).withColumn("split", F.lit(name))
+            parts.append(M.row_max_score(scored.select("split", "order_id", "label", "p_0", "p_1"),
+                                         ["p_0", "p_1"], "max_score"))
+        p.cache[key] = parts[0].unionByName(parts[1])
+    return p.cache[key]

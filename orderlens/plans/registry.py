@@ -783,3 +783,42 @@ def q_row_max_score(spark, sf_dir):
     s = V.scored(spark, sf_dir).select("id", "label", (F.lit(1) - F.col("score")).alias("p_0"),
                                        F.col("score").alias("p_1"))
     return MO.row_max_score(s, ["p_0", "p_1"], "max_score")
+
+
+# ---------------------------------------------------------------- sorted counts (F2), Bernoulli sample (H1)
+
+
+@register("sentiment_repeat_counts", O.on_basetable(
+    "SELECT review_sentiment, repeat_customer, count(*) AS count FROM bt_train "
+    "GROUP BY review_sentiment, repeat_customer ORDER BY review_sentiment ASC, count DESC"))
+def q_sentiment_repeat_counts(spark, sf_dir):
+    """The pre-aggregate under the repeat-customer crosstab, sorted sentiment ascending
+    and count descending (ties by the flag, for a total order)."""
+    counts = _bt(spark, sf_dir).groupBy("review_sentiment", "repeat_customer").agg(F.count(F.lit(1)).alias("count"))
+    return counts.orderBy(F.col("review_sentiment").asc(), F.col("count").desc(), F.col("repeat_customer"))
+
+
+@register("stratified_sample_bernoulli")
+def q_stratified_sample_bernoulli(spark, sf_dir):
+    """``sampleBy``-style Bernoulli sample (seed 123) per label; rows-only check, since
+    which rows a seeded random draw keeps depends on the partition layout."""
+    return SP.stratified_sample(V.multi(spark, sf_dir), "id", "label", _STRATA, method="bernoulli", seed=123)
+
+
+# ---------------------------------------------------------------- curves on model output (K5-K7)
+
+
+@register("model_roc_points")
+def q_model_roc_points(spark, sf_dir):
+    """ROC points of a depth-10 GBT (seed 132) on its train and validation splits,
+    scored by P(positive): the reference's overfit check."""
+    s = ML.scored_splits(ML.prepared(spark, sf_dir), MO.GBT_SEED_FINAL)
+    return MT.roc_points(s, "p_1", "label", split_col="split")
+
+
+@register("model_lift_points")
+def q_model_lift_points(spark, sf_dir):
+    """Lift curves of a depth-10 GBT (seed 134) on train and validation, scored by the
+    row maximum of the two class probabilities as in the reference."""
+    s = ML.scored_splits(ML.prepared(spark, sf_dir), MO.GBT_SEED_COMPARE)
+    return MT.lift_points(s, "max_score", "label", split_col="split")

@@ -37,24 +37,43 @@ def build_session(master: str | None = None, app: str = "orderlens",
     return spark
 
 
+def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None) or None
+    except Exception:  # noqa: BLE001 - unset key raises in some versions
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session (set only if the cluster left it unset)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        sc = None
+    if sc is None:
+        configured = _conf_checkpoint_dir(spark)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="orderlens-ckpt-", dir="/tmp")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key raises in some versions
-            configured = None
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or _conf_checkpoint_dir(spark)
     if not configured:
         configured = tempfile.mkdtemp(prefix="orderlens-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifies a running application (memo keys for tables written once per session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return f"session-{id(spark)}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
