@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from orderlens.session import materialize
+
 OrderSpec = Sequence[tuple]  # (column, ascending[, nulls_last])
 
 
@@ -114,7 +116,8 @@ def rows_at_ranks(df: DataFrame, order_by: OrderSpec, weight: str, ranks: Column
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Exact median of every listed column (NULLs ignored; even counts average the two
-    middle values, as ``percentile(0.5)``). Returns ``(column, median)``.
+    middle values, as ``percentile(0.5)``). Returns ``(column, median)``. A fit step:
+    it writes the per-value count table once (one job) and returns a lazy result.
 
     Built-in exact ``median`` keeps a map of every distinct value of the column in one
     buffer for a global aggregate. Here values are counted per distinct value first
@@ -124,7 +127,10 @@ def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
     ])).alias("kv")).select("kv.column", "kv.value").where(F.col("value").isNotNull())
-    counts = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("w"))
+    # The value-count table feeds five branches below (totals, split points, bucket
+    # totals, rows, offsets): written once to the shared folder instead of recomputed
+    # from the source in each.
+    counts = materialize(stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("w")), "value-counts")
     n = counts.groupBy("column").agg(F.sum("w").alias("n"))
     ranks = F.array(F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1)
     with_n = counts.join(F.broadcast(n), "column")  # one row per listed column

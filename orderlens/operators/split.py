@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from orderlens import functions as X
 from orderlens.operators.prefix import rows_at_ranks
+from orderlens.session import materialize
 
 TWO_POW_32 = 4294967296
 
@@ -45,7 +46,7 @@ def time_prefix_predicate(df: DataFrame, ts: str, id_col: str, share: float = 0.
     if k <= 0:
         return F.lit(False)
     keys = df.select(ts, id_col)
-    per_ts = keys.groupBy(ts).agg(F.count(F.lit(1)).alias("_w"))
+    per_ts = materialize(keys.groupBy(ts).agg(F.count(F.lit(1)).alias("_w")), "time-split-counts")
     t_text, before = _kth_key_text(per_ts, ts, k, "_w")
     same = F.col(ts).isNull() if t_text is None else (F.col(ts) == _typed(df, ts, t_text))
     id_text, _ = _kth_key_text(keys.where(same).select(id_col), id_col, k - before)
