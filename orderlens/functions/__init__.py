@@ -54,9 +54,16 @@ def safe_divide(num: str | Column, den: str | Column) -> Column:
 
 def parse_timestamp(c: str | Column, fmt: str, ntz: bool = True) -> Column:
     """String to timestamp with a fixed pattern; unparsable strings become NULL
-    (``try_to_timestamp``) instead of failing the job under ANSI mode."""
+    (``try_to_timestamp``) instead of failing the job under ANSI mode.
+
+    The zone-less form parses the wall-clock text directly (``to_timestamp_ntz``, only
+    on strings the pattern accepts), so no session time zone or daylight-saving gap can
+    shift it.
+    """
     ts = F.try_to_timestamp(col(c), F.lit(fmt))
-    return ts.cast("timestamp_ntz") if ntz else ts
+    if not ntz:
+        return ts
+    return F.when(ts.isNotNull(), F.to_timestamp_ntz(col(c), F.lit(fmt)))
 
 
 def sentiment(score: str | Column, positive_above: int = 3, none_value: int = 0) -> Column:

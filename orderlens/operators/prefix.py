@@ -65,14 +65,17 @@ def _order_exprs(order_by: OrderSpec) -> list[Column]:
 
 def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
                 partition_by: Sequence[str] = (), buckets: int | None = None,
-                accuracy: int = 10000, prefix: str = "cum_") -> DataFrame:
+                accuracy: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<s>``: the inclusive running sum of ``s`` in ``order_by`` order within
     each ``partition_by`` group.
 
     The first ``order_by`` column must be numeric, date or timestamp; rows should be
     unique on the ordering key (aggregate first). NULL lead keys sort last.
+    ``buckets`` defaults to twice the shuffle partitions (at least 16); the sketch's
+    relative error is kept at a twentieth of a bucket, so buckets stay even.
     """
     nb = buckets or _default_buckets(df)
+    accuracy = accuracy or max(10000, 20 * nb)
     groups = list(partition_by)
     lead, lead_asc = order_by[0][0], order_by[0][1]
     keyed = df.withColumn("_k", _sort_key(df, lead, lead_asc))

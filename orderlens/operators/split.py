@@ -14,6 +14,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from orderlens import functions as X
 from orderlens.operators.prefix import rows_at_ranks
@@ -22,20 +23,29 @@ from orderlens.session import materialize
 TWO_POW_32 = 4294967296
 
 
-def _kth_key_text(df: DataFrame, col: str, k: int, weight: str | None = None) -> tuple[str | None, int]:
-    """The k-th smallest ``col`` (NULLs last) as text, and the weight before it."""
+def _zoned(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, TimestampType)
+
+
+def _kth_key_text(df: DataFrame, col: str, k: int, weight: str | None = None) -> tuple[Any, int]:
+    """The k-th smallest ``col`` (NULLs last) in a form that rebuilds the exact value
+    (text; epoch microseconds for zone-aware timestamps), and the weight before it."""
     if weight is None:
         df = df.withColumn("_w", F.lit(1).cast("bigint"))
         weight = "_w"
     hit = rows_at_ranks(df, [(col, True)], weight, F.array(F.lit(k).cast("bigint")))
-    row = hit.select(F.col(col).cast("string").alias("key"), "rank_before").limit(1).collect()[0]
+    key = F.unix_micros(F.col(col)) if _zoned(df, col) else F.col(col).cast("string")
+    row = hit.select(key.alias("key"), "rank_before").limit(1).collect()[0]
     return row["key"], int(row["rank_before"])
 
 
-def _typed(df: DataFrame, col: str, text: str | None) -> Column:
-    """A literal of ``col``'s type from its text form (time-zone free for NTZ), folded
-    to a constant so the comparison still pushes down."""
-    return F.lit(text).cast(df.schema[col].dataType)
+def _typed(df: DataFrame, col: str, key: Any) -> Column:
+    """A literal of ``col``'s type rebuilt from ``_kth_key_text`` output: text casts are
+    zone-free for every type but zone-aware timestamps, which come back from epoch
+    microseconds. Both fold to constants, so the comparison still pushes down."""
+    if _zoned(df, col):
+        return F.timestamp_micros(F.lit(key).cast("bigint"))
+    return F.lit(key).cast(df.schema[col].dataType)
 
 
 def time_prefix_predicate(df: DataFrame, ts: str, id_col: str, share: float = 0.7) -> Column:

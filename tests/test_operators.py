@@ -222,3 +222,29 @@ def test_csv_sink_default_refuses_existing_path(spark, tmp_path):
         CSV.write_csv(df, path)
     back = CSV.read_headerless(spark, path, df.schema, ["n"])
     assert sorted(r.n for r in back.collect()) == [0, 1, 2]
+
+
+def test_time_split_on_zone_aware_timestamps(spark):
+    rng = np.random.default_rng(8)
+    n = 300
+    pdf = pd.DataFrame({"id": rng.permutation(n), "d": rng.integers(0, 4, n)})
+    df = spark.createDataFrame(pdf).withColumn(
+        "ts", F.timestamp_seconds(F.lit(1_600_000_000) + F.col("d") * 3600))  # zone-aware type
+    first, rest = S.split_time_prefix(df, "ts", "id", 0.5)
+    exp = pdf.sort_values(["d", "id"]).id.tolist()
+    assert sorted(r.id for r in first.collect()) == sorted(exp[:150])
+    assert first.count() + rest.count() == n
+
+
+def test_parse_timestamp_null_on_bad_text(spark):
+    df = spark.createDataFrame([("2020-03-08 02:30:00",), ("not a time",), (None,)], "s string")
+    got = [r[0] for r in df.select(X.parse_timestamp("s", "yyyy-MM-dd HH:mm:ss").cast("string")).collect()]
+    assert got == ["2020-03-08 02:30:00", None, None]
+
+
+def test_bernoulli_sample_close_to_fraction(spark):
+    df = spark.range(4000).withColumn("label", F.col("id") % 2)
+    n = S.stratified_sample(df, "id", "label", {0: 0.25, 1: 0.75}, method="bernoulli", seed=1).groupBy(
+        "label").count().collect()
+    got = {r.label: r["count"] for r in n}
+    assert 400 < got[0] < 600 and 1400 < got[1] < 1600
