@@ -42,7 +42,11 @@ def cumulative_counts(df: DataFrame, category_col: str, count_col: str = "produc
 
 def pareto_fit(df: DataFrame, category_col: str, share: float = 0.8, count_col: str = "product_id") -> DataFrame:
     """The categories inside the cut: running total ``< share`` x grand total."""
-    counts = category_counts(df, category_col, count_col)
+    return pareto_fit_counts(category_counts(df, category_col, count_col), category_col, share)
+
+
+def pareto_fit_counts(counts: DataFrame, category_col: str, share: float = 0.8) -> DataFrame:
+    """:func:`pareto_fit` from a ``(category, present_in)`` count table."""
     total = counts.agg(F.sum("present_in")).scalar()  # scalar subquery: the reference's collect()
     cum = _accumulate(counts, category_col)
     return cum.where(F.col("accumulate") < total * F.lit(share)).select(category_col)

@@ -41,9 +41,16 @@ def binary_label(df: DataFrame, label_col: str = "label", positive: Sequence = (
 
 
 def fit_categories(items: DataFrame, products: DataFrame, share: float = 0.8) -> DataFrame:
-    """Pareto categories fitted on (training) items joined to products."""
-    joined = FE.items_features(FE.items_products_join(items, products))
-    return P.pareto_fit(joined, "product_category_name", share)
+    """Pareto categories fitted on (training) items joined to products.
+
+    Items are counted per product first (partial aggregation: a hot product is one row),
+    so the join to products and the per-category sum move one row per product, not per
+    item. Same counts as counting joined item rows per category.
+    """
+    per_product = items.groupBy("product_id").agg(F.count("product_id").alias("n"))
+    cats = per_product.join(products.select("product_id", "product_category_name"), ["product_id"], "left")
+    counts = cats.groupBy("product_category_name").agg(F.sum("n").alias("present_in"))
+    return P.pareto_fit_counts(counts, "product_category_name", share)
 
 
 def basetable(orders: DataFrame, payments: DataFrame, items: DataFrame, products: DataFrame,

@@ -94,12 +94,16 @@ def items_by_order(items: DataFrame, products: DataFrame, fitted: DataFrame | No
     """Per order: item counts inside/outside the Pareto categories and 8 item means.
 
     ``fitted`` is the category list from :func:`pareto_fit` on the training items; it is
-    fitted here from ``items`` when not given. Counts and means are one aggregate.
+    fitted here from ``items`` when not given. The in/out label is put on the product
+    dimension first, so the item fact table is joined once (to flagged products), not
+    twice; an item without a product is out of the cut, like a NULL category. Counts
+    and means are one aggregate.
     """
-    joined = items_features(items_products_join(items, products))
     if fitted is None:
-        fitted = P.pareto_fit(joined, "product_category_name")
-    flagged = P.pareto_apply(joined, fitted, "product_category_name")
+        fitted = P.pareto_fit(items_features(items_products_join(items, products)), "product_category_name")
+    flagged_products = P.pareto_apply(products, fitted, "product_category_name")
+    flagged = items_features(items_products_join(items, flagged_products)).withColumn(
+        "product_category_name", F.coalesce(F.col("product_category_name"), F.lit(P.NOT_IN_TOP)))
     counts = A.pivot_exprs("product_category_name", [P.IN_TOP, P.NOT_IN_TOP],
                            {"n": ("count", "product_id")}, fill=0, name="{value}")
     means = [F.coalesce(F.avg(c), F.lit(0)).alias(o) for o, c in ITEM_MEANS.items()]
