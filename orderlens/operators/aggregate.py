@@ -17,7 +17,8 @@ from pyspark.sql.types import BinaryType, StringType
 from orderlens import functions as X
 
 
-def multi_flag(df: DataFrame, by: str, id_col: str, out: str, yes: Any = "yes", no: Any = "no") -> DataFrame:
+def multi_flag(df: DataFrame, by: str | Sequence[str], id_col: str, out: str, yes: Any = "yes",
+               no: Any = "no") -> DataFrame:
     """Per ``by`` group: ``yes`` when it holds more than one distinct ``id_col``;
     returns ``(by, out)``.
 
@@ -25,10 +26,11 @@ def multi_flag(df: DataFrame, by: str, id_col: str, out: str, yes: Any = "yes",
     Text ids would force a sort-based aggregate for ``min``/``max``, so they are first
     reduced to distinct ``(by, id)`` pairs (hash aggregate), then counted per group.
     """
+    by = [by] if isinstance(by, str) else list(by)
     if isinstance(df.schema[id_col].dataType, (StringType, BinaryType)):
-        pairs = df.select(by, id_col).distinct()
-        return pairs.groupBy(by).agg(X.binary_recode(F.count(id_col) > 1, yes, no).alias(out))
-    return df.groupBy(by).agg(X.binary_recode(X.more_than_one(id_col), yes, no).alias(out))
+        pairs = df.select(*by, id_col).distinct()
+        return pairs.groupBy(*by).agg(X.binary_recode(F.count(id_col) > 1, yes, no).alias(out))
+    return df.groupBy(*by).agg(X.binary_recode(X.more_than_one(id_col), yes, no).alias(out))
 
 
 def pivot_exprs(pivot_col: str, values: Sequence[Any], aggs: dict[str, tuple[str, str]],

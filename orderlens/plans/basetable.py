@@ -56,8 +56,8 @@ def fit_categories(items: DataFrame, products: DataFrame, share: float = 0.8) ->
 def basetable(orders: DataFrame, payments: DataFrame, items: DataFrame, products: DataFrame,
               reviews: DataFrame | None = None, fitted: DataFrame | None = None,
               payment_types: Sequence[str] = FE.NORMALIZED_PAYMENT_TYPES,
-              sentinel: bool = False) -> DataFrame:
-    o = FE.orders_enriched(orders)
+              sentinel: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    o = FE.orders_enriched(orders, by)
     o = C.clean_orders(o, V.TIMESTAMP_COLS, list(FE.DURATIONS), sentinel=sentinel)
     pay = FE.payments_by_order(FE.normalize_payment_types(payments), payment_types)
     df = o.join(pay, ["order_id"], "inner")
@@ -70,21 +70,41 @@ def basetable(orders: DataFrame, payments: DataFrame, items: DataFrame, products
     return df
 
 
-def basetables(spark: SparkSession, sf_dir: str, sentinel: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Train and holdout basetables from the driver tables; categories fitted on train
-    and applied to both (the reference re-derived them from the holdout)."""
-    tr = V.split_tables(spark, sf_dir, holdout=False)
-    ho = V.split_tables(spark, sf_dir, holdout=True)
-    # The fitted category list (one row per category) is written once and read by both
-    # sides instead of being recomputed inside each plan.
-    fitted = materialize(fit_categories(tr["items"], tr["products"]), "pareto-categories")
-    train = basetable(tr["orders"], tr["payments"], tr["items"], tr["products"], tr["reviews"],
-                      fitted=fitted, sentinel=sentinel)
-    hold = basetable(ho["orders"], ho["payments"], ho["items"], ho["products"], None,
-                     fitted=fitted, sentinel=sentinel)
+REVIEW_COLS = ["review_score", "first_review_date", "last_review_date", "review_sentiment"]
+SIDE = "sample"
+
+
+def both_sides(spark: SparkSession, sf_dir: str, sentinel: bool = False) -> DataFrame:
+    """Train and holdout basetables in one plan, tagged by ``sample``.
+
+    One scan of each source serves both sides (building them separately reads every
+    table twice). Per-side semantics are kept: the repeat-customer flag is grouped by
+    (side, customer) as the reference computed it per file; reviews exist for train
+    orders only; Pareto categories are fitted on train items and applied to both (the
+    reference re-derived them from the holdout), written once as a small table.
+    """
+    orders = V.orders(spark, sf_dir).withColumn(
+        SIDE, F.when(V.is_holdout(), F.lit("holdout")).otherwise(F.lit("train")))
+    items = V.items(spark, sf_dir)
+    products = V.products(spark, sf_dir)
+    reviews = V.reviews(spark, sf_dir).where(~V.is_holdout())
+    fitted = materialize(fit_categories(items.where(~V.is_holdout()), products), "pareto-categories")
+    return basetable(orders, V.payments(spark, sf_dir), items, products, reviews, fitted=fitted,
+                     sentinel=sentinel, by=[SIDE])
+
+
+def sides(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split a :func:`both_sides` table; the holdout has no review columns."""
+    train = both.where(F.col(SIDE) == "train").drop(SIDE)
+    hold = both.where(F.col(SIDE) == "holdout").drop(SIDE, *REVIEW_COLS)
     return train, hold
 
 
+def basetables(spark: SparkSession, sf_dir: str, sentinel: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Train and holdout basetables from the driver tables (lazy, one shared plan)."""
+    return sides(both_sides(spark, sf_dir, sentinel))
+
+
 _MATERIALIZED: dict[tuple, DataFrame] = {}
 
 
@@ -97,7 +117,9 @@ def materialized_basetable(spark: SparkSession, sf_dir: str, holdout: bool = Fal
     """
     key = (session_key(spark), sf_dir.rstrip("/"), holdout)
     if key not in _MATERIALIZED:
-        train, hold = basetables(spark, sf_dir)
-        _MATERIALIZED[key[:2] + (False,)] = materialize(train, "basetable-train")
-        _MATERIALIZED[key[:2] + (True,)] = materialize(hold, "basetable-holdout")
+        # One job writes both sides, partitioned by side; each reader prunes to its folder.
+        both = materialize(both_sides(spark, sf_dir), "basetable", partition_by=[SIDE])
+        train, hold = sides(both)
+        _MATERIALIZED[key[:2] + (False,)] = train
+        _MATERIALIZED[key[:2] + (True,)] = hold
     return _MATERIALIZED[key]

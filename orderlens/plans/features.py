@@ -40,17 +40,19 @@ ITEM_MEANS = {
 }
 
 
-def orders_enriched(orders: DataFrame) -> DataFrame:
+def orders_enriched(orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Durations, 4-way status, repeat-customer flag, presence flags.
 
     The repeat flag is a per-customer aggregate (partial aggregation absorbs a hot
     customer) joined back on ``customer_id``; adaptive skew-join splitting handles a
-    customer holding a large share of the orders.
+    customer holding a large share of the orders. ``by`` adds grouping columns (e.g.
+    the train/holdout side, whose customers the reference counted separately).
     """
     df = C.datediff_features(orders, DURATIONS)
     df = df.withColumn("status", X.recode("order_status", STATUS_MAP, STATUS_DEFAULT))
-    repeat = A.multi_flag(orders, "customer_id", "order_id", "repeat_customer")
-    df = df.join(repeat, ["customer_id"], "left")
+    keys = [*by, "customer_id"]
+    repeat = A.multi_flag(orders, keys, "order_id", "repeat_customer")
+    df = df.join(repeat, keys, "left")
     return C.presence_flags(df, FLAGS)
 
 

@@ -79,13 +79,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts lineage (a lost executor re-reads files instead of recomputing the plan) and,
-    unlike ``checkpoint()``, keeps column pruning and filter pushdown for readers.
+    unlike ``checkpoint()``, keeps column pruning and filter pushdown for readers (and
+    partition pruning with ``partition_by``).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     return spark.read.parquet(path)
