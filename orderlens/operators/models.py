@@ -70,7 +70,7 @@ def evaluate(pred: DataFrame, metric: str) -> float:
 
 
 def leaderboard(train: DataFrame, valid: DataFrame, estimators: dict[str, Any],
-                metrics: Sequence[str] = BINARY_METRICS, parallelism: int = 3) -> tuple[DataFrame, dict[str, Any]]:
+                metrics: Sequence[str] = BINARY_METRICS, parallelism: int | None = None) -> tuple[DataFrame, dict[str, Any]]:
     """Fit every estimator on ``train``, score ``valid``; one row per model with one
     column per metric. Returns the table and the fitted models.
 
@@ -85,7 +85,8 @@ def leaderboard(train: DataFrame, valid: DataFrame, estimators: dict[str, Any],
         pred = model.transform(valid)
         return name, model, [float(evaluate(pred, m)) for m in metrics]
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    workers = parallelism or min(len(estimators), 6)  # one per model by default
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         done = list(pool.map(fit_one, estimators.items()))
     fitted = {name: model for name, model, _ in done}
     rows = [(name, *scores) for name, _, scores in done]
