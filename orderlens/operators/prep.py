@@ -69,6 +69,16 @@ def preprocessing_pipeline(label: str, numeric: Sequence[str], categorical: Sequ
     ])
 
 
+def informative(df: DataFrame, categorical: Sequence[str]) -> list[str]:
+    """The categorical columns with at least two levels (one global aggregate, one
+    boolean per column). A one-level column carries no information and would make the
+    one-hot stage of ``RFormula`` fail."""
+    if not categorical:
+        return []
+    row = df.agg(*[(F.min(c) != F.max(c)).alias(c) for c in categorical]).first()
+    return [c for c in categorical if row[c]]
+
+
 def prepare(train: DataFrame, others: Sequence[DataFrame], label: str, id_col: str,
             numeric: Sequence[str], categorical: Sequence[str],
             impute: Sequence[str] | None = None) -> tuple[PipelineModel, list[DataFrame]]:
@@ -78,6 +88,7 @@ def prepare(train: DataFrame, others: Sequence[DataFrame], label: str, id_col: s
     ``(id, features[, label])``."""
     cast = lambda d: d.withColumns({c: F.col(c).cast("double") for c in numeric})
     impute = list(numeric if impute is None else impute)
+    categorical = informative(train, categorical)
     model = preprocessing_pipeline(label, numeric, categorical, impute).fit(cast(train))
     out = []
     for d in [train, *others]:
