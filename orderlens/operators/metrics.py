@@ -42,20 +42,25 @@ def _as_double(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
+def _ratio(num: str | Column, den: str | Column) -> Column:
+    """``num / den`` as double; NULL (not an ANSI error) for an empty class or split."""
+    return F.try_divide(_as_double(num), _as_double(den))
+
+
 def auc_roc(df: DataFrame, score: str = "score", label: str = "label", split_col: str | None = None) -> DataFrame:
     c = _cumulative(df, score, label, split_col)
     num = F.sum((F.col("neg") * (2 * F.col("cum_pos") - F.col("pos"))).cast("decimal(38,0)")).cast("double")
     den = F.lit(2.0) * _as_double(F.sum("pos")) * _as_double(F.sum("neg"))
-    return c.groupBy(*_groups(split_col)).agg((num / den).alias("auc_roc"))
+    return c.groupBy(*_groups(split_col)).agg(F.try_divide(num, den).alias("auc_roc"))
 
 
 def auc_pr(df: DataFrame, score: str = "score", label: str = "label", split_col: str | None = None) -> DataFrame:
     c = _cumulative(df, score, label, split_col)
     seen = F.col("cum_pos") + F.col("cum_neg")
     before = seen - F.col("pos") - F.col("neg")
-    prec = _as_double("cum_pos") / _as_double(seen)
-    prev = F.when(before == 0, prec).otherwise(_as_double(F.col("cum_pos") - F.col("pos")) / _as_double(before))
-    area = F.sum(_as_double("pos") * (prec + prev) / F.lit(2.0)) / _as_double(F.sum("pos"))
+    prec = _ratio("cum_pos", seen)
+    prev = F.when(before == 0, prec).otherwise(_ratio(F.col("cum_pos") - F.col("pos"), before))
+    area = F.try_divide(F.sum(_as_double("pos") * (prec + prev) / F.lit(2.0)), _as_double(F.sum("pos")))
     return c.groupBy(*_groups(split_col)).agg(area.alias("auc_pr"))
 
 
@@ -73,8 +78,8 @@ def roc_points(df: DataFrame, score: str = "score", label: str = "label", split_
     """``(split, threshold, fpr, tpr)`` at every distinct score, highest first."""
     c = _with_totals(_cumulative(df, score, label, split_col), split_col)
     return c.select(*_groups(split_col), F.col(score).alias("threshold"),
-                    (_as_double("cum_neg") / _as_double("N")).alias("fpr"),
-                    (_as_double("cum_pos") / _as_double("P")).alias("tpr"))
+                    _ratio("cum_neg", "N").alias("fpr"),
+                    _ratio("cum_pos", "P").alias("tpr"))
 
 
 def lift_points(df: DataFrame, score: str = "score", label: str = "label", split_col: str | None = None,
@@ -87,7 +92,7 @@ def lift_points(df: DataFrame, score: str = "score", label: str = "label", split
     which group holds which point.
     """
     c = _with_totals(_cumulative(df, score, label, split_col), split_col)
-    c = c.withColumn("cum_n", F.col("cum_pos") + F.col("cum_neg"))
+    c = c.where(F.col("P") > 0).withColumn("cum_n", F.col("cum_pos") + F.col("cum_neg"))  # no positives: no curve
     kmin = F.expr(f"({points} * (cum_pos - pos)) div P") + 1
     kmax = F.expr(f"({points} * cum_pos) div P")
     hit = c.where(kmin <= kmax).withColumn("point", F.explode(F.sequence(kmin, kmax)))

@@ -248,3 +248,11 @@ def test_bernoulli_sample_close_to_fraction(spark):
         "label").count().collect()
     got = {r.label: r["count"] for r in n}
     assert 400 < got[0] < 600 and 1400 < got[1] < 1600
+
+
+def test_metrics_on_one_class_input_do_not_fail(spark):
+    df = spark.createDataFrame([(0.1, 1), (0.7, 1), (0.7, 1)], "score double, label int")
+    assert MT.auc_roc(df).first()[0] is None  # no negatives: undefined, not an error
+    assert MT.lift_points(df.withColumn("label", F.lit(0))).count() == 0
+    pts = MT.roc_points(df).collect()
+    assert all(p.fpr is None and p.tpr is not None for p in pts)
