@@ -53,3 +53,22 @@ def test_model_select_and_topk_on_fixed_tables(spark):
     imp = spark.createDataFrame([(f"f{i}", i / 100) for i in range(20)], "feature string, importance double")
     top = [r.feature for r in M.feature_select_topk(imp).collect()]
     assert top == [f"f{i}" for i in range(19, 9, -1)]
+
+
+@pytest.mark.parametrize("key", QUERY_KEYS)
+def test_unpartitioned_windows_only_over_bucket_totals(spark, key):
+    """A window without partition keys moves its whole input into one task; the only
+    one allowed is the offsets window over per-bucket totals (at most `buckets` rows,
+    ordered by the bucket id `_b`)."""
+    import re
+    plan = _plan(E.queries()[key](spark, SF_SMALL))
+    for spec in re.findall(r"windowspecdefinition\(([^,]*)", plan):
+        first = spec.strip()
+        if " ASC" in first or " DESC" in first:  # no partition keys: the order comes first
+            assert first.startswith("_b#"), f"{key}: unpartitioned window ordered by {first}"
+
+
+def test_each_basetable_side_reads_only_its_partition(spark):
+    for key, side in (("basetable_train", "train"), ("basetable_holdout", "holdout")):
+        plan = _plan(E.queries()[key](spark, SF_SMALL))
+        assert f"= {side})" in plan and "PartitionFilters: [isnotnull(sample" in plan, key
