@@ -16,6 +16,7 @@ so a hot key is a single row and buckets hold about ``rows / buckets`` rows each
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -81,14 +82,23 @@ def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
     keyed = df.withColumn("_k", _sort_key(df, lead, lead_asc))
 
     probs = [i / nb for i in range(1, nb)]
+    step = max(1, math.isqrt(nb - 1))
     sketch = F.percentile_approx("_k", probs, accuracy).alias("_splits")
+    coarse = F.filter("_splits", lambda s, i: i % step == step - 1).alias("_coarse")
     if groups:  # one row of split points per group, joined on the group key
-        keyed = keyed.join(keyed.groupBy(*groups).agg(sketch), groups)
+        keyed = keyed.join(keyed.groupBy(*groups).agg(sketch).select(*groups, "_splits", coarse), groups)
     else:  # one row: a scalar subquery, computed once and inlined (in its own
-        # projection: subqueries may not sit inside the lambda below)
-        keyed = keyed.withColumn("_splits", keyed.agg(sketch).scalar())
-    bucketed = (keyed.withColumn("_b", F.size(F.filter("_splits", lambda s: s < F.col("_k"))))
-                .drop("_splits", "_k"))
+        # projection: subqueries may not sit inside the lambdas below)
+        one = keyed.agg(sketch).select(F.struct("_splits", coarse).alias("s")).scalar()
+        keyed = keyed.withColumns({"_splits": one.getField("_splits"), "_coarse": one.getField("_coarse")})
+    # Bucket = number of split points below the key, found in two steps of about
+    # sqrt(buckets) comparisons each: first among every step-th split point, then
+    # inside the one slice of `step` points that can still hold the boundary.
+    below = lambda arr: F.size(F.filter(arr, lambda s: s < F.col("_k")))
+    c = below("_coarse")
+    fine = F.slice("_splits", c * step + 1, F.lit(step))
+    bucketed = (keyed.withColumn("_b", c * step + below(fine))
+                .drop("_splits", "_coarse", "_k"))
 
     totals = bucketed.groupBy(*groups, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
