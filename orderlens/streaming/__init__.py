@@ -1,9 +1,9 @@
 """Streaming: intentionally empty.
 
 The reference is a batch workload: it has no watermark, event-time window, state or
-late-data operator (SURVEY §2.13), so nothing here re-expresses one. Every operator in
-``orderlens`` is a DataFrame -> DataFrame function without actions in its plan, so the
-order-grain rollups and insights can be applied per micro-batch through
-``writeStream.foreachBatch`` where a user needs that; no separate streaming operator is
-provided.
+late-data operator (SURVEY §2.13), so nothing here re-expresses one. The order-grain
+rollups and insight queries are lazy DataFrame -> DataFrame functions and can be applied
+per micro-batch through ``writeStream.foreachBatch`` where a user needs that (fit steps
+such as exact medians or the time split run their own small jobs); no separate streaming
+operator is provided.
 """
