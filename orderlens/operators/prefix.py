@@ -40,8 +40,13 @@ def _sort_key(df: DataFrame, name: str, ascending: bool) -> Column:
     """A double that sorts like ``name`` in the requested direction, NULLs last."""
     dt = df.schema[name].dataType
     c = F.col(name)
-    if isinstance(dt, (TimestampType, TimestampNTZType)):
-        v = F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dt, TimestampNTZType):
+        # Seconds since the epoch from the wall-clock fields: no session time zone is
+        # involved, so the key stays monotone even across daylight-saving gaps.
+        v = (F.unix_date(c.cast("date")).cast("double") * 86400.0 + F.hour(c) * 3600.0
+             + F.minute(c) * 60.0 + F.date_part(F.lit("SECOND"), c).cast("double"))
+    elif isinstance(dt, TimestampType):
+        v = F.unix_micros(c).cast("double")
     elif isinstance(dt, DateType):
         v = F.unix_date(c).cast("double")
     else:

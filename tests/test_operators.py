@@ -256,3 +256,16 @@ def test_metrics_on_one_class_input_do_not_fail(spark):
     assert MT.lift_points(df.withColumn("label", F.lit(0))).count() == 0
     pts = MT.roc_points(df).collect()
     assert all(p.fpr is None and p.tpr is not None for p in pts)
+
+
+def test_ntz_sort_key_ignores_session_time_zone(spark):
+    pdf = pd.DataFrame({"id": range(6), "ts": ["2021-03-14 01:59:00", "2021-03-14 02:00:00", "2021-03-14 02:30:00",
+                                               "2021-03-14 02:59:59", "2021-03-14 03:00:00", "2021-03-14 03:30:00"]})
+    df = spark.createDataFrame(pdf).withColumn("ts", F.to_timestamp_ntz("ts")).withColumn("w", F.lit(1))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:00-03:00 does not exist here
+    try:
+        out = prefix.prefix_sums(df, [("ts", True)], ["w"], buckets=4).orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert [r.cum_w for r in out] == [1, 2, 3, 4, 5, 6]
