@@ -154,18 +154,3 @@ def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     with_n = counts.join(F.broadcast(n), "column")  # one row per listed column
     mids = rows_at_ranks(with_n, [("value", True)], "w", ranks, partition_by=["column"])
     return mids.groupBy("column").agg((F.sum(F.col("value") * F.col("hits")) / 2).alias("median"))
-
-
-def kth_in_order(df: DataFrame, order_by: OrderSpec, k: int, weight: str | None = None):
-    """Sort key of the k-th row (1-based) of ``df`` in ``order_by`` order, and the
-    weight strictly before that key: ``(key_tuple, before)``, or None when k is out of
-    range. Exactly one bounded row reaches the driver."""
-    if weight is None:
-        df = df.withColumn("_w", F.lit(1).cast("bigint"))
-        weight = "_w"
-    hit = rows_at_ranks(df, order_by, weight, F.array(F.lit(k).cast("bigint")))
-    cols = [spec[0] for spec in order_by]
-    rows = hit.select(*cols, "rank_before").limit(1).collect()
-    if not rows:
-        return None
-    return tuple(rows[0][:len(cols)]), rows[0]["rank_before"]
