@@ -11,6 +11,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import (FMClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -82,8 +83,12 @@ def leaderboard(train: DataFrame, valid: DataFrame, estimators: dict[str, Any],
     def fit_one(item):
         name, est = item
         model = est.fit(train)
-        pred = model.transform(valid)
-        return name, model, [float(evaluate(pred, m)) for m in metrics]
+        # Scored once, read by every metric (MEMORY_AND_DISK: recomputable on loss).
+        pred = model.transform(valid).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return name, model, [float(evaluate(pred, m)) for m in metrics]
+        finally:
+            pred.unpersist()
 
     workers = parallelism or min(len(estimators), 6)  # one per model by default
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:

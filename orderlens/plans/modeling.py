@@ -115,5 +115,6 @@ def scored_splits(p: Prepared, seed: int) -> DataFrame:
             scored = M.probability_columns(model.transform(d)).withColumn("split", F.lit(name))
             parts.append(M.row_max_score(scored.select("split", "order_id", "label", "p_0", "p_1"),
                                          ["p_0", "p_1"], "max_score"))
-        p.cache[key] = parts[0].unionByName(parts[1])
+        # Persisted: the running sums behind ROC and lift read their input three times.
+        p.cache[key] = parts[0].unionByName(parts[1]).persist(StorageLevel.MEMORY_AND_DISK)
     return p.cache[key]
