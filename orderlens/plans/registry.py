@@ -246,13 +246,14 @@ _FIT_CTES = [f"ip AS ({_IP})", f"cum AS ({O.category_cum_sql('ip')})", f"fit AS
 
 @register("pareto_categories", O.with_views("SELECT * FROM fit", *_IP_VIEWS, extra=_FIT_CTES))
 def q_pareto_categories(spark, sf_dir):
-    return P.pareto_fit(_items_features(spark, sf_dir), "product_category_name")
+    """Categories inside the 80 % cut, fitted from per-product item counts."""
+    return B.fit_categories(V.items(spark, sf_dir), V.products(spark, sf_dir))
 
 
 @register("pareto_flag", O.with_views(O.flagged_sql("ip", "fit"), *_IP_VIEWS, extra=_FIT_CTES))
 def q_pareto_flag(spark, sf_dir):
-    ip = _items_features(spark, sf_dir)
-    return P.pareto_apply(ip, P.pareto_fit(ip, "product_category_name"), "product_category_name")
+    fitted = B.fit_categories(V.items(spark, sf_dir), V.products(spark, sf_dir))
+    return P.pareto_apply(_items_features(spark, sf_dir), fitted, "product_category_name")
 
 
 @register("pareto_flag_pivot", O.with_views(
@@ -260,8 +261,8 @@ def q_pareto_flag(spark, sf_dir):
     "count(CASE WHEN product_category_name = 'not_in_top_20' THEN product_id END) AS not_in_top_20 "
     f"FROM ({O.flagged_sql('ip', 'fit')}) f GROUP BY order_id", *_IP_VIEWS, extra=_FIT_CTES))
 def q_pareto_flag_pivot(spark, sf_dir):
-    ip = _items_features(spark, sf_dir)
-    flagged = P.pareto_apply(ip, P.pareto_fit(ip, "product_category_name"), "product_category_name")
+    fitted = B.fit_categories(V.items(spark, sf_dir), V.products(spark, sf_dir))
+    flagged = P.pareto_apply(_items_features(spark, sf_dir), fitted, "product_category_name")
     return A.pivot_agg(flagged, "order_id", "product_category_name", [P.IN_TOP, P.NOT_IN_TOP],
                        {"n": ("count", "product_id")})
 
