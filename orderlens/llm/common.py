@@ -38,3 +38,30 @@ def fresh(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns that an operator is about to add: results win over clashing inputs."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+def with_window_hashes(df: DataFrame, words: str, out: str, k: int) -> DataFrame:
+    """Adds ``out``: one 64-bit hash per ``k``-word window of the array column ``words`` (NULL if shorter).
+
+    Hashes of 1, 2, 4 ... words are combined, so a window costs about log2(k) steps instead of
+    k. Each level is a column of its own, because an expression inside a lambda is evaluated
+    again for every element.
+    """
+    w = F.col(words)
+    df = df.withColumn("_h1", F.when(F.size(w) >= k, F.transform(w, lambda x: F.xxhash64(x))))
+    width = 1
+    while width * 2 <= k:
+        level, step = f"_h{width}", width
+        df = df.withColumn(f"_h{2 * width}", F.transform(level, lambda h, i: F.xxhash64(h, F.get(level, i + step))))
+        width *= 2
+    parts, at = [], 0
+    while width:  # the binary digits of k, largest first
+        if k & width:
+            parts.append((f"_h{width}", at))
+            at += width
+        width //= 2
+    whole = F.slice(parts[0][0], F.lit(1), F.size(w) - (k - 1))
+    if len(parts) > 1:
+        whole = F.transform(whole, lambda h, i: F.xxhash64(h, *[F.get(F.col(c), i + o) for c, o in parts[1:]]))
+    df = df.withColumn(out, F.when(F.size(w) >= k, whole))
+    return df.drop(*[c for c in df.columns if c.startswith("_h") and c[2:].isdigit()])
