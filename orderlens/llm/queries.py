@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality_rules, sharding
+from . import decontaminate, near_dedup, quality_rules, sharding
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"),
                                        table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -26,6 +30,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
+    "op8_near_dedup": op8_near_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
 
