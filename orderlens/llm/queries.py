@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, near_dedup, quality_rules, sharding
+from . import decontaminate, near_dedup, quality_cnn, quality_rules, sharding
 from .common import table
 
 
@@ -22,6 +22,11 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cnn.classify(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"),
                                        table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -31,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
     "op8_near_dedup": op8_near_dedup,
+    "op9_quality_cnn": op9_quality_cnn,
     "op10_decontaminate": op10_decontaminate,
 }
 
