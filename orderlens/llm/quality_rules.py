@@ -21,10 +21,10 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import WORD, text_of
+from .common import WORD, text_of, with_window_hashes
 
-BLANKS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
+CAPITALS = "[A-ZÄÖÜÀÂÇÉÈÊËÎÏÔÛÙÁÍÓÚÑ]"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -45,9 +45,8 @@ def with_repeated_words(df: DataFrame, words: str, out: str, k: int = WINDOW) ->
     test; only the others sort their windows. Each array is a column of its own, because an
     expression inside a lambda is evaluated again for every element.
     """
-    w, windows, ranked = F.col(words), F.col("_windows"), F.col("_ranked")
-    df = df.withColumn("_windows", F.when(F.size(w) > k, F.transform(
-        F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.xxhash64(F.slice(w, i, k)))))
+    windows, ranked = F.col("_windows"), F.col("_ranked")
+    df = with_window_hashes(df, words, "_windows", k)
     df = df.withColumn("_ranked", F.when(
         F.size(F.array_distinct(windows)) < F.size(windows),
         F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("at"))))))
@@ -61,29 +60,23 @@ def with_repeated_words(df: DataFrame, words: str, out: str, k: int = WINDOW) ->
     return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("_windows", "_ranked")
 
 
-def removed(text: Column, chars: str) -> Column:
-    """How many characters of ``text`` are in ``chars``."""
-    return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("long")
-
-
 def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: the contract's counts plus those that only the votes need."""
     d = docs.select(key, text_of(text).alias("_t"))
     d = d.select(key, "_t", F.regexp_extract_all("_t", F.lit(WORD), F.lit(0)).alias("_w"),
-                 F.filter(F.split("_t", "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0).alias("_lines"))
+                 F.filter(F.split("_t", "\n"), lambda x: x.rlike(WORD)).alias("_lines"))
     d = with_repeated_words(d, "_w", "n_repeat_words")
     t, w, lines = F.col("_t"), F.col("_w"), F.col("_lines")
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÀÂÇÉÈÊËÎÏÔÛÙÁÍÓÚÑ"
     return d.select(
         key,
         F.size(w).cast("long").alias("n_words"),
-        (F.length(t) - removed(t, BLANKS)).cast("long").alias("word_chars"),
-        removed(t, SYMBOLS).alias("n_symbols"),
+        F.aggregate(w, F.lit(0), lambda n, x: n + F.length(x)).cast("long").alias("word_chars"),
+        F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         F.size(lines).alias("_n_lines"),
-        removed(t, upper).alias("_n_upper"),
-        removed(t, "!?").alias("_n_shouts"),
+        F.regexp_count(t, F.lit(CAPITALS)).alias("_n_upper"),
+        F.regexp_count(t, F.lit("[!?]")).alias("_n_shouts"),
         F.size(F.filter(w, lambda x: x.isin(FUNCTION_WORDS))).alias("_n_function"),
         F.size(F.filter(lines, lambda x: F.rtrim(x).rlike(r"""[.!?:;…"'”»)]$"""))).alias("_n_closed"))
 
