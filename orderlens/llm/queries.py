@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, near_dedup, quality_cnn, quality_rules, sharding
+from . import decontaminate, mixing, near_dedup, quality_cnn, quality_rules, sharding
 from .common import table
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -33,6 +37,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
     "op8_near_dedup": op8_near_dedup,
