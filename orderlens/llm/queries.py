@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dedup, quality_cnn, quality_rules, sharding
+from . import decontaminate, main_text, mixing, near_dedup, quality_cnn, quality_rules, sharding
 from .common import table
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
@@ -37,6 +41,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_main_text": op3_main_text,
     "op4_mixing": op4_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
