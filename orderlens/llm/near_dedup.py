@@ -291,3 +291,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     component = F.when(F.col("known"), F.col("component_id")).otherwise(F.col(key))
     return out.select(key, F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col(key).eqNullSafe(component).alias("kept"))
+
+
+def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:
+    """One row of ``docs`` for each near-duplicate group (the least key, NULL last), with all its columns.
+
+    Documents with an empty set are in no group and all stay.
+    """
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), doc, F.monotonically_increasing_id().alias("row"))
+    rows = materialize(rows.withColumn("rank", F.struct(F.col("key").isNull(), "key", "row")), "numbered")
+    gone = near_duplicates(rows.select("rank", "text"), "rank", "text", k).where(~F.col("kept")).select(F.col("rank.row").alias("row"))
+    return rows.join(gone, "row", "left_anti").select("doc.*")

@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, main_text, mixing, near_dedup, quality_cnn, quality_rules, sharding
+from . import (chat, decontaminate, licenses, main_text, mixing, near_dedup, quality_cnn, quality_rules, sharding,
+               substring_dedup)
 from .common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.edits(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -18,6 +27,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -41,8 +54,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_licenses": op2_licenses,
     "op3_main_text": op3_main_text,
     "op4_mixing": op4_mixing,
+    "op5_chat": op5_chat,
     "op6_quality_rules": op6_quality_rules,
     "op7_sharding": op7_sharding,
     "op8_near_dedup": op8_near_dedup,
@@ -51,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op5_chat": chat.SQL,
     "op10_decontaminate": decontaminate.SQL,
 }
