@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 SAMPLE = 2000
+ASIDE = 1  # one stretch of boilerplate costs at most what so many article words gain, so it splits no article
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"""
@@ -175,7 +176,7 @@ def runs(page: str) -> tuple[list[Run], bool]:
                 noise_block = name in NEVER or name in BLOCK
             elif name in NEVER or not any(i < c < end for c in chosen):
                 noise_until, hidden = end, True
-        if not (hidden and inside):
+        if not hidden and i != noise_until:  # the tags of an aside count as part of it
             pending.append(name)
     return out, bool(chosen)
 
@@ -230,12 +231,14 @@ def example_weights() -> dict[str, list[int]]:
 
 def best_region(found: list[Run], marked: bool, weight: dict[str, float]) -> tuple[int, int]:
     """Bounds of the contiguous runs with the greatest score; (0, 0) when no word scores."""
+    aside = ASIDE * weight.get("word:plain", 1.0)
     best, bounds, score, start = 0.0, (0, 0), 0.0, 0
     for i, r in enumerate(found):
         score += sum(weight.get(f"tag:{t}", -0.3) for t in r.tags)
         if score <= 0:
             score, start = 0.0, i
-        score += len(r.text.split()) * weight[f"word:{context(r, marked)}"]
+        gain = len(r.text.split()) * weight[f"word:{context(r, marked)}"]
+        score += max(gain, -aside) if r.noise else gain
         if score > best:
             best, bounds = score, (start, i + 1)
     return bounds

@@ -29,6 +29,8 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
+RULES = ("symbols", "capitals", "shouts", "duplicate_lines", "repeats", "word_length", "function_words", "closed_lines")
+
 # Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = """
 a an and are as at be by for from have in is it not of on or that the this to was were which with you
@@ -101,10 +103,7 @@ def rules() -> dict[str, Column]:
         "function_words": F.when(F.col("n_words") < MIN_WORDS, 0).otherwise(vote(F.col("_n_function") / words, 0.1, 0.03)),
         "closed_lines": F.when(F.col("n_words") < MIN_WORDS, 0).otherwise(vote(F.col("_n_closed") / lines, 0.5, 0.2)),
     }
-    return {k: F.when(F.col("n_words") == 0, 0).otherwise(v).cast("tinyint") for k, v in votes.items()}
-
-
-RULES = tuple(rules())
+    return {k: F.when(F.col("n_words") == 0, 0).otherwise(votes[k]).cast("tinyint") for k in RULES}
 
 
 class Reliability:
