@@ -3,7 +3,8 @@
 Every grouped aggregate is planned as partial aggregation per task, one exchange on
 the grouping key, final aggregation: a hot group is pre-reduced before the shuffle.
 Pivots always take an explicit value list, so no eager distinct-values job runs and
-the output schema does not depend on the data.
+the output schema does not depend on the data. What the list leaves out (and NULL) is
+gathered under ``other``, so a pivot's columns always add up to the ungrouped total.
 """
 
 from __future__ import annotations
@@ -33,19 +34,30 @@ def multi_flag(df: DataFrame, by: str | Sequence[str], id_col: str, out: str, ye
     return df.groupBy(*by).agg(X.binary_recode(X.more_than_one(id_col), yes, no).alias(out))
 
 
+OTHER = "other"
+
+
+def is_other(col: str, values: Sequence[Any]) -> Column:
+    """NULL, or none of ``values``."""
+    return ~F.coalesce(F.col(col).isin(*values), F.lit(False))
+
+
 def pivot_exprs(pivot_col: str, values: Sequence[Any], aggs: dict[str, tuple[str, str]],
-                fill: Any = None, name: str = "{value}_{alias}") -> list[Column]:
+                fill: Any = None, name: str = "{value}_{alias}", other: str | None = OTHER) -> list[Column]:
     """Conditional aggregates equal to ``groupBy().pivot(pivot_col, values).agg(...)``.
 
     ``aggs`` maps alias -> (function, column); function is one of sum, count, mean,
     min, max. Output names follow Spark's pivot with several aggregates,
     ``<value>_<alias>``; with one aggregate pass ``name='{value}'``. As plain
-    aggregate expressions they fuse with other aggregates on the same key.
+    aggregate expressions they fuse with other aggregates on the same key. ``other``
+    names the columns of all unlisted values; None only where none can occur.
     """
     fn = {"sum": F.sum, "count": F.count, "mean": F.avg, "avg": F.avg, "min": F.min, "max": F.max}
     out = []
-    for v in values:
-        hit = F.col(pivot_col) == F.lit(v)
+    hits = [(v, F.col(pivot_col) == F.lit(v)) for v in values]
+    if other is not None:
+        hits.append((other, is_other(pivot_col, values)))
+    for v, hit in hits:
         for alias, (func, c) in aggs.items():
             e = fn[func](F.when(hit, F.col(c)))
             if fill is not None:
@@ -55,10 +67,11 @@ def pivot_exprs(pivot_col: str, values: Sequence[Any], aggs: dict[str, tuple[str
 
 
 def pivot_agg(df: DataFrame, by: Sequence[str] | str, pivot_col: str, values: Sequence[Any],
-              aggs: dict[str, tuple[str, str]], fill: Any = 0, name: str | None = None) -> DataFrame:
+              aggs: dict[str, tuple[str, str]], fill: Any = 0, name: str | None = None,
+              other: str | None = OTHER) -> DataFrame:
     by = [by] if isinstance(by, str) else list(by)
     name = name or ("{value}" if len(aggs) == 1 else "{value}_{alias}")
-    return df.groupBy(*by).agg(*pivot_exprs(pivot_col, values, aggs, fill, name))
+    return df.groupBy(*by).agg(*pivot_exprs(pivot_col, values, aggs, fill, name, other))
 
 
 def group_means(df: DataFrame, by: Sequence[str] | str, spec: dict[str, str], fill: Any = 0) -> DataFrame:
@@ -87,12 +100,12 @@ def non_null_counts(df: DataFrame, col: str, out: str | None = None) -> DataFram
     return df.groupBy(col).agg(F.count(col).alias(out or f"count_{col}"))
 
 
-def crosstab(df: DataFrame, by: str, pivot_col: str, values: Sequence[Any], fill: Any = 0) -> DataFrame:
-    """Counts of ``by`` x ``pivot_col`` with one column per listed value; empty cells
-    are ``fill``. Spark pre-aggregates per task before the single exchange on ``by``."""
+def crosstab(df: DataFrame, by: str, pivot_col: str, values: Sequence[Any], other: str = OTHER) -> DataFrame:
+    """Counts of ``by`` x ``pivot_col`` with one column per listed value and one for all
+    others; empty cells are 0. Spark pre-aggregates per task before the single exchange on ``by``."""
     return df.groupBy(by).agg(*[
-        F.coalesce(F.count(F.when(F.col(pivot_col) == F.lit(v), F.lit(1))), F.lit(fill)).alias(str(v))
-        for v in values])
+        F.count(F.when(F.col(pivot_col) == F.lit(v), F.lit(1))).alias(str(v)) for v in values],
+        F.count(F.when(is_other(pivot_col, values), F.lit(1))).alias(other))
 
 
 def mean_by_score(df: DataFrame, value: str, score: str = "review_score", positive_only: bool = False,

@@ -104,13 +104,17 @@ def typed_column_select(df: DataFrame, drop_types=(DateType(), StringType()),
 
 def array_expand(df: DataFrame, col: str, n: int, prefix: str | None = None,
                  keep: Iterable[str] = ()) -> DataFrame:
-    """Array (or ``vector_to_array`` output) element i -> scalar column ``prefix_i``."""
+    """Array (or ``vector_to_array`` output) element i -> scalar column ``prefix_i``. An array
+    of another length fails the job; a NULL array gives NULLs."""
     prefix = prefix or col
-    return df.select(*keep, *[F.col(col)[i].alias(f"{prefix}_{i}") for i in range(n)])
+    wrong = F.raise_error(F.concat(F.lit(f"array_expand: {col} has not {n} elements but "), F.size(col).cast("string")))
+    checked = F.when(F.col(col).isNull() | (F.size(col) == n), F.col(col)).otherwise(wrong)
+    return df.select(*keep, *[checked[i].alias(f"{prefix}_{i}") for i in range(n)])
 
 
-def round_doubles(df: DataFrame, digits: int) -> DataFrame:
-    """Round every double column; used only to compare against another engine.
+def round_doubles(df: DataFrame, digits: int, cols: Iterable[str]) -> DataFrame:
+    """Round the listed double columns: those that add up floating-point terms, whose last
+    bits depend on the order in which partial sums meet. All other columns stay as they are.
 
     Two steps through decimals: first to 9 places (absorbs last-bit noise from a
     different summation order), then half-up to ``digits``. NaN and infinities pass.
@@ -118,5 +122,6 @@ def round_doubles(df: DataFrame, digits: int) -> DataFrame:
     def rnd(c):
         x = F.col(c)
         return F.when(F.abs(x) < F.lit(1e28), F.round(x.cast("decimal(38,9)"), digits).cast("double")).otherwise(x)
-    return df.select([rnd(f.name).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name)
+    cols = set(cols)
+    return df.select([rnd(f.name).alias(f.name) if isinstance(f.dataType, DoubleType) and f.name in cols else F.col(f.name)
                       for f in df.schema.fields])

@@ -13,11 +13,14 @@ the per-score table give cumulative positives/negatives. Exact areas:
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.session import materialize
+from orderlens.operators.aggregate import is_other
 from orderlens.operators.prefix import exact_medians, prefix_sums
 
 
@@ -33,9 +36,11 @@ def score_groups(df: DataFrame, score: str, label: str, split_col: str | None =
         F.count(F.when(lab == 0, F.lit(1))).alias("neg"))
 
 
-def _cumulative(df: DataFrame, score: str, label: str, split_col: str | None) -> DataFrame:
-    g = score_groups(df, score, label, split_col)
-    return prefix_sums(g, [(score, False)], ["pos", "neg"], _groups(split_col))
+def _cumulative(df: DataFrame, score: str, label: str, split_col: str | None) -> tuple[DataFrame, DataFrame]:
+    """The per-score counts with running sums, and the counts themselves (written once:
+    split points, bucket totals and rows all read them)."""
+    g = materialize(score_groups(df, score, label, split_col), "score-counts")
+    return prefix_sums(g, [(score, False)], ["pos", "neg"], _groups(split_col), few_groups=True), g
 
 
 def _as_double(c: str | Column) -> Column:
@@ -48,14 +53,14 @@ def _ratio(num: str | Column, den: str | Column) -> Column:
 
 
 def auc_roc(df: DataFrame, score: str = "score", label: str = "label", split_col: str | None = None) -> DataFrame:
-    c = _cumulative(df, score, label, split_col)
+    c, _ = _cumulative(df, score, label, split_col)
     num = F.sum((F.col("neg") * (2 * F.col("cum_pos") - F.col("pos"))).cast("decimal(38,0)")).cast("double")
     den = F.lit(2.0) * _as_double(F.sum("pos")) * _as_double(F.sum("neg"))
     return c.groupBy(*_groups(split_col)).agg(F.try_divide(num, den).alias("auc_roc"))
 
 
 def auc_pr(df: DataFrame, score: str = "score", label: str = "label", split_col: str | None = None) -> DataFrame:
-    c = _cumulative(df, score, label, split_col)
+    c, _ = _cumulative(df, score, label, split_col)
     seen = F.col("cum_pos") + F.col("cum_neg")
     before = seen - F.col("pos") - F.col("neg")
     prec = _ratio("cum_pos", seen)
@@ -64,19 +69,19 @@ def auc_pr(df: DataFrame, score: str = "score", label: str = "label", split_col:
     return c.groupBy(*_groups(split_col)).agg(area.alias("auc_pr"))
 
 
-def _with_totals(c: DataFrame, split_col: str | None) -> DataFrame:
-    """Attach per-split totals P and N (a table with one row per split)."""
+def _with_totals(c: DataFrame, counts: DataFrame, split_col: str | None) -> DataFrame:
+    """Attach per-split totals P and N (one row per split label, broadcast)."""
     g = _groups(split_col)
     if g:
-        tot = c.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-        return c.join(tot, g)
-    tot = c.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
+        tot = counts.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+        return c.join(F.broadcast(tot), g)
+    tot = counts.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
     return c.withColumns({"P": tot.getField("P"), "N": tot.getField("N")})
 
 
 def roc_points(df: DataFrame, score: str = "score", label: str = "label", split_col: str | None = None) -> DataFrame:
     """``(split, threshold, fpr, tpr)`` at every distinct score, highest first."""
-    c = _with_totals(_cumulative(df, score, label, split_col), split_col)
+    c = _with_totals(*_cumulative(df, score, label, split_col), split_col)
     return c.select(*_groups(split_col), F.col(score).alias("threshold"),
                     _ratio("cum_neg", "N").alias("fpr"),
                     _ratio("cum_pos", "P").alias("tpr"))
@@ -91,7 +96,7 @@ def lift_points(df: DataFrame, score: str = "score", label: str = "label", split
     that group and ``lift = (cum_pos / P) / population``. Integer arithmetic decides
     which group holds which point.
     """
-    c = _with_totals(_cumulative(df, score, label, split_col), split_col)
+    c = _with_totals(*_cumulative(df, score, label, split_col), split_col)
     c = c.where(F.col("P") > 0).withColumn("cum_n", F.col("cum_pos") + F.col("cum_neg"))  # no positives: no curve
     kmin = F.expr(f"({points} * (cum_pos - pos)) div P") + 1
     kmax = F.expr(f"({points} * cum_pos) div P")
@@ -130,17 +135,23 @@ def f1_weighted(df: DataFrame, label: str = "label", pred: str = "prediction") -
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "prediction",
                      classes: Sequence | None = None) -> DataFrame:
     """One grouped count. Long form ``(label, prediction, count)``; with ``classes``,
-    one row per label and a ``prediction_<c>`` column per class (empty cells 0)."""
+    one row per label and a ``prediction_<c>`` column per class (empty cells 0) and
+    ``prediction_other`` for predictions outside the classes."""
     if classes is None:
         return df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("count"))
     return df.groupBy(label).agg(*[F.count(F.when(F.col(pred) == F.lit(c), F.lit(1))).alias(f"{pred}_{c}")
-                                   for c in classes])
+                                   for c in classes],
+                                 F.count(F.when(is_other(pred, classes), F.lit(1))).alias(f"{pred}_other"))
 
 
-def impute_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace NULL/NaN in ``cols`` by the column's exact median; the type is kept
-    (integral columns take the median truncated, as MLlib's ``Imputer``)."""
-    meds = exact_medians(df, cols)
+CORR_PAIRS = 7
+
+
+def impute_medians(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """Replace NULL/NaN in ``cols`` by the column's exact median (of ``fit_on``, else of
+    ``df``); the type is kept (integral columns take the median truncated, as MLlib's
+    ``Imputer``)."""
+    meds = exact_medians(df if fit_on is None else fit_on, cols)
     wide = meds.groupBy().pivot("column", list(cols)).agg(F.first("median"))
     m = wide.select(F.struct(*cols)).scalar()  # one row: a scalar subquery
     types = dict(df.dtypes)
@@ -166,13 +177,16 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], impute: Sequence[str] = (),
     if impute:
         data = impute_medians(data, list(impute))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    # Long form (pair, x, y) and one narrow ``corr`` per pair group: the partial
-    # aggregate keeps one small buffer per pair and task, and the generated code stays
-    # small (one wide 28-way aggregate compiles past the JIT's method-size limit).
-    long = data.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), _as_double(a).alias("x"), _as_double(b).alias("y"))
-        for a, b in pairs])).alias("e")).select("e.*")
-    upper = long.groupBy("row", "col").agg(F.corr("x", "y").alias("r"))
+    # A few pairs per aggregate: each row is read once per aggregate and never multiplied,
+    # and the generated code stays below the JIT's method-size limit (28 pairs in one do not).
+    # Each aggregate is one row; a pair's row in the result is cut from it by ``stack``.
+    parts = []
+    for at in range(0, len(pairs), CORR_PAIRS):
+        some = pairs[at:at + CORR_PAIRS]
+        one = data.agg(*[F.corr(_as_double(a), _as_double(b)).alias(f"r{i}") for i, (a, b) in enumerate(some)])
+        parts.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(some)]))))
+    upper = reduce(DataFrame.unionByName, parts) if parts else data.sparkSession.createDataFrame([], "row string, col string, r double")
     lower = upper.select(F.col("col").alias("row"), F.col("row").alias("col"), "r")
     diag = data.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "row string, col string, r double")
     return upper.unionByName(lower).unionByName(diag)

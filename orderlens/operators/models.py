@@ -47,6 +47,17 @@ def binary_estimators(n_features: int, seed: int = 7) -> dict[str, Any]:
 
 
 OVR_PARALLELISM = 5  # one concurrent fit per class; results do not depend on it
+FIRST_CLASS = 1  # scores are 1-5; MLlib counts classes from 0 and would fit an empty class 0
+
+
+def zero_based(df: DataFrame, label: str = "label") -> DataFrame:
+    """Scores 1-5 as classes 0-4, the form one-vs-rest models are fitted on."""
+    return df.withColumn(label, F.col(label) - FIRST_CLASS)
+
+
+def score_based(df: DataFrame, cols: Sequence[str] = ("label", "prediction")) -> DataFrame:
+    """Classes 0-4 back to scores 1-5."""
+    return df.withColumns({c: F.col(c) + FIRST_CLASS for c in cols if c in df.columns})
 
 
 def ovr_estimators(n_features: int, seed: int = 7) -> dict[str, Any]:
@@ -66,7 +77,7 @@ MULTI_METRICS = ("f1", "accuracy")
 
 def evaluate(pred: DataFrame, metric: str) -> float:
     if metric in BINARY_METRICS:
-        return BinaryClassificationEvaluator(metricName=metric).evaluate(pred)
+        return BinaryClassificationEvaluator(metricName=metric, numBins=0).evaluate(pred)  # exact, at any size
     return MulticlassClassificationEvaluator(metricName=metric).evaluate(pred)
 
 
@@ -112,6 +123,17 @@ def feature_importance(spark: SparkSession, model: Any, names: Sequence[str]) ->
     return spark.createDataFrame([(n, float(v)) for n, v in zip(names, imp)], schema)
 
 
+def source_columns(features: Sequence[str], numeric: Sequence[str], categorical: Sequence[str]) -> list[str]:
+    """The source columns behind feature names, in their order: a one-hot name
+    ``<column>_<level>`` counts for its column."""
+    out = []
+    for f in features:
+        found = f if f in numeric else next((c for c in categorical if f.startswith(f"{c}_")), None)
+        if found and found not in out:
+            out.append(found)
+    return out
+
+
 def feature_select_topk(importances: DataFrame, min_value: float = 0.05, k: int = 10) -> DataFrame:
     """Features above ``min_value``, best first (ties by name), at most ``k``: the
     limit is the feature (a top-k report)."""
@@ -126,7 +148,7 @@ def cross_validate(train: DataFrame, estimator: Any, param: str, values: Sequenc
     p = estimator.getParam(param)
     grid = ParamGridBuilder().addGrid(p, list(values)).build()
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid,
-                        evaluator=BinaryClassificationEvaluator(metricName=metric),
+                        evaluator=BinaryClassificationEvaluator(metricName=metric, numBins=0),
                         numFolds=folds, seed=seed, parallelism=parallelism)
     model = cv.fit(train)
     rows = [(float(pm[p]), float(m)) for pm, m in zip(grid, model.avgMetrics)]
@@ -139,8 +161,19 @@ def predictions(model: Any, df: DataFrame, id_col: str = "order_id", keep_label:
     return out.select(*cols)
 
 
+def ovr_fit(train: DataFrame, classifier: Any) -> Any:
+    """One-vs-rest on scores 1-5: one sub-model for each of the five."""
+    return OneVsRest(classifier=classifier, parallelism=OVR_PARALLELISM).fit(zero_based(train))
+
+
+def ovr_scores(model: Any, df: DataFrame, id_col: str = "order_id", keep_label: bool = True) -> DataFrame:
+    """Predicted scores 1-5 (``df`` holds labels as scores)."""
+    known = zero_based(df) if "label" in df.columns else df
+    return score_based(predictions(model, known, id_col, keep_label))
+
+
 def ovr_predict(train: DataFrame, valid: DataFrame, classifier: Any, id_col: str = "order_id") -> DataFrame:
-    return predictions(OneVsRest(classifier=classifier, parallelism=OVR_PARALLELISM).fit(train), valid, id_col)
+    return ovr_scores(ovr_fit(train, classifier), valid, id_col)
 
 
 def score_holdout(train: DataFrame, holdout: DataFrame, estimator: Any, id_col: str = "order_id") -> DataFrame:

@@ -21,7 +21,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 from orderlens.session import materialize
 
@@ -36,8 +36,20 @@ def _default_buckets(df: DataFrame) -> int:
     return max(16, 2 * parts)
 
 
-def _sort_key(df: DataFrame, name: str, ascending: bool) -> Column:
-    """A double that sorts like ``name`` in the requested direction, NULLs last."""
+def _text_key(df: DataFrame, name: str) -> Column:
+    """A double that never decreases along text ``name``: the six bytes after the prefix
+    that all values share (found from the least and the greatest), read as one number."""
+    ends = df.agg(F.min(name).alias("lo"), F.max(name).alias("hi")).first()  # one row
+    lo, hi = (str(ends[x] or "").encode() for x in ("lo", "hi"))
+    same = next((i for i, (a, b) in enumerate(zip(lo, hi)) if a != b), min(len(lo), len(hi)))
+    six = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), same + 1, 6)), 12, "0")
+    return F.conv(six, 16, 10).cast("double")
+
+
+def _sort_key(df: DataFrame, name: str, ascending: bool, nulls_last: bool = True) -> Column:
+    """A double that never decreases in the requested order of ``name`` (the window inside
+    a bucket settles ties). As in Spark's own order NaN is the greatest number; it shares
+    a key with infinity, and NULLs get the key of the end they sort to."""
     dt = df.schema[name].dataType
     c = F.col(name)
     if isinstance(dt, TimestampNTZType):
@@ -49,11 +61,14 @@ def _sort_key(df: DataFrame, name: str, ascending: bool) -> Column:
         v = F.unix_micros(c).cast("double")
     elif isinstance(dt, DateType):
         v = F.unix_date(c).cast("double")
+    elif isinstance(dt, StringType):
+        v = _text_key(df, name)
     else:
         v = c.cast("double")
+        v = F.when(F.isnan(v), F.lit(float("inf"))).otherwise(v)
     if not ascending:
         v = -v
-    return F.coalesce(v, F.lit(float("inf")))
+    return F.coalesce(v, F.lit(float("inf") if nulls_last else float("-inf")))
 
 
 def _order_exprs(order_by: OrderSpec) -> list[Column]:
@@ -71,12 +86,14 @@ def _order_exprs(order_by: OrderSpec) -> list[Column]:
 
 def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
                 partition_by: Sequence[str] = (), buckets: int | None = None,
-                accuracy: int | None = None, prefix: str = "cum_") -> DataFrame:
+                accuracy: int | None = None, prefix: str = "cum_", few_groups: bool = False) -> DataFrame:
     """Add ``cum_<s>``: the inclusive running sum of ``s`` in ``order_by`` order within
     each ``partition_by`` group.
 
-    The first ``order_by`` column must be numeric, date or timestamp; rows should be
-    unique on the ordering key (aggregate first). NULL lead keys sort last.
+    The first ``order_by`` column must be numeric, text, date or timestamp; rows should be
+    unique on the ordering key (aggregate first). ``few_groups`` says that the groups are a
+    handful by construction (listed columns, split labels): the per-group split points and
+    bucket offsets are then broadcast, so no row is shuffled on a group key.
     ``buckets`` defaults to twice the shuffle partitions (at least 16); the sketch's
     relative error is kept at a twentieth of a bucket, so buckets stay even.
     """
@@ -84,14 +101,15 @@ def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
     accuracy = accuracy or max(10000, 20 * nb)
     groups = list(partition_by)
     lead, lead_asc = order_by[0][0], order_by[0][1]
-    keyed = df.withColumn("_k", _sort_key(df, lead, lead_asc))
+    keyed = df.withColumn("_k", _sort_key(df, lead, lead_asc, order_by[0][2] if len(order_by[0]) > 2 else True))
 
     probs = [i / nb for i in range(1, nb)]
     step = max(1, math.isqrt(nb - 1))
     sketch = F.percentile_approx("_k", probs, accuracy).alias("_splits")
     coarse = F.filter("_splits", lambda s, i: i % step == step - 1).alias("_coarse")
     if groups:  # one row of split points per group, joined on the group key
-        keyed = keyed.join(keyed.groupBy(*groups).agg(sketch).select(*groups, "_splits", coarse), groups)
+        points = keyed.groupBy(*groups).agg(sketch).select(*groups, "_splits", coarse)
+        keyed = keyed.join(F.broadcast(points) if few_groups else points, groups)
     else:  # one row: a scalar subquery, computed once and inlined (in its own
         # projection: subqueries may not sit inside the lambdas below)
         one = keyed.agg(sketch).select(F.struct("_splits", coarse).alias("s")).scalar()
@@ -109,7 +127,7 @@ def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
     before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*groups, "_b", *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}")
                                              for s in sums])
-    if not groups:  # at most `buckets` rows: a proven bound
+    if not groups or few_groups:  # at most `buckets` rows for each group: a proven bound
         offsets = F.broadcast(offsets)
 
     running = (Window.partitionBy(*groups, "_b").orderBy(*_order_exprs(order_by))
@@ -120,11 +138,11 @@ def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
 
 
 def rows_at_ranks(df: DataFrame, order_by: OrderSpec, weight: str, ranks: Column,
-                  partition_by: Sequence[str] = ()) -> DataFrame:
+                  partition_by: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
     """Rows of a weighted, key-unique table that hold the 1-based rank(s) ``ranks``
     (an array column, constant or per group). Adds ``hits`` (how many of the ranks fall
     on the row) and ``rank_before`` (total weight strictly before the row)."""
-    cum = prefix_sums(df, order_by, [weight], partition_by, prefix="_cum_")
+    cum = prefix_sums(df, order_by, [weight], partition_by, prefix="_cum_", few_groups=few_groups)
     lo = F.col(f"_cum_{weight}") - F.col(weight)
     hi = F.col(f"_cum_{weight}")
     hits = F.size(F.filter(ranks, lambda r: (r > lo) & (r <= hi)))
@@ -133,7 +151,7 @@ def rows_at_ranks(df: DataFrame, order_by: OrderSpec, weight: str, ranks: Column
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Exact median of every listed column (NULLs ignored; even counts average the two
+    """Exact median of every listed column (NULL and NaN ignored; even counts average the two
     middle values, as ``percentile(0.5)``). Returns ``(column, median)``. A fit step:
     it writes the per-value count table once (one job) and returns a lazy result.
 
@@ -144,7 +162,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
-    ])).alias("kv")).select("kv.column", "kv.value").where(F.col("value").isNotNull())
+    ])).alias("kv")).select("kv.column", "kv.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
     # The value-count table feeds five branches below (totals, split points, bucket
     # totals, rows, offsets): written once to the shared folder instead of recomputed
     # from the source in each.
@@ -152,5 +170,5 @@ def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     n = counts.groupBy("column").agg(F.sum("w").alias("n"))
     ranks = F.array(F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1)
     with_n = counts.join(F.broadcast(n), "column")  # one row per listed column
-    mids = rows_at_ranks(with_n, [("value", True)], "w", ranks, partition_by=["column"])
+    mids = rows_at_ranks(with_n, [("value", True)], "w", ranks, partition_by=["column"], few_groups=True)
     return mids.groupBy("column").agg((F.sum(F.col("value") * F.col("hits")) / 2).alias("median"))

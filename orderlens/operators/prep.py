@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.operators.metrics import impute_medians
+from orderlens.operators.prefix import exact_medians
 
 
 def median_impute(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
@@ -57,42 +58,55 @@ def maxabs_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def preprocessing_pipeline(label: str, numeric: Sequence[str], categorical: Sequence[str],
-                           impute: Sequence[str]) -> Pipeline:
-    """The reference's pipeline: median ``Imputer`` -> ``RFormula`` (strings indexed and
-    one-hot encoded, last level dropped) -> ``MaxAbsScaler``. Features are an explicit
-    allow-list instead of ``. - id``, so ids and timestamps never become features."""
+                           unseen: str = "error") -> Pipeline:
+    """``RFormula`` (strings indexed and one-hot encoded, last level dropped) ->
+    ``MaxAbsScaler``, on imputed columns. Features are an explicit allow-list instead of
+    ``. - id``, so ids and timestamps never become features. ``unseen`` is what happens to
+    a level that the training part lacks: ``error``, ``keep`` (a level of its own) or ``skip``."""
     formula = f"{label} ~ " + " + ".join([*numeric, *categorical])
     return Pipeline(stages=[
-        Imputer(inputCols=list(impute), outputCols=list(impute), strategy="median"),
-        RFormula(formula=formula, featuresCol="raw_features", labelCol="label"),
+        RFormula(formula=formula, featuresCol="raw_features", labelCol="label", handleInvalid=unseen),
         MaxAbsScaler(inputCol="raw_features", outputCol="features"),
     ])
 
 
-def informative(df: DataFrame, categorical: Sequence[str]) -> list[str]:
-    """The categorical columns with at least two levels (one global aggregate, one
-    boolean per column). A one-level column carries no information and would make the
-    one-hot stage of ``RFormula`` fail."""
+def single_level(df: DataFrame, categorical: Sequence[str]) -> list[str]:
+    """The categorical columns with one level or none (one global aggregate). ``RFormula``
+    cannot encode them; ``prepare`` keeps them as a constant feature."""
     if not categorical:
         return []
     row = df.agg(*[(F.min(c) != F.max(c)).alias(c) for c in categorical]).first()
-    return [c for c in categorical if row[c]]
+    return [c for c in categorical if not row[c]]
+
+
+def fitted_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """Exact median per column: one row per listed column reaches the driver."""
+    return {r["column"]: r["median"] for r in exact_medians(df, cols).collect()}
+
+
+def fill_medians(df: DataFrame, medians: dict[str, float]) -> DataFrame:
+    """NULL and NaN of double columns replaced by fitted medians."""
+    return df.withColumns({c: F.when(F.col(c).isNull() | F.isnan(c), F.lit(m)).otherwise(F.col(c)) for c, m in medians.items()})
 
 
 def prepare(train: DataFrame, others: Sequence[DataFrame], label: str, id_col: str,
             numeric: Sequence[str], categorical: Sequence[str],
-            impute: Sequence[str] | None = None) -> tuple[PipelineModel, list[DataFrame]]:
+            impute: Sequence[str] | None = None, unseen: str = "error") -> tuple[PipelineModel, list[DataFrame]]:
     """Fit the pipeline on ``train`` only (the reference fitted before splitting, which
     leaks validation rows into the medians and scales), then transform ``train`` and
     each of ``others`` (which may lack the label, e.g. the holdout) to
-    ``(id, features[, label])``."""
+    ``(id, features[, label])``. Medians are exact. A categorical column of a single level
+    stays as the constant feature ``<column>_index``, so the feature set depends on the
+    columns asked for and not on the data."""
     cast = lambda d: d.withColumns({c: F.col(c).cast("double") for c in numeric})
-    impute = list(numeric if impute is None else impute)
-    categorical = informative(train, categorical)
-    model = preprocessing_pipeline(label, numeric, categorical, impute).fit(cast(train))
+    medians = fitted_medians(cast(train), list(numeric if impute is None else impute))
+    constant = single_level(train, categorical)
+    fixed = {f"{c}_index": F.lit(0.0) for c in constant}
+    ready = lambda d: fill_medians(cast(d), medians).withColumns(fixed)
+    model = preprocessing_pipeline(label, [*numeric, *fixed], [c for c in categorical if c not in constant], unseen).fit(ready(train))
     out = []
     for d in [train, *others]:
-        t = model.transform(cast(d))
+        t = model.transform(ready(d))
         names = t.schema["raw_features"].metadata  # scaled vector keeps the feature names
         cols = [F.col(id_col), F.col("features").alias("features", metadata=names)]
         out.append(t.select(*cols, *(["label"] if "label" in t.columns else [])))

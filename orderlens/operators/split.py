@@ -100,12 +100,28 @@ def stratified_sample(df: DataFrame, id_col: str, stratum: str, fractions: dict[
     raise ValueError(f"unknown method {method!r}")
 
 
+EXCEPT_CHUNK = 10_000
+
+
 def except_all(df: DataFrame, other: DataFrame) -> DataFrame:
-    """Multiset difference (``EXCEPT ALL``): Spark plans it as a union of +1/-1
-    counts, an aggregate per distinct row and a row replication."""
-    return df.exceptAll(other)
+    """Multiset difference (``EXCEPT ALL``).
+
+    Copies are counted per distinct row (+1 left, -1 right; partial aggregation). A row left
+    over n times becomes n / ``EXCEPT_CHUNK`` chunks, which are dealt evenly to all tasks
+    before each writes out its copies: a few distinct rows do not mean a few tasks.
+    """
+    cols = df.columns
+    signed = df.withColumn("_n", F.lit(1)).unionByName(other.toDF(*cols).withColumn("_n", F.lit(-1)))
+    left = signed.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n > 0")
+    starts = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(EXCEPT_CHUNK).cast("long"))
+    chunks = left.withColumn("_at", F.explode(starts)).withColumn("_n", F.least(F.lit(EXCEPT_CHUNK), F.col("_n") - F.col("_at")))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = chunks.repartition(tasks, *cols, "_at")
+    return dealt.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*cols)
 
 
 def except_distinct(df: DataFrame, other: DataFrame) -> DataFrame:
-    """Set difference (``EXCEPT``): a null-safe left anti join plus distinct."""
+    """Set difference (``EXCEPT``): a null-safe left anti join. Both sides drop their repeated
+    rows first (partial aggregation), so the join moves distinct rows only."""
+    df, other = df.distinct(), other.distinct()
     return df.subtract(other)

@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 
 from orderlens import functions as X
 from orderlens.operators import clean as C
-from orderlens.operators import pareto as P
 from orderlens.plans import features as FE
-from orderlens.session import materialize, session_key
+from orderlens.session import input_stamp, materialize, session_key
 from orderlens.sources import views as V
 
 
@@ -40,19 +39,6 @@ def binary_label(df: DataFrame, label_col: str = "label", positive: Sequence = (
     return kept.withColumn(out, F.when(F.col(label_col).isin(*positive), F.lit(1)).otherwise(F.lit(0)))
 
 
-def fit_categories(items: DataFrame, products: DataFrame, share: float = 0.8) -> DataFrame:
-    """Pareto categories fitted on (training) items joined to products.
-
-    Items are counted per product first (partial aggregation: a hot product is one row),
-    so the join to products and the per-category sum move one row per product, not per
-    item. Same counts as counting joined item rows per category.
-    """
-    per_product = items.groupBy("product_id").agg(F.count("product_id").alias("n"))
-    cats = per_product.join(products.select("product_id", "product_category_name"), ["product_id"], "left")
-    counts = cats.groupBy("product_category_name").agg(F.sum("n").alias("present_in"))
-    return P.pareto_fit_counts(counts, "product_category_name", share)
-
-
 def basetable(orders: DataFrame, payments: DataFrame, items: DataFrame, products: DataFrame,
               reviews: DataFrame | None = None, fitted: DataFrame | None = None,
               payment_types: Sequence[str] = FE.NORMALIZED_PAYMENT_TYPES,
@@ -88,7 +74,7 @@ def both_sides(spark: SparkSession, sf_dir: str, sentinel: bool = False) -> Data
     items = V.items(spark, sf_dir)
     products = V.products(spark, sf_dir)
     reviews = V.reviews(spark, sf_dir).where(~V.is_holdout())
-    fitted = materialize(fit_categories(items.where(~V.is_holdout()), products), "pareto-categories")
+    fitted = materialize(FE.fit_categories(items.where(~V.is_holdout()), products), "pareto-categories")
     return basetable(orders, V.payments(spark, sf_dir), items, products, reviews, fitted=fitted,
                      sentinel=sentinel, by=[SIDE])
 
@@ -106,20 +92,27 @@ def basetables(spark: SparkSession, sf_dir: str, sentinel: bool = False) -> tupl
 
 
 _MATERIALIZED: dict[tuple, DataFrame] = {}
+SOURCES = ["orders", "lineitem", "part"]
+
+
+def memo_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identifies the session and the very files that a basetable is built from."""
+    folder = sf_dir.rstrip("/")
+    return session_key(spark), folder, input_stamp(spark, [f"{folder}/{t}.parquet" for t in SOURCES])
 
 
 def materialized_basetable(spark: SparkSession, sf_dir: str, holdout: bool = False) -> DataFrame:
     """The basetable written once per session to the shared checkpoint folder.
 
-    The insight queries, the model preparation and the correlation all read it, as the
+    Changed input files give a new table. The insight queries, the model preparation and the correlation all read it, as the
     reference's notebook re-read its un-cached basetable; written Parquet cuts the
     lineage (a lost executor re-reads files) and keeps pruning/pushdown for readers.
     """
-    key = (session_key(spark), sf_dir.rstrip("/"), holdout)
+    key = (*memo_key(spark, sf_dir), holdout)
     if key not in _MATERIALIZED:
         # One job writes both sides, partitioned by side; each reader prunes to its folder.
         both = materialize(both_sides(spark, sf_dir), "basetable", partition_by=[SIDE])
         train, hold = sides(both)
-        _MATERIALIZED[key[:2] + (False,)] = train
-        _MATERIALIZED[key[:2] + (True,)] = hold
+        _MATERIALIZED[(*key[:-1], False)] = train
+        _MATERIALIZED[(*key[:-1], True)] = hold
     return _MATERIALIZED[key]

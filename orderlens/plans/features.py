@@ -61,7 +61,8 @@ def normalize_payment_types(payments: DataFrame) -> DataFrame:
 
 
 def payments_by_order(payments: DataFrame, types: Sequence[str]) -> DataFrame:
-    """``(order_id, payment_methods, <type>_installments, <type>_amount ...)``.
+    """``(order_id, payment_methods, <type>_installments, <type>_amount ...)``; types that
+    are not listed add up under ``other_*``.
 
     Two hash aggregates and no join (the reference runs a distinct count and a pivot
     as two aggregates and joins them): first per (order, type), which pre-sums the
@@ -92,6 +93,32 @@ def items_features(df: DataFrame) -> DataFrame:
             .withColumn("shipping_cost_per_g", X.safe_divide("shipping_cost", "product_weight_g")))
 
 
+def fit_categories(items: DataFrame, products: DataFrame, share: float = 0.8) -> DataFrame:
+    """Pareto categories fitted on (training) items joined to products.
+
+    Items are counted per product first (partial aggregation: a hot product is one row),
+    so the join to products and the per-category sum move one row per product, not per
+    item. Same counts as counting joined item rows per category.
+    """
+    per_product = items.groupBy("product_id").agg(F.count("product_id").alias("n"))
+    cats = per_product.join(products.select("product_id", "product_category_name"), ["product_id"], "left")
+    counts = cats.groupBy("product_category_name").agg(F.sum("n").alias("present_in"))
+    return P.pareto_fit_counts(counts, "product_category_name", share)
+
+
+def flagged_items(items: DataFrame, products: DataFrame, fitted: DataFrame | None = None) -> DataFrame:
+    """Items with their product's features, the category replaced by the in/out label.
+
+    The label is put on the product dimension, so item rows are joined on ``product_id``
+    only and never on the few category names.
+    """
+    if fitted is None:
+        fitted = fit_categories(items, products)
+    flagged = P.pareto_apply(products, fitted, "product_category_name")
+    return items_features(items_products_join(items, flagged)).withColumn(
+        "product_category_name", F.coalesce(F.col("product_category_name"), F.lit(P.NOT_IN_TOP)))
+
+
 def items_by_order(items: DataFrame, products: DataFrame, fitted: DataFrame | None = None) -> DataFrame:
     """Per order: item counts inside/outside the Pareto categories and 8 item means.
 
@@ -101,13 +128,9 @@ def items_by_order(items: DataFrame, products: DataFrame, fitted: DataFrame | No
     twice; an item without a product is out of the cut, like a NULL category. Counts
     and means are one aggregate.
     """
-    if fitted is None:
-        fitted = P.pareto_fit(items_features(items_products_join(items, products)), "product_category_name")
-    flagged_products = P.pareto_apply(products, fitted, "product_category_name")
-    flagged = items_features(items_products_join(items, flagged_products)).withColumn(
-        "product_category_name", F.coalesce(F.col("product_category_name"), F.lit(P.NOT_IN_TOP)))
+    flagged = flagged_items(items, products, fitted)
     counts = A.pivot_exprs("product_category_name", [P.IN_TOP, P.NOT_IN_TOP],
-                           {"n": ("count", "product_id")}, fill=0, name="{value}")
+                           {"n": ("count", "product_id")}, fill=0, name="{value}", other=None)
     means = [F.coalesce(F.avg(c), F.lit(0)).alias(o) for o, c in ITEM_MEANS.items()]
     return flagged.groupBy("order_id").agg(*counts, *means)
 

@@ -75,7 +75,7 @@ def payment_method_counts(bt: DataFrame) -> DataFrame:
 
 
 def payment_totals(bt: DataFrame) -> DataFrame:
-    return A.column_totals(bt, [f"{t}_amount" for t in FE.NORMALIZED_PAYMENT_TYPES])
+    return A.column_totals(bt, [f"{t}_amount" for t in [*FE.NORMALIZED_PAYMENT_TYPES, A.OTHER]])
 
 
 def mean_photos_by_score(bt: DataFrame) -> DataFrame:

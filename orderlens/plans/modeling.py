@@ -22,8 +22,8 @@ from orderlens.operators import prep as PR
 from orderlens.operators import split as S
 from orderlens.plans import basetable as B
 from orderlens.plans import features as FE
-from orderlens.session import session_key
 
+# The feature columns, by name.
 NUMERIC = [
     "delivery_duration_days", "delivery_delay_days", "duration_flag", "delays_flag",
     *[f"{t}_installments" for t in FE.NORMALIZED_PAYMENT_TYPES],
@@ -43,8 +43,13 @@ class Prepared:
     holdout: DataFrame      # (order_id, features)
     n_features: int
     names: list[str]
+    sides: tuple[DataFrame, DataFrame, DataFrame]  # the basetable parts behind them
     cache: dict[str, Any] = field(default_factory=dict)
 
+    def release(self) -> None:
+        for d in (self.train, self.valid, self.holdout, *[x for x in self.cache.values() if isinstance(x, DataFrame)]):
+            d.unpersist()
+
     @property
     def train_binary(self) -> DataFrame:
         return B.binary_label(self.train)
@@ -74,14 +79,16 @@ _PREPARED: dict[tuple, Prepared] = {}
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
-    key = (session_key(spark), sf_dir.rstrip("/"))
+    key = B.memo_key(spark, sf_dir)
     if key not in _PREPARED:
+        for old in [k for k in _PREPARED if k[:2] == key[:2]]:  # the files changed: their frames are of no more use
+            _PREPARED.pop(old).release()
         bt = B.materialized_basetable(spark, sf_dir)
         ho = B.materialized_basetable(spark, sf_dir, holdout=True)
         first, rest = S.split_time_prefix(bt, "order_purchase_timestamp", "order_id", SPLIT_SHARE)
         _, (tr, va, hd) = PR.prepare(first, [rest, ho], "review_score", "order_id", NUMERIC, CATEGORICAL)
         tr, va, hd = (d.persist(StorageLevel.MEMORY_AND_DISK) for d in (tr, va, hd))
-        _PREPARED[key] = Prepared(tr, va, hd, M.num_features(tr), PR.feature_names(tr))
+        _PREPARED[key] = Prepared(tr, va, hd, M.num_features(tr), PR.feature_names(tr), (first, rest, ho))
     return _PREPARED[key]
 
 
@@ -118,3 +125,67 @@ def scored_splits(p: Prepared, seed: int) -> DataFrame:
         # Persisted: the running sums behind ROC and lift read their input three times.
         p.cache[key] = parts[0].unionByName(parts[1]).persist(StorageLevel.MEMORY_AND_DISK)
     return p.cache[key]
+
+
+def final_binary(p: Prepared) -> Any:
+    """The final binary model, fitted once on all reviewed train orders."""
+    if "final_binary" not in p.cache:
+        p.cache["final_binary"] = final_gbt().fit(p.full_binary)
+    return p.cache["final_binary"]
+
+
+def validation_ovr(p: Prepared) -> Any:
+    """One-vs-rest on the train split, read by predictions, confusion matrix and metrics."""
+    if "validation_ovr" not in p.cache:
+        p.cache["validation_ovr"] = M.ovr_fit(p.train_multi, final_gbt())
+    return p.cache["validation_ovr"]
+
+
+def final_ovr(p: Prepared) -> Any:
+    if "final_ovr" not in p.cache:
+        p.cache["final_ovr"] = M.ovr_fit(p.full_multi, final_gbt())
+    return p.cache["final_ovr"]
+
+
+def final_scores(p: Prepared) -> DataFrame:
+    """(order_id, prediction_binary, prediction_multiclass) of every holdout order."""
+    return M.score_merge(M.predictions(final_binary(p), p.holdout, keep_label=False),
+                         M.ovr_scores(final_ovr(p), p.holdout, keep_label=False))
+
+
+def selected_columns(p: Prepared) -> list[str]:
+    """Source columns of the most important features (all of them if none stands out)."""
+    top = M.feature_select_topk(M.feature_importance(p.train.sparkSession, importance_model(p), p.names)).collect()  # 10 rows at most
+    return M.source_columns([r["feature"] for r in top], NUMERIC, CATEGORICAL) or [*NUMERIC, *CATEGORICAL]
+
+
+def refit(train: DataFrame, valid: DataFrame, others: list[DataFrame], columns: list[str],
+          unseen: str = "keep") -> tuple[Any, DataFrame, list[DataFrame]]:
+    """Pipeline and final binary GBT fitted on ``columns`` of ``train``: (model, validation
+    scored as (order_id, label, p_1), the other frames prepared)."""
+    numeric, categorical = [c for c in NUMERIC if c in columns], [c for c in CATEGORICAL if c in columns]
+    _, (tr, va, *rest) = PR.prepare(train, [valid, *others], "review_score", "order_id", numeric, categorical, unseen=unseen)
+    tr = B.binary_label(tr).persist(StorageLevel.MEMORY_AND_DISK)
+    model = final_gbt().fit(tr)
+    tr.unpersist()
+    scored = M.probability_columns(model.transform(B.binary_label(va))).select("order_id", "label", "p_1")
+    return model, scored, rest
+
+
+def selected_refit(p: Prepared) -> tuple[DataFrame, DataFrame]:
+    """Refit on the selected features: (validation scores, holdout predictions)."""
+    if "selected_refit" not in p.cache:
+        first, rest, holdout = p.sides
+        model, scored, (hold,) = refit(first, rest, [holdout], selected_columns(p))
+        p.cache["selected_refit"] = scored, M.predictions(model, hold, keep_label=False)
+    return p.cache["selected_refit"]
+
+
+def stratified_refit(p: Prepared, share: float = 0.7) -> DataFrame:
+    """The stratified path: a hash sample of ``share`` of every score trains, the rest validates."""
+    if "stratified_refit" not in p.cache:
+        first, rest, _ = p.sides
+        reviewed = first.unionByName(rest).where("review_score <> 0")
+        train = S.stratified_sample(reviewed, "order_id", "review_score", {float(s): share for s in range(1, 6)})
+        p.cache["stratified_refit"] = refit(train, S.complement(reviewed, train, "order_id"), [], [*NUMERIC, *CATEGORICAL])[1]
+    return p.cache["stratified_refit"]

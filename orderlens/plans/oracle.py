@@ -35,17 +35,20 @@ SELECT l_orderkey AS order_id, l_partkey AS product_id, l_extendedprice AS price
 FROM lineitem)"""
 
 V_PRODUCTS = """v_products AS (
-SELECT p_partkey AS product_id, CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_brand END AS product_category_name,
-  CAST(length(p_name) AS INTEGER) AS product_name_length,
-  CAST(length(p_name) + length(p_type) AS INTEGER) AS product_description_length,
-  p_size % 7 AS product_photos_qty, CASE WHEN p_size % 10 = 0 THEN 0 ELSE p_size * 100 END AS product_weight_g,
-  p_size % 20 + 1 AS product_length_cm, p_size % 15 + 1 AS product_height_cm, p_size % 10 + 1 AS product_width_cm
-FROM part WHERE p_partkey % 89 <> 0)"""
+SELECT p_partkey AS product_id, CASE WHEN known AND p_partkey % 50 <> 0 THEN p_brand END AS product_category_name,
+  CASE WHEN known THEN CAST(length(p_name) AS INTEGER) END AS product_name_length,
+  CASE WHEN known THEN CAST(length(p_name) + length(p_type) AS INTEGER) END AS product_description_length,
+  CASE WHEN known THEN p_size % 7 END AS product_photos_qty,
+  CASE WHEN known THEN CASE WHEN p_size % 10 = 0 THEN 0 ELSE p_size * 100 END END AS product_weight_g,
+  CASE WHEN known THEN p_size % 20 + 1 END AS product_length_cm, CASE WHEN known THEN p_size % 15 + 1 END AS product_height_cm,
+  CASE WHEN known THEN p_size % 10 + 1 END AS product_width_cm
+FROM (SELECT *, p_partkey % 89 <> 0 AS known FROM part) p)"""
 
 V_REVIEWS = """v_reviews AS (
-SELECT o_orderkey AS order_id, 1 + (o_orderkey * 7 + o_custkey) % 5 AS review_score,
-  CAST(o_orderdate + INTERVAL '40' DAY AS DATE) AS review_creation_date, o_orderdate + INTERVAL '50' DAY AS review_answer_timestamp
-FROM orders WHERE o_orderkey % 7 <> 0
+SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 7 <> 0 THEN 1 + (o_orderkey * 7 + o_custkey) % 5 END AS review_score,
+  CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate + INTERVAL '40' DAY AS DATE) END AS review_creation_date,
+  CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate + INTERVAL '50' DAY END AS review_answer_timestamp
+FROM orders
 UNION ALL
 SELECT o_orderkey, 1 + (o_orderkey + o_custkey) % 5, CAST(o_orderdate + INTERVAL '45' DAY AS DATE), o_orderdate + INTERVAL '55' DAY
 FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0)"""
@@ -109,6 +112,9 @@ def payments_by_order_sql(src: str, types: list[str]) -> str:
         cols.append(f"CAST(coalesce(sum(CASE WHEN payment_type = '{t}' THEN payment_installments END), 0) AS BIGINT) "
                     f"AS {t}_installments")
         cols.append(f"coalesce(sum(CASE WHEN payment_type = '{t}' THEN payment_value END), 0) AS {t}_amount")
+    rest = f"payment_type IS NULL OR payment_type NOT IN ({', '.join(repr(t) for t in types)})"
+    cols.append(f"CAST(coalesce(sum(CASE WHEN {rest} THEN payment_installments END), 0) AS BIGINT) AS other_installments")
+    cols.append(f"coalesce(sum(CASE WHEN {rest} THEN payment_value END), 0) AS other_amount")
     return f"""SELECT order_id, CASE WHEN count(DISTINCT payment_type) > 1 THEN 'multiple' ELSE 'single' END AS payment_methods,
   {', '.join(cols)}
 FROM {src} GROUP BY order_id"""

@@ -2,15 +2,16 @@
 DuckDB SQL twin. ``__spark_entry__.py`` re-exports these.
 
 Every query reads the driver tables (or the basetable Spark derives from them) in
-full. Double columns with computed values are rounded to ``ROUND`` digits on both
-sides, since the two engines may add floating-point terms in a different order.
+full. Only the double columns a key lists (sums, means and ratios of them, whose last
+bits depend on the order of addition) are rounded, to ``ROUND`` digits on both sides; the
+operators themselves return raw values.
 """
 
 from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.ml.classification import GBTClassifier, OneVsRest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,9 @@ from orderlens.plans import features as FE
 from orderlens.plans import insights as I
 from orderlens.plans import modeling as ML
 from orderlens.plans import oracle as O
+from orderlens.session import materialize, scratch_path
 from orderlens.sources import csv as CSV
+from orderlens.sources import tables as TB
 from orderlens.sources import views as V
 
 ROUND = 6
@@ -40,7 +43,7 @@ def register(key: str, sql: str | None = None, digits: int | None = None, sql_do
         if digits is None:
             QUERIES[key] = fn
         else:
-            QUERIES[key] = lambda spark, sf_dir: C.round_doubles(fn(spark, sf_dir), digits)
+            QUERIES[key] = lambda spark, sf_dir: C.round_doubles(fn(spark, sf_dir), digits, sql_doubles)
         QUERIES[key].__name__ = key
         QUERIES[key].__doc__ = fn.__doc__
         if sql is not None:
@@ -199,7 +202,7 @@ def q_payment_multiplicity(spark, sf_dir):
 
 _PIVOT_SQL = O.payments_by_order_sql("v_payments", O.PAY_TYPES_ALL)
 _PIVOT_ONLY = "SELECT * EXCLUDE (payment_methods) FROM (" + _PIVOT_SQL + ") p"
-_AMOUNTS_ALL = [f"{t}_amount" for t in O.PAY_TYPES_ALL]
+_AMOUNTS_ALL = [f"{t}_amount" for t in [*O.PAY_TYPES_ALL, "other"]]
 
 
 @register("payment_pivot", O.with_views(_PIVOT_ONLY, "v_payments"), ROUND, _AMOUNTS_ALL)
@@ -247,13 +250,12 @@ _FIT_CTES = [f"ip AS ({_IP})", f"cum AS ({O.category_cum_sql('ip')})", f"fit AS
 @register("pareto_categories", O.with_views("SELECT * FROM fit", *_IP_VIEWS, extra=_FIT_CTES))
 def q_pareto_categories(spark, sf_dir):
     """Categories inside the 80 % cut, fitted from per-product item counts."""
-    return B.fit_categories(V.items(spark, sf_dir), V.products(spark, sf_dir))
+    return FE.fit_categories(V.items(spark, sf_dir), V.products(spark, sf_dir))
 
 
 @register("pareto_flag", O.with_views(O.flagged_sql("ip", "fit"), *_IP_VIEWS, extra=_FIT_CTES))
 def q_pareto_flag(spark, sf_dir):
-    fitted = B.fit_categories(V.items(spark, sf_dir), V.products(spark, sf_dir))
-    return P.pareto_apply(_items_features(spark, sf_dir), fitted, "product_category_name")
+    return FE.flagged_items(V.items(spark, sf_dir), V.products(spark, sf_dir))
 
 
 @register("pareto_flag_pivot", O.with_views(
@@ -261,10 +263,9 @@ def q_pareto_flag(spark, sf_dir):
     "count(CASE WHEN product_category_name = 'not_in_top_20' THEN product_id END) AS not_in_top_20 "
     f"FROM ({O.flagged_sql('ip', 'fit')}) f GROUP BY order_id", *_IP_VIEWS, extra=_FIT_CTES))
 def q_pareto_flag_pivot(spark, sf_dir):
-    fitted = B.fit_categories(V.items(spark, sf_dir), V.products(spark, sf_dir))
-    flagged = P.pareto_apply(_items_features(spark, sf_dir), fitted, "product_category_name")
+    flagged = FE.flagged_items(V.items(spark, sf_dir), V.products(spark, sf_dir))
     return A.pivot_agg(flagged, "order_id", "product_category_name", [P.IN_TOP, P.NOT_IN_TOP],
-                       {"n": ("count", "product_id")})
+                       {"n": ("count", "product_id")}, other=None)
 
 
 _MEAN_COLS = [o for o, _ in O.ITEM_MEANS]
@@ -290,7 +291,7 @@ def q_reviews_by_order(spark, sf_dir):
 
 # ---------------------------------------------------------------- basetables
 
-_BT_DOUBLES = [f"{t}_amount" for t in O.PAY_TYPES] + _MEAN_COLS
+_BT_DOUBLES = [f"{t}_amount" for t in [*O.PAY_TYPES, "other"]] + _MEAN_COLS
 
 
 @register("basetable_train", O.on_basetable("SELECT * FROM bt_train"), ROUND, _BT_DOUBLES)
@@ -341,7 +342,8 @@ def q_sentiment_distribution(spark, sf_dir):
 
 @register("sentiment_by_repeat", O.on_basetable(
     "SELECT review_sentiment, count(CASE WHEN repeat_customer = 'no' THEN 1 END) AS no, "
-    "count(CASE WHEN repeat_customer = 'yes' THEN 1 END) AS yes FROM bt_train GROUP BY review_sentiment"))
+    "count(CASE WHEN repeat_customer = 'yes' THEN 1 END) AS yes, "
+    "count(CASE WHEN coalesce(repeat_customer, '') NOT IN ('no', 'yes') THEN 1 END) AS other FROM bt_train GROUP BY review_sentiment"))
 def q_sentiment_by_repeat(spark, sf_dir):
     return I.sentiment_by_repeat(_bt(spark, sf_dir))
 
@@ -349,6 +351,7 @@ def q_sentiment_by_repeat(spark, sf_dir):
 @register("sentiment_by_status", O.on_basetable(
     "SELECT review_sentiment, " + ", ".join(f"count(CASE WHEN status = '{s}' THEN 1 END) AS {s}"
                                             for s in FE.STATUS_VALUES)
+    + f", count(CASE WHEN coalesce(status, '') NOT IN ({', '.join(map(repr, FE.STATUS_VALUES))}) THEN 1 END) AS other"
     + " FROM bt_train GROUP BY review_sentiment"))
 def q_sentiment_by_status(spark, sf_dir):
     return I.sentiment_by_status(_bt(spark, sf_dir))
@@ -396,7 +399,7 @@ def q_payment_method_counts(spark, sf_dir):
 
 @register("payment_totals", O.on_basetable(
     "SELECT " + ", ".join(f"CAST(sum(CAST({t}_amount AS DECIMAL(28,2))) AS DOUBLE) AS sum_{t}_amount"
-                          for t in O.PAY_TYPES) + " FROM bt_train"))
+                          for t in [*O.PAY_TYPES, "other"]) + " FROM bt_train"))
 def q_payment_totals(spark, sf_dir):
     return I.payment_totals(_bt(spark, sf_dir))
 
@@ -449,10 +452,9 @@ def q_split_time_prefix(spark, sf_dir):
 @register("split_complement", O.with_views(f"SELECT * EXCLUDE (rn, k) FROM ({_RANKED}) r WHERE rn > k",
                                            "v_orders"))
 def q_split_complement(spark, sf_dir):
-    """Orders not in the time prefix: left anti join on the id."""
-    orders = V.orders(spark, sf_dir)
-    first, _ = SP.split_time_prefix(orders, "order_purchase_timestamp", "order_id")
-    return SP.complement(orders, first, "order_id")
+    """Orders not in the time prefix: the complementary filter, without a join."""
+    _, rest = SP.split_time_prefix(V.orders(spark, sf_dir), "order_purchase_timestamp", "order_id")
+    return rest
 
 
 _STRATA = {1: 0.7, 2: 0.7, 3: 0.7, 4: 0.7, 5: 0.7}
@@ -578,11 +580,13 @@ _CLASSES = [1, 2, 3, 4, 5]
 
 @register("confusion_matrix", O.with_views(
     "SELECT label, " + ", ".join(f"count(CASE WHEN prediction = {c} THEN 1 END) AS prediction_{c}" for c in _CLASSES)
+    + f", count(CASE WHEN prediction NOT IN ({', '.join(map(str, _CLASSES))}) THEN 1 END) AS prediction_other"
     + " FROM v_multi GROUP BY label", "v_multi"))
 def q_confusion_matrix(spark, sf_dir):
     return MT.confusion_matrix(V.multi(spark, sf_dir), classes=_CLASSES)
 
 
+# The columns that are correlated, and those imputed first.
 CORR_COLS = ["review_score", "delivery_delay_days", "delivery_duration_days", "avg_prod_desc_length",
              "avg_prod_weight_g", "avg_prod_name_length", "in_top_20", "avg_ship_cost"]
 CORR_IMPUTE = ["in_top_20", "avg_prod_desc_length", "avg_prod_weight_g", "avg_prod_name_length", "avg_ship_cost"]
@@ -634,6 +638,7 @@ def q_corr_matrix_sentinel(spark, sf_dir):
 
 # ---------------------------------------------------------------- feature preparation
 
+# The imputed item columns.
 IMPUTE_COLS = ["in_top_20", "not_in_top_20", "avg_price", "avg_ship_cost", "avg_prod_name_length",
                "avg_prod_desc_length", "avg_photos_qty", "avg_prod_weight_g", "avg_prod_volume_cm3",
                "avg_ship_cost_per_g"]
@@ -729,31 +734,74 @@ def q_cross_validate(spark, sf_dir):
 def q_ovr_leaderboard(spark, sf_dir):
     """Four one-vs-rest classifiers on the 5-class score: weighted F1 and accuracy."""
     p = ML.prepared(spark, sf_dir)
-    return MO.leaderboard(p.train_multi, p.valid_multi, MO.ovr_estimators(p.n_features), MO.MULTI_METRICS)[0]
+    return MO.leaderboard(MO.zero_based(p.train_multi), MO.zero_based(p.valid_multi), MO.ovr_estimators(p.n_features),
+                          MO.MULTI_METRICS)[0]
 
 
 @register("ovr_predict")
 def q_ovr_predict(spark, sf_dir):
     """One-vs-rest GBT (depth 10) predictions for the validation orders."""
     p = ML.prepared(spark, sf_dir)
-    return MO.ovr_predict(p.train_multi, p.valid_multi, ML.final_gbt())
+    return MO.ovr_scores(ML.validation_ovr(p), p.valid_multi)
 
 
 @register("score_holdout")
 def q_score_holdout(spark, sf_dir):
     """Final binary GBT fitted on all reviewed train orders, scored on the holdout."""
     p = ML.prepared(spark, sf_dir)
-    return MO.score_holdout(p.full_binary, p.holdout, ML.final_gbt())
+    return MO.predictions(ML.final_binary(p), p.holdout, keep_label=False)
 
 
 @register("final_scores")
 def q_final_scores(spark, sf_dir):
     """Binary and multiclass holdout predictions merged per order."""
+    return ML.final_scores(ML.prepared(spark, sf_dir))
+
+
+@register("scored_file_sentiment")
+def q_scored_file_sentiment(spark, sf_dir):
+    """Final scores written as a headerless file, read back, joined to the holdout and counted
+    by predicted sentiment."""
+    scores = ML.final_scores(ML.prepared(spark, sf_dir)).select("order_id", "prediction_binary")
+    return I.predicted_sentiment_distribution(
+        _bt(spark, sf_dir, holdout=True), CSV.csv_headerless_roundtrip(scores, ["id", "prediction"]))
+
+
+@register("ovr_confusion")
+def q_ovr_confusion(spark, sf_dir):
+    """Confusion matrix of the one-vs-rest predictions on the validation orders."""
     p = ML.prepared(spark, sf_dir)
-    binary = MO.score_holdout(p.full_binary, p.holdout, ML.final_gbt())
-    ovr = OneVsRest(classifier=ML.final_gbt(), parallelism=MO.OVR_PARALLELISM)
-    multi = MO.predictions(ovr.fit(p.full_multi), p.holdout, keep_label=False)
-    return MO.score_merge(binary, multi)
+    return MT.confusion_matrix(MO.ovr_scores(ML.validation_ovr(p), p.valid_multi), classes=_CLASSES)
+
+
+@register("ovr_metrics")
+def q_ovr_metrics(spark, sf_dir):
+    """Weighted F1 and accuracy of the same predictions."""
+    p = ML.prepared(spark, sf_dir)
+    scored = materialize(MO.ovr_scores(ML.validation_ovr(p), p.valid_multi), "ovr-scores")
+    return MT.f1_weighted(scored).withColumn("accuracy", MT.accuracy(scored).scalar())
+
+
+def _areas(scored):
+    return MT.auc_roc(scored, "p_1").withColumn("auc_pr", MT.auc_pr(scored, "p_1").scalar())
+
+
+@register("selected_refit")
+def q_selected_refit(spark, sf_dir):
+    """Exact ROC and PR areas of the GBT refitted on the selected features (validation orders)."""
+    return _areas(ML.selected_refit(ML.prepared(spark, sf_dir))[0])
+
+
+@register("selected_scores")
+def q_selected_scores(spark, sf_dir):
+    """Holdout predictions of the GBT refitted on the selected features."""
+    return ML.selected_refit(ML.prepared(spark, sf_dir))[1]
+
+
+@register("stratified_refit")
+def q_stratified_refit(spark, sf_dir):
+    """Exact ROC and PR areas of the GBT on the complement of a stratified 70 % sample."""
+    return _areas(ML.stratified_refit(ML.prepared(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- scored-output joins
@@ -823,3 +871,78 @@ def q_model_lift_points(spark, sf_dir):
     row maximum of the two class probabilities as in the reference."""
     s = ML.scored_splits(ML.prepared(spark, sf_dir), MO.GBT_SEED_COMPARE)
     return MT.lift_points(s, "max_score", "label", split_col="split")
+
+
+# ---------------------------------------------------------------- unlisted values, text ids, more profiles, CSV tables
+
+_SOME_TYPES = ["credit_card", "voucher"]
+_SOME_CLASSES = [1, 2, 3]
+
+
+@register("payment_pivot_unlisted", O.with_views(
+    "SELECT * EXCLUDE (payment_methods) FROM (" + O.payments_by_order_sql("v_payments", _SOME_TYPES) + ") p", "v_payments"),
+    ROUND, [f"{t}_amount" for t in [*_SOME_TYPES, "other"]])
+def q_payment_pivot_unlisted(spark, sf_dir):
+    """A pivot on two listed payment types: the other three add up under ``other``."""
+    return A.pivot_agg(V.payments(spark, sf_dir), "order_id", "payment_type", _SOME_TYPES,
+                       {"installments": ("sum", "payment_installments"), "amount": ("sum", "payment_value")})
+
+
+@register("confusion_matrix_unlisted", O.with_views(
+    "SELECT label, " + ", ".join(f"count(CASE WHEN prediction = {c} THEN 1 END) AS prediction_{c}" for c in _SOME_CLASSES)
+    + ", count(CASE WHEN prediction NOT IN (1, 2, 3) THEN 1 END) AS prediction_other FROM v_multi GROUP BY label", "v_multi"))
+def q_confusion_matrix_unlisted(spark, sf_dir):
+    return MT.confusion_matrix(V.multi(spark, sf_dir), classes=_SOME_CLASSES)
+
+
+@register("split_time_prefix_text", O.with_views(
+    "SELECT * EXCLUDE (rn, k) FROM (SELECT *, row_number() OVER (ORDER BY order_purchase_timestamp ASC NULLS LAST, order_id) AS rn, "
+    "floor(CAST(count(*) OVER () AS DOUBLE) * CAST(0.7 AS DOUBLE)) AS k FROM (SELECT * REPLACE (md5(CAST(order_id AS VARCHAR)) "
+    "AS order_id, CAST(order_purchase_timestamp AS VARCHAR) AS order_purchase_timestamp) FROM v_orders) t) r WHERE rn <= k", "v_orders"))
+def q_split_time_prefix_text(spark, sf_dir):
+    """The time split on hexadecimal text ids and timestamps held as text."""
+    orders = V.orders(spark, sf_dir).withColumns({
+        "order_id": F.md5(F.col("order_id").cast("string")),
+        "order_purchase_timestamp": F.col("order_purchase_timestamp").cast("string")})
+    return SP.split_time_prefix(orders, "order_purchase_timestamp", "order_id")[0]
+
+
+def _profile_sql(cols: list[str], src: str) -> str:
+    return "SELECT " + ", ".join(f"CAST(count(*) - count({c}) AS BIGINT) AS {c}" for c in cols) + f" FROM {src}"
+
+
+_PROFILED = {
+    "payments": ["order_id", "payment_type", "payment_installments", "payment_value"],
+    "items": ["order_id", "product_id", "price", "shipping_cost"],
+    "products": ["product_id", "product_category_name", "product_name_length", "product_description_length", "product_photos_qty",
+                 "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"],
+    "reviews": ["order_id", "review_score", "review_creation_date", "review_answer_timestamp"],
+}
+for _name, _cols in _PROFILED.items():
+    register(f"null_profile_{_name}", O.with_views(_profile_sql(_cols, f"v_{_name}"), f"v_{_name}"))(
+        lambda spark, sf_dir, _name=_name, _cols=_cols: C.null_profile(getattr(V, _name)(spark, sf_dir).select(*_cols)))
+_BT_PROFILED = [*O.TS_COLS, *DUR, "status", "repeat_customer", "payment_methods", *_MEAN_COLS, "in_top_20", "not_in_top_20"]
+register("null_profile_basetable_train", O.on_basetable(
+    _profile_sql([*_BT_PROFILED, "review_score", "first_review_date", "last_review_date"], "bt_train")))(
+    lambda spark, sf_dir: C.null_profile(_bt(spark, sf_dir).select(*_BT_PROFILED, "review_score", "first_review_date", "last_review_date")))
+register("null_profile_basetable_holdout", O.on_basetable(_profile_sql(_BT_PROFILED, "bt_holdout")))(
+    lambda spark, sf_dir: C.null_profile(_bt(spark, sf_dir, holdout=True).select(*_BT_PROFILED)))
+
+
+@register("basetable_train_sentinel", O.on_basetable(_sentinel_sql("bt_train")), ROUND, _BT_DOUBLES)
+def q_basetable_train_sentinel(spark, sf_dir):
+    """The train basetable with the 999-day and 2080 stand-ins."""
+    return B.basetables(spark, sf_dir, sentinel=True)[0]
+
+
+@register("basetable_from_csv", O.on_basetable("SELECT * FROM bt_train"), ROUND, _BT_DOUBLES)
+def q_basetable_from_csv(spark, sf_dir):
+    """The train tables written as CSV files, loaded by their declared schemas and built into
+    the basetable: equal to the one built from Parquet."""
+    train = {n: getattr(V, v)(spark, sf_dir) for n, v in (("orders", "orders"), ("order_payments", "payments"),
+                                                          ("order_items", "items"), ("order_reviews", "reviews"))}
+    train = {n: d.where(~V.is_holdout()) for n, d in train.items()} | {"products": V.products(spark, sf_dir)}
+    folder = TB.save(train, scratch_path(spark, "order-tables"))
+    t = TB.load(spark, folder, id_type="bigint", timestamps=CSV.STAMP)
+    fitted = materialize(FE.fit_categories(t["order_items"], t["products"]), "pareto-categories")
+    return B.basetable(t["orders"], t["order_payments"], t["order_items"], t["products"], t["order_reviews"], fitted=fitted)

@@ -1,13 +1,15 @@
 """Session construction and the shared scratch folder.
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names; it is read
-from the running session. Only when it is unset (local tests, the bench) a fresh
-folder under /tmp is registered as the checkpoint dir.
+from the running session, and a cluster session without it is refused: each executor would
+write to a disk of its own. Only a ``local`` master gets a fresh folder under /tmp.
+``release`` removes a session's scratch tables.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,8 +46,16 @@ def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def _local_folder(spark: SparkSession) -> str:
+    master = spark.conf.get("spark.master", "") or ""
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set and the master is {master!r}: "
+                           "name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="orderlens-ckpt-", dir="/tmp")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session (set only if the cluster left it unset)."""
+    """The shared checkpoint folder of this session (set here only for a ``local`` master)."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
@@ -53,7 +63,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc is None:
         configured = _conf_checkpoint_dir(spark)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="orderlens-ckpt-", dir="/tmp")
+            configured = _local_folder(spark)
             spark.conf.set("spark.checkpoint.dir", configured)
         return configured
     current = sc.getCheckpointDir()
@@ -61,7 +71,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or _conf_checkpoint_dir(spark)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="orderlens-ckpt-", dir="/tmp")
+        configured = _local_folder(spark)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -74,9 +84,43 @@ def session_key(spark: SparkSession) -> str:
         return f"session-{id(spark)}"
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared checkpoint folder; ``release`` removes it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(session_key(spark), []).append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def release(spark: SparkSession) -> int:
+    """Removes the scratch tables of this session and drops its cached ones; results that
+    still read them must be consumed before. Returns how many tables there were."""
+    spark.catalog.clearCache()
+    paths = _SCRATCH.pop(session_key(spark), [])
+    for path in paths:
+        fs, where = _file_system(spark, path)
+        fs.delete(where, True)
+    return len(paths)
+
+
+def input_stamp(spark: SparkSession, paths: list[str]) -> tuple:
+    """Names, sizes and modification times of the files at ``paths``: changes when the data does."""
+    out = []
+    for path in paths:
+        fs, where = _file_system(spark, path)
+        if fs.exists(where):
+            files = fs.listFiles(where, True)
+            while files.hasNext():
+                f = files.next()
+                out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

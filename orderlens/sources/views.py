@@ -90,28 +90,29 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
-    size = F.col("p_size")
-    return (p.where(F.col("p_partkey") % 89 != 0)
-            .select(F.col("p_partkey").alias("product_id"),
-                    F.when(F.col("p_partkey") % 50 != 0, F.col("p_brand")).alias("product_category_name"),
-                    F.length("p_name").alias("product_name_length"),
-                    (F.length("p_name") + F.length("p_type")).alias("product_description_length"),
-                    (size % 7).alias("product_photos_qty"),
-                    F.when(size % 10 == 0, F.lit(0)).otherwise(size * 100).alias("product_weight_g"),
-                    (size % 20 + 1).alias("product_length_cm"),
-                    (size % 15 + 1).alias("product_height_cm"),
-                    (size % 10 + 1).alias("product_width_cm")))
+    key, size = F.col("p_partkey"), F.col("p_size")
+    known = lambda c: F.when(key % 89 != 0, c)  # noqa: E731 - the others are products without any attribute
+    return p.select(key.alias("product_id"),
+                    known(F.when(key % 50 != 0, F.col("p_brand"))).alias("product_category_name"),
+                    known(F.length("p_name")).alias("product_name_length"),
+                    known(F.length("p_name") + F.length("p_type")).alias("product_description_length"),
+                    known(size % 7).alias("product_photos_qty"),
+                    known(F.when(size % 10 == 0, F.lit(0)).otherwise(size * 100)).alias("product_weight_g"),
+                    known(size % 20 + 1).alias("product_length_cm"),
+                    known(size % 15 + 1).alias("product_height_cm"),
+                    known(size % 10 + 1).alias("product_width_cm"))
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     key, cust, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
-    reviewed = o.where(key % 7 != 0)
-    first = reviewed.select(key.alias("order_id"),
-                            (1 + (key * 7 + cust) % 5).alias("review_score"),
-                            (day + _days(40)).cast("date").alias("review_creation_date"),
-                            (day + _days(50)).alias("review_answer_timestamp"))
-    second = (reviewed.where(key % 11 == 0)
+    given = lambda c: F.when(key % 7 != 0, c)  # noqa: E731 - the other orders have an empty review
+    first = o.select(key.alias("order_id"),
+                     given(1 + (key * 7 + cust) % 5).alias("review_score"),
+                     given((day + _days(40)).cast("date")).alias("review_creation_date"),
+                     given(day + _days(50)).alias("review_answer_timestamp"))
+    # an additional review of some orders, not a subset of them
+    second = (o.where((key % 7 != 0) & (key % 11 == 0))
               .select(key.alias("order_id"),
                       (1 + (key + cust) % 5).alias("review_score"),
                       (day + _days(45)).cast("date").alias("review_creation_date"),
@@ -136,19 +137,3 @@ def multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = 1 + (key * 7 + cust) % 5
     return o.select(key.alias("id"), label.alias("label"),
                     F.when(key % 3 == 0, label).otherwise(1 + key % 5).alias("prediction"))
-
-
-def split_tables(spark: SparkSession, sf_dir: str, holdout: bool) -> dict[str, DataFrame]:
-    """The reference's train (or holdout) file set: every order-keyed view restricted
-    to one side of the holdout assignment. Products are shared. Reviews exist for
-    train only, as in the reference."""
-    side = is_holdout if holdout else (lambda c="order_id": ~is_holdout(c))
-    out = {
-        "orders": orders(spark, sf_dir).where(side()),
-        "payments": payments(spark, sf_dir).where(side()),
-        "items": items(spark, sf_dir).where(side()),
-        "products": products(spark, sf_dir),
-    }
-    if not holdout:
-        out["reviews"] = reviews(spark, sf_dir).where(side())
-    return out

@@ -36,9 +36,11 @@ def test_insight_reads_only_needed_columns(spark):
 
 
 def test_time_split_predicate_pushed_to_scan(spark):
-    df = E.queries()["split_time_prefix"](spark, SF_SMALL)
-    assert "PushedFilters: [IsNotNull(o_orderdate)" in _plan(df).replace("\n", " ") or \
-        "o_orderdate" in _plan(df)
+    from orderlens.operators import split as S
+    bt = E.queries()["basetable_train"](spark, SF_SMALL).sparkSession
+    from orderlens.plans import basetable as B
+    first, _ = S.split_time_prefix(B.materialized_basetable(bt, SF_SMALL), "order_purchase_timestamp", "order_id")
+    assert "PushedFilters: [IsNotNull(order_purchase_timestamp), Or(LessThan(order_purchase_timestamp" in _plan(first).replace("\n", " ")
 
 
 def test_model_keys_have_no_oracle():
