@@ -40,6 +40,8 @@ REGISTERS = BANDS * ROWS
 SHINGLE, PERCENT = 4, 80
 DOUBT = 12.0  # natural log of the likelihood ratio at which an estimate rules a pair out
 BLOCK_NODES, BLOCK_BYTES = 1024, 8 << 20
+FEW = 4  # nodes of a bucket whose pairs are estimated together with those of other buckets
+BROADCAST_KEYS = 500_000  # 8-byte hashes of wanted texts; more are joined by shuffle
 
 _U = np.uint64
 _rng = np.random.default_rng(20_231)
@@ -121,17 +123,22 @@ def log_likelihood(j: np.ndarray, u: np.ndarray, greater: np.ndarray, less: np.n
     return greater * np.log(up) + less * np.log(down) + equal * np.log(np.clip(1 - up - down, 1e-12, 1))
 
 
-def plausible(one: np.ndarray, n_one: int, many: np.ndarray, n_many: np.ndarray, least: float = PERCENT / 100) -> np.ndarray:
-    """Which of ``many`` sketches may have similarity ``least`` or more with ``one``."""
-    small, large = np.minimum(n_one, n_many), np.maximum(n_one, n_many)
+def plausible(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, least: float = PERCENT / 100) -> np.ndarray:
+    """Which rows of the sketches ``a`` and ``b`` may have similarity ``least`` or more with each other.
+
+    ``a`` may be one row, held against every row of ``b``.
+    """
+    small, large = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
     out = small >= least * large  # no larger similarity is possible otherwise
     at = np.flatnonzero(out)
     if not len(at):
         return out
-    m = many[at]
-    greater, less = (one > m).sum(axis=1), (one < m).sum(axis=1)
-    equal = m.shape[1] - greater - less
-    u = n_one / (n_one + n_many[at].astype(np.float64))
+    a = a if a.ndim == 1 else a[at]
+    b = b[at]
+    n_a, n_b = np.broadcast_to(n_a, out.shape)[at].astype(np.float64), n_b[at]
+    greater, less = (a > b).sum(axis=1), (a < b).sum(axis=1)
+    equal = b.shape[1] - greater - less
+    u = n_a / (n_a + n_b)
     ceiling = np.minimum(u / (1 - u), (1 - u) / u)
     grid = np.linspace(0, 1, 51)[:, None] * ceiling
     best = log_likelihood(grid, u, greater, less, equal)
@@ -161,38 +168,67 @@ def _forest(n: int, rows: np.ndarray, linked) -> list[tuple[int, int]]:
     return out
 
 
-def _groups(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Consecutive rows with equal keys; rows arrive sorted by them."""
-    held: list[pd.DataFrame] = []
+Group = tuple[np.ndarray, np.ndarray, list[bytes]]  # node, n and data of distinct nodes
+
+
+def _groups(batches: Iterable[pd.DataFrame]) -> Iterator[Group]:
+    """Consecutive rows with equal (unit, i, j), which may go on over batches; rows arrive sorted by them."""
+    held: list[Group] = []
+    last = None
+
+    def whole() -> Group:
+        node, n = (np.concatenate([h[x] for h in held]) for x in (0, 1))
+        node, first = np.unique(node, return_index=True)
+        data = [d for h in held for d in h[2]]
+        return node, n[first], [data[i] for i in first]
+
     for b in batches:
         if not len(b):
             continue
-        k = b[keys].to_numpy()
-        cuts = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
-        starts = [0, *cuts, len(b)]
-        if held and (held[-1][keys].to_numpy()[-1] != k[0]).any():
-            yield pd.concat(held)
-            held = []
-        for s, e in zip(starts[:-2], starts[1:-1]):
-            held.append(b.iloc[s:e])
-            yield pd.concat(held) if len(held) > 1 else held[0]
-            held = []
-        held.append(b.iloc[starts[-2]:])
+        keys = b[["unit", "i", "j"]].to_numpy()
+        node, n, data = b["node"].to_numpy(), b["n"].to_numpy(), b["data"].tolist()
+        bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(b)]
+        for s, e in zip(bounds[:-1], bounds[1:]):
+            if held and (keys[s] != last).any():
+                yield whole()
+                held = []
+            held.append((node[s:e], n[s:e], data[s:e]))
+            last = keys[s]
     if held:
-        yield pd.concat(held)
+        yield whole()
+
+
+def _small_pairs(groups: list[Group]) -> pd.DataFrame:
+    """Plausible pairs of many groups of a few nodes at once."""
+    node = [(g[0][i], g[0][j]) for g in groups for i in range(len(g[0])) for j in range(i)]
+    n = np.array([(g[1][i], g[1][j]) for g in groups for i in range(len(g[0])) for j in range(i)])
+    a = np.frombuffer(b"".join(g[2][i] for g in groups for i in range(len(g[0])) for j in range(i)), "<u2").reshape(len(node), -1)
+    b = np.frombuffer(b"".join(g[2][j] for g in groups for i in range(len(g[0])) for j in range(i)), "<u2").reshape(len(node), -1)
+    return pd.DataFrame(np.array(node)[plausible(a, n[:, 0], b, n[:, 1])], columns=["a", "b"])
 
 
 def _estimated(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spanning forests of the plausible pairs of each block pair (columns node, n, data = registers)."""
-    for g in _groups(batches, ["unit", "i", "j"]):
-        g = g.drop_duplicates("node")
-        node, n = g["node"].to_numpy(), g["n"].to_numpy()
-        regs = np.frombuffer(b"".join(g["data"]), "<u2").reshape(len(g), -1)
+    """Plausible pairs of each block pair (columns node, n, data = registers): all of them for up
+    to ``FEW`` nodes, a spanning forest for more."""
+    few: list[Group] = []
+    for g in _groups(batches):
+        node, n, data = g
+        if len(node) < 2:
+            continue
+        if len(node) <= FEW:
+            few.append(g)
+            if len(few) == 2048:
+                yield _small_pairs(few)
+                few = []
+            continue
+        regs = np.frombuffer(b"".join(data), "<u2").reshape(len(node), -1)
         order = np.argsort(-n, kind="stable")
-        pairs = _forest(len(g), order, lambda i, left: plausible(regs[i], n[i], regs[left], n[left]))
+        pairs = _forest(len(node), order, lambda i, left: plausible(regs[i], n[i], regs[left], n[left]))
         if pairs:
             i, j = np.array(pairs).T
             yield pd.DataFrame({"a": node[i], "b": node[j]})
+    if few:
+        yield _small_pairs(few)
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -217,19 +253,17 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 def _verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Spanning forests of the verified links of each block pair (columns node, n, data = shingle hashes)."""
-    for g in _groups(batches, ["unit", "i", "j"]):
-        g = g.drop_duplicates("node")
-        if len(g) < 2:
+    for node, n, data in _groups(batches):
+        if len(node) < 2:
             continue
-        node, n = g["node"].to_numpy(), g["n"].to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in g["data"]]
+        sets = [np.frombuffer(x, np.uint64) for x in data]
         if len(sets) == 2:
             both = len(np.intersect1d(*sets, assume_unique=True))
             both = np.array([[0, both], [both, 0]])
         else:
             both = intersections(sets)
         links = 100 * both >= PERCENT * (n[:, None] + n[None, :] - both)
-        pairs = _forest(len(g), np.arange(len(g)), lambda i, left: links[i, left])
+        pairs = _forest(len(node), np.arange(len(node)), lambda i, left: links[i, left])
         if pairs:
             i, j = np.array(pairs).T
             yield pd.DataFrame({"a": node[i], "b": node[j]})
@@ -275,8 +309,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
 
     families = materialize(components(likely), "families")
     wanted = families.join(nodes.select("node", "n", "raw"), "node")
-    texts = docs.select(F.md5(F.encode(body, "UTF-8")).alias("raw"), body.alias("body")).join(
-        wanted.select("raw").distinct(), "raw", "left_semi")
+    # the texts of the families again: first by a 64-bit hash, so that few texts are shuffled
+    hashes = materialize(wanted.select(F.xxhash64("raw").alias("h")).distinct(), "wanted")
+    if hashes.count() <= BROADCAST_KEYS:
+        hashes = F.broadcast(hashes)
+    texts = docs.select(F.md5(F.encode(body, "UTF-8")).alias("raw"), body.alias("body"))
+    texts = texts.withColumn("h", F.xxhash64("raw")).join(hashes, "h", "left_semi")
     texts = texts.groupBy("raw").agg(F.any_value("body").alias("body"))
     sets = texts.select("raw", _set_bytes("body", F.lit(k)).alias("data"))
     full = materialize(wanted.join(sets, "raw").select(F.col("component").alias("unit"), "node", "n", "data"), "shingle-sets")
