@@ -6,9 +6,10 @@ import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
+from orderlens.plans import registry
 from conftest import SF_SMALL
 
-SQL = E.oracle_sql()
+SQL = registry.SQL
 
 
 def _canon(tbl: pa.Table):

@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from orderlens.plans import registry as R
 
-QUERY_KEYS = sorted(set(E.oracle_sql()))
+QUERY_KEYS = sorted(R.SQL)
 
 
 def _plan(df):
