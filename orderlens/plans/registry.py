@@ -693,11 +693,48 @@ def q_maxabs_scale(spark, sf_dir):
 # ---------------------------------------------------------------- models (J5-J12): rows-only checks
 
 
-@register("holdout_features")
+def _holdout_features_sql() -> str:
+    """Medians, maxima and levels of the first 70 % of the train orders, applied to the holdout.
+    The driver tables hold all levels: 21 numeric features and 3 + 1 + 1 level columns."""
+    x = lambda t, c: f"coalesce(CAST({t}.{c} AS DOUBLE), med.{c})"
+    ctes = ["tr AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY order_purchase_timestamp ASC NULLS LAST, order_id) AS rn, "
+            "floor(CAST(count(*) OVER () AS DOUBLE) * CAST(0.7 AS DOUBLE)) AS k FROM bt_train) r WHERE rn <= k)",
+            "med AS (SELECT " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in ML.NUMERIC) + " FROM tr)",
+            "mx AS (SELECT " + ", ".join(f"max(abs({x('tr', c)})) AS {c}" for c in ML.NUMERIC) + " FROM tr, med)"]
+    ctes += [f"lv_{c} AS (SELECT {c} AS level, row_number() OVER (ORDER BY count(*) DESC, {c} ASC) - 1 AS idx FROM tr GROUP BY {c})"
+             for c in ML.CATEGORICAL]
+    cols = [f"{x('h', c)} / CASE WHEN mx.{c} = 0 THEN CAST(1.0 AS DOUBLE) ELSE mx.{c} END" for c in ML.NUMERIC]
+    cols += [f"CAST(CASE WHEN l_{c}.idx = {i} THEN 1.0 ELSE 0.0 END AS DOUBLE)"
+             for c, n in zip(ML.CATEGORICAL, (3, 1, 1)) for i in range(n)]
+    joins = " ".join(f"JOIN lv_{c} l_{c} ON h.{c} = l_{c}.level" for c in ML.CATEGORICAL)
+    return O.on_basetable("SELECT h.order_id, " + ", ".join(f"{e} AS f_{i}" for i, e in enumerate(cols))
+                          + f" FROM bt_holdout h CROSS JOIN med CROSS JOIN mx {joins}", extra=ctes)
+
+
+@register("holdout_features", _holdout_features_sql(), METRIC_DIGITS, [f"f_{i}" for i in range(len(ML.NUMERIC))])
 def q_holdout_features(spark, sf_dir):
-    """Holdout orders through the pipeline fitted on the train split only."""
+    """Holdout orders through the pipeline fitted on the train split only, one column per feature."""
     p = ML.prepared(spark, sf_dir)
-    return p.holdout.select("order_id", vector_to_array("features").alias("features"))
+    arrays = p.holdout.select("order_id", vector_to_array("features").alias("f"))
+    return C.array_expand(arrays, "f", p.n_features, keep=["order_id"])
+
+
+@register("model_select_table", O.with_views(
+    "SELECT split AS model, m AS \"areaUnderPR\" FROM (SELECT split, avg(score) AS m FROM v_scored GROUP BY split) q "
+    "ORDER BY m DESC LIMIT 1", "v_scored"), METRIC_DIGITS, ["areaUnderPR"])
+def q_model_select_table(spark, sf_dir):
+    """Model selection on a fixed table: the split with the greatest mean score."""
+    board = V.scored(spark, sf_dir).groupBy("split").agg(F.avg("score").alias("areaUnderPR")).withColumnRenamed("split", "model")
+    return MO.model_select(board)
+
+
+@register("feature_topk_table",
+          "SELECT feature, importance FROM (SELECT p_brand AS feature, CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM part) AS DOUBLE) "
+          "AS importance FROM part GROUP BY p_brand) q WHERE importance > CAST(0.04 AS DOUBLE) ORDER BY importance DESC, feature LIMIT 10")
+def q_feature_topk_table(spark, sf_dir):
+    """Top-k selection on a fixed table: brands by their share of the parts."""
+    shares = A.value_counts(V.table(spark, sf_dir, "part", ["p_brand"]), "p_brand", name="feature", share=True)
+    return MO.feature_select_topk(shares.select("feature", F.col("share").alias("importance")), min_value=0.04)
 
 
 @register("model_leaderboard")
