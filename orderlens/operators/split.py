@@ -51,15 +51,16 @@ def _typed(df: DataFrame, col: str, key: Any) -> Column:
 def time_prefix_predicate(df: DataFrame, ts: str, id_col: str, share: float = 0.7) -> Column:
     """Predicate selecting the first ``int(share * n)`` rows in ``(ts NULLS LAST, id)``
     order (``id`` unique). Two small exact selections; no sort of the table."""
-    n = df.count()
-    k = int(n * share)
-    if k <= 0:
-        return F.lit(False)
     keys = df.select(ts, id_col)
     per_ts = materialize(keys.groupBy(ts).agg(F.count(F.lit(1)).alias("_w")), "time-split-counts")
+    k = int((per_ts.agg(F.sum("_w")).first()[0] or 0) * share)
+    if k <= 0:
+        return F.lit(False)
     t_text, before = _kth_key_text(per_ts, ts, k, "_w")
     same = F.col(ts).isNull() if t_text is None else (F.col(ts) == _typed(df, ts, t_text))
-    id_text, _ = _kth_key_text(keys.where(same).select(id_col), id_col, k - before)
+    # the ids at the cutoff, written once: their ranks are found in several passes
+    at_cut = materialize(keys.where(same).select(id_col), "time-split-ids")
+    id_text, _ = _kth_key_text(at_cut, id_col, k - before)
     id_lit = _typed(df, id_col, id_text)
     if t_text is None:
         return F.col(ts).isNotNull() | (F.col(ts).isNull() & (F.col(id_col) <= id_lit))
