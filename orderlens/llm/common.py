@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import materialize
+
 # A word is a run of characters that are not ASCII white space (contract of the numbered operators).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -40,6 +43,23 @@ def fresh(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def with_place(docs: DataFrame, name: str, *cols: Column) -> DataFrame:
+    """``cols`` of ``docs`` plus ``row``, the place of each row: (hash of its file, index in it).
+
+    The same on every read, so it can join decisions back to rows that share all their values
+    without a numbered copy of the texts. Rows that do not come straight from Parquet files
+    are written to the shared folder first.
+    """
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).alias("row")
+    try:
+        return docs.select(*cols, place)
+    except AnalysisException:
+        return materialize(docs, name).select(*cols, place)
+
+
+PLACE = "struct<file:bigint,at:bigint>"
+
+
 def with_window_hashes(df: DataFrame, words: str, out: str, k: int) -> DataFrame:
     """Adds ``out``: one 64-bit hash per ``k``-word window of the array column ``words`` (NULL if shorter).
 

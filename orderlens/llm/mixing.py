@@ -15,8 +15,8 @@ order, then inside one bucket, so no task sorts a whole source. A few documents
 fit then fill up what is left of the target.
 
 Defined cases: a NULL source is a source of its own, last in order; NULL text has no words and
-is taken as it is (0 words); documents with a NULL id are told apart by their row; equal rows
-share size and source and may differ in copies; an empty table gives an empty result; extra
+is taken as it is (0 words); documents with a NULL id draw by their text; equal rows share size
+and source and may differ in copies; an empty table gives an empty result; extra
 columns are ignored (or carried along by ``mixed_documents``).
 """
 
@@ -27,12 +27,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
-from .common import key_text, n_words, text_of, unit_from_md5
+from .common import PLACE, key_text, n_words, text_of, unit_from_md5, with_place
 
 MOST = 3
 WEIGHTS = 3  # 1, 2, ... WEIGHTS, repeating
 BUCKETS = 1 << 16
-FILL_ROUNDS = 4
+FILL_ROUNDS = 8
+OVERSTEP = 0.01  # share of a target by which the document at the cut may overstep it
 TOLERANCE = 0.25  # words by which a source's expected words may miss its target
 
 
@@ -88,7 +89,8 @@ def multipliers(counts: DataFrame, goals: DataFrame, rounds: int = 60) -> DataFr
         state = materialize(moved.select("src", "source_size", "target", "mean", "multiplier", "low", "high", "miss"), "mix-state")
         if (state.agg(F.max(F.abs("miss"))).first()[0] or 0.0) <= TOLERANCE:
             break
-    return state.select("src", "source_size", "target", "mean", "multiplier")
+    # rounded, since the last bits depend on the order in which tasks' sums meet
+    return state.select("src", "source_size", "target", "mean", F.round("multiplier", 9).alias("multiplier"))
 
 
 def placed(rows: DataFrame) -> DataFrame:
@@ -102,7 +104,7 @@ def placed(rows: DataFrame) -> DataFrame:
 def extra() -> Column:
     """Copies beyond the whole part for a placed row joined with its source's cut (bigint)."""
     first = F.col("cut_bucket").isNull() | (F.col("bucket") < F.col("cut_bucket")) | (
-        (F.col("bucket") == F.col("cut_bucket")) & F.coalesce(F.struct("order", "row") <= F.col("cut_at"), F.lit(False)))
+        (F.col("bucket") == F.col("cut_bucket")) & F.coalesce(F.struct("order", "size", "row") <= F.col("cut_at"), F.lit(False)))
     filled = F.size(F.filter("fills", lambda row: row == F.col("row")))
     return ((F.col("whole") < MOST) & first).cast("long") + filled
 
@@ -111,7 +113,8 @@ def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """``plan`` plus cut_bucket, cut_at and fills: who takes one more copy in each source."""
     d = materialize(placed(rows.join(plan, "src")), "mix-placed")
     whole = d.groupBy("src").agg(F.sum(F.col("size") * F.col("whole")).alias("base"))
-    need = plan.join(whole, "src").select("src", (F.col("target") - F.col("base")).alias("need"))
+    # whole words, so that the last bits of a target decide nothing
+    need = plan.join(whole, "src").select("src", F.round(F.col("target") - F.col("base")).cast("long").alias("need"))
     open_ = d.where(F.col("whole") < MOST)
     sums = open_.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
     upto = F.sum("words").over(Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
@@ -120,22 +123,34 @@ def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
     cut = materialize(cut.select("src", F.col("c.bucket").alias("cut_bucket"), "c.before", "c.need"), "mix-cuts")
     inside = open_.select("src", "bucket", "order", "row", "size").join(
         cut, (open_["src"] == cut["src"]) & (open_["bucket"] == cut["cut_bucket"])).drop(cut["src"])
-    run = F.sum("size").over(Window.partitionBy("src").orderBy("order", "row").rowsBetween(Window.unboundedPreceding, 0))
-    inside = inside.withColumn("run", F.col("before") + run).where("run <= need")
-    last = inside.groupBy("src").agg(F.max(F.struct("order", "row")).alias("cut_at"), F.max("run").alias("run"))
-    out = plan.join(cut, "src", "left").join(last, "src", "left").withColumn("fills", F.array().cast("array<bigint>"))
-    out = out.withColumn("left", F.col("need") - F.coalesce("run", "before")).drop("before", "need", "run")
+    run = F.sum("size").over(Window.partitionBy("src").orderBy("order", "size", "row").rowsBetween(Window.unboundedPreceding, 0))
+    inside = inside.withColumn("run", F.col("before") + run)
+    at = F.struct("order", "size", "row")
+    last = inside.groupBy("src").agg(F.max(F.when(F.col("run") <= F.col("need"), at)).alias("last"),
+                                     F.max(F.when(F.col("run") <= F.col("need"), F.col("run"))).alias("run"),
+                                     F.min(F.when(F.col("run") > F.col("need"), F.struct(at, "run", "size"))).alias("next"))
+    out = plan.join(cut, "src", "left").join(last, "src", "left").withColumn("fills", F.array().cast(f"array<{PLACE}>"))
+    # the document at the cut is taken too where it oversteps the target by little
+    over = F.col("next.run") - F.col("need")
+    step = F.coalesce((2 * over <= F.col("next.size")) & (over <= OVERSTEP * F.col("target")), F.lit(False))
+    out = out.withColumn("cut_at", F.when(step, F.col("next.col1")).otherwise(F.col("last")))
+    out = out.withColumn("left", F.when(step, 0).otherwise(F.col("need") - F.coalesce("run", "before")))
+    out = out.drop("before", "need", "run", "last", "next")
     out = materialize(out, "mix-plan")
     for _ in range(FILL_ROUNDS):
-        cols = out.drop("source_size", "target", "mean", "multiplier")
+        cols = out.drop("fill", "source_size", "target", "mean", "multiplier")
         fits = d.join(cols, "src").withColumn("copies", F.col("whole") + extra())
         fits = fits.where((F.col("copies") < MOST) & (F.col("size") > 0) & (F.col("size") <= F.col("left")))
         # the largest that fits, among documents that the cut left out if any of them fits
-        best = fits.groupBy("src").agg(F.max(F.struct(F.col("copies") <= F.col("whole"), "size", "row")).alias("fill"))
+        best = fits.groupBy("src").agg(F.max(F.struct(F.col("copies") <= F.col("whole"), "size", "u", "row")).alias("fill"))
         out = out.join(best, "src", "left")
         out = out.withColumn("fills", F.when(F.col("fill").isNull(), F.col("fills")).otherwise(F.array_append("fills", F.col("fill.row"))))
-        out = materialize(out.withColumn("left", F.col("left") - F.coalesce("fill.size", F.lit(0))).drop("fill"), "mix-plan")
-    return out
+        more = F.coalesce(F.max(F.col("fill").isNotNull()), F.lit(False))
+        out = materialize(out.withColumn("left", F.col("left") - F.coalesce("fill.size", F.lit(0))), "mix-plan")
+        if not out.agg(more).first()[0]:
+            break
+        out = out.drop("fill")
+    return out.drop("fill")
 
 
 def mix_plan(rows: DataFrame) -> DataFrame:
@@ -145,18 +160,21 @@ def mix_plan(rows: DataFrame) -> DataFrame:
     return cuts(rows.drop("source"), multipliers(counts, targets(sources)))
 
 
-def numbered(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
-    row = F.monotonically_increasing_id()
-    d = docs.withColumn("row", row).withColumn("src", source_key(source)).withColumn("size", n_words(text_of(text)))
-    own = F.when(F.col(key).isNull(), F.concat(F.lit("n:"), F.col("row").cast("string"))).otherwise(key_text(key))
-    return d.withColumn("u", unit_from_md5(F.md5(F.concat(F.lit("mix|"), own))))
+def numbered(docs: DataFrame, key: str, source: str, text: str, *more: Column) -> DataFrame:
+    """Rows (key, source, src, size, row, u and ``more``); rows without a key draw by their text.
+
+    ``row`` only tells apart rows that agree in all that the result shows, so reruns agree.
+    """
+    d = with_place(docs, "mix-documents", F.col(key).alias("key"), F.col(source).cast("string").alias("source"),
+                   source_key(source).alias("src"), n_words(text_of(text)).alias("size"),
+                   F.when(F.col(key).isNull(), F.concat(F.lit("n|"), F.md5(F.encode(text_of(text), "UTF-8"))))
+                   .otherwise(key_text(key)).alias("own"), *more)
+    return d.withColumn("u", unit_from_md5(F.md5(F.concat(F.lit("mix|"), F.col("own"))))).drop("own")
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """(key, size, source_size, target, taken, source, rate, copies) for every document."""
-    rows = numbered(docs.select(key, source, text), key, source, text).select(
-        "row", F.col(key).alias("key"), F.col(source).cast("string").alias("source"), "src", "u", "size")
-    rows = materialize(rows, "mix-rows")
+    rows = materialize(numbered(docs, key, source, text), "mix-rows")
     out = placed(rows.join(mix_plan(rows.drop("key")), "src")).withColumn("copies", F.col("whole") + extra())
     return out.select(F.col("key").alias(key), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"),
                       "source", "rate", "copies")
@@ -165,9 +183,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The mix itself: every document's row as often as it is taken, with the columns of ``docs``."""
     kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    rows = numbered(docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"),
-                                F.col(text).alias("text"), kept), "key", "source", "text")
-    rows = materialize(rows.select("row", "source", "src", "u", "size", "doc"), "mix-documents")
-    out = placed(rows.join(mix_plan(rows.drop("doc")), "src")).withColumn("copies", F.col("whole") + extra())
+    rows = numbered(docs, key, source, text, kept)
+    slim = materialize(rows.drop("doc"), "mix-rows")
+    out = placed(rows.join(mix_plan(slim.drop("key")), "src")).withColumn("copies", F.col("whole") + extra())
     copies = out.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.nullif("copies", F.lit(0))))).select("doc.*")
     return copies

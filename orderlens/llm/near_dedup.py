@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import materialize
+from .common import with_place
 from .components import components
 
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1  # SetSketch b, a and q + 1
@@ -41,7 +42,7 @@ SHINGLE, PERCENT = 4, 80
 DOUBT = 12.0  # natural log of the likelihood ratio at which an estimate rules a pair out
 BLOCK_NODES, BLOCK_BYTES = 1024, 8 << 20
 FEW = 4  # nodes of a bucket whose pairs are estimated together with those of other buckets
-BROADCAST_KEYS = 500_000  # 8-byte hashes of wanted texts; more are joined by shuffle
+BROADCAST_KEYS = 500_000  # hashes of wanted texts, or places of rows; more are joined by shuffle
 
 _U = np.uint64
 _rng = np.random.default_rng(20_231)
@@ -337,7 +338,10 @@ def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", k
     Documents with an empty set are in no group and all stay.
     """
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), doc, F.monotonically_increasing_id().alias("row"))
-    rows = materialize(rows.withColumn("rank", F.struct(F.col("key").isNull(), "key", "row")), "numbered")
-    gone = near_duplicates(rows.select("rank", "text"), "rank", "text", k).where(~F.col("kept")).select(F.col("rank.row").alias("row"))
-    return rows.join(gone, "row", "left_anti").select("doc.*")
+    rows = with_place(docs, "near-documents", F.col(key).alias("key"), F.col(text).cast("string").alias("text"), doc)
+    ranked = rows.select(F.struct(F.col("key").isNull(), "key", "row").alias("rank"), "text")
+    gone = near_duplicates(ranked, "rank", "text", k).where(~F.col("kept")).select(F.col("rank.row").alias("row"))
+    gone = materialize(gone, "near-copies")
+    if gone.count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    return rows.select("doc", "row").join(gone, "row", "left_anti").select("doc.*")

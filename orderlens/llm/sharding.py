@@ -20,7 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import fresh, key_text, text_of, unit_from_md5
+from .common import fresh, key_text, text_of, unit_from_md5, with_place
 
 RESULT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
@@ -35,20 +35,19 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
 
 
 def shard_rows(rows: DataFrame, weights: Sequence[float], grown_weight: float | None = 1.0, key: str = "doc_id",
-               text: str = "text", carry: Sequence[str] = (), bucket_digits: int = 3) -> DataFrame:
-    """Key, ``carry`` columns and the columns of ``RESULT`` for every row.
+               text: str = "text", bucket_digits: int = 3) -> DataFrame:
+    """The key and the columns of ``RESULT`` for every row.
 
     ``grown_weight`` is the weight of the shard added for ``grown_shard`` (None: NULL).
     ``bucket_digits`` hex digits of the key's digest split each shard for slot numbering: a
     window task holds about rows / shards / 16 ** digits rows. Equal rows are counted before
-    the shuffle and expanded after it. ``carry`` columns must be groupable (no maps).
+    the shuffle and expanded after it.
     """
     kt = key_text(key)
-    carry = [c for c in carry if c != key and c.lower() not in RESULT]
     grown = rendezvous(kt, [*weights, grown_weight]) if grown_weight else F.lit(None)
     body = F.encode(text_of(text), "UTF-8")
     slim = rows.select(
-        key, *carry, (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
+        key, (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
         F.md5(kt).alias("_digest"))
     cols = slim.columns
     same = slim.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
@@ -64,7 +63,7 @@ def shard_rows(rows: DataFrame, weights: Sequence[float], grown_weight: float |
     first = placed.withColumn("_first", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(
         F.broadcast(starts), ["shard", "_bucket"])
     return (first.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
-            .select(key, *carry, "size", "text_crc32", F.lit("key").alias("law"), "shard",
+            .select(key, "size", "text_crc32", F.lit("key").alias("law"), "shard",
                     (F.col("_start") + F.col("_first") + F.col("_i")).cast("long").alias("slot"), "grown_shard"))
 
 
@@ -74,6 +73,24 @@ def shard_documents(docs: DataFrame, shards: int = 8, key: str = "doc_id", text:
 
 
 def with_shards(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every column of ``docs`` plus the columns of ``RESULT``."""
+    """Every column of ``docs`` plus the columns of ``RESULT``.
+
+    Slots follow a digest of key and place, so rows that share a key spread over the buckets;
+    whole rows are shuffled once.
+    """
     docs = fresh(docs, *RESULT)
-    return shard_rows(docs, [1.0] * shards, 1.0, key, text, carry=docs.columns)
+    kt, weights = key_text(key), [1.0] * shards
+    body = F.encode(text_of(text), "UTF-8")
+    rows = with_place(
+        docs, "shard-documents", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), kt.alias("kt"),
+        (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
+    rows = rows.withColumn("digest", F.md5(F.concat_ws("|", "kt", "row.file", "row.at"))).select(
+        "*", rendezvous(F.col("kt"), weights).cast("int").alias("shard"), F.substring("digest", 1, 3).alias("bucket"))
+    totals = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("shard", "bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("digest"))
+    placed = rows.withColumn("nth", inside).join(F.broadcast(starts), ["shard", "bucket"])  # shards * 4096 rows at most
+    return placed.select("doc.*", "size", "text_crc32", F.lit("key").alias("law"), "shard",
+                         (F.col("start") + F.col("nth") - 1).cast("long").alias("slot"),
+                         rendezvous(F.col("kt"), [*weights, 1.0]).cast("int").alias("grown_shard"))
