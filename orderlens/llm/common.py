@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -60,6 +63,18 @@ def with_place(docs: DataFrame, name: str, *cols: Column) -> DataFrame:
 PLACE = "struct<file:bigint,at:bigint>"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """While open, Python workers get at most ``rows`` rows at once: whole texts can be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def with_window_hashes(df: DataFrame, words: str, out: str, k: int) -> DataFrame:
     """Adds ``out``: one 64-bit hash per ``k``-word window of the array column ``words`` (NULL if shorter).
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import materialize
-from .common import with_place
+from .common import small_batches, with_place
 from .components import components
 
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1  # SetSketch b, a and q + 1
@@ -54,7 +54,7 @@ class _WordIds(dict):
     """64-bit word hashes, remembered within a Python worker up to a fixed number of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 19:
+        if len(self) >= 1 << 17:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -295,7 +295,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     """(key, n_shingles, component_id, kept) for every document."""
     body = F.col(text).cast("string")
     sketched = docs.select(key, F.md5(F.encode(body, "UTF-8")).alias("raw"), _sketch(body, F.lit(k)).alias("s"))
-    sketched = materialize(sketched.select(key, "raw", "s.n", "s.digest", "s.regs"), "sketches")
+    with small_batches(docs.sparkSession):
+        sketched = materialize(sketched.select(key, "raw", "s.n", "s.digest", "s.regs"), "sketches")
 
     nodes = sketched.where("n > 0").groupBy("digest", "regs", "n").agg(F.min(key).alias("label"), F.min("raw").alias("raw"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "sketch-nodes")
@@ -318,8 +319,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     texts = texts.withColumn("h", F.xxhash64("raw")).join(hashes, "h", "left_semi")
     texts = texts.groupBy("raw").agg(F.any_value("body").alias("body"))
     sets = texts.select("raw", _set_bytes("body", F.lit(k)).alias("data"))
-    full = materialize(wanted.join(sets, "raw").select(F.col("component").alias("unit"), "node", "n", "data"), "shingle-sets")
-    links = materialize(_by_unit(full, _verified).distinct(), "verified-links")
+    with small_batches(docs.sparkSession):
+        full = materialize(wanted.join(sets, "raw").select(F.col("component").alias("unit"), "node", "n", "data"), "shingle-sets")
+        links = materialize(_by_unit(full, _verified).distinct(), "verified-links")
 
     found = components(links)
     placed = nodes.select("node", "digest", "label").join(found, "node", "left").withColumn(
