@@ -27,6 +27,8 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .common import with_place
+
 SAMPLE = 2000
 ASIDE = 1  # one stretch of boilerplate costs at most what so many article words gain, so it splits no article
 
@@ -272,9 +274,11 @@ def learn(pages: DataFrame, key: str = "page_id", html: str = "html", sample: in
         rows = [(f, a, b) for f, (a, b) in counts.items() if not f.startswith("tag:") or f[4:] in known]
         yield pd.DataFrame(rows, columns=["feature", "within", "elsewhere"])
 
-    marked = pages.where(F.col(html).rlike("(?i)<(article|main)[\\s>]"))
-    rows = marked.select(F.col(html).alias("html"), F.md5(F.col(key).cast("string")).alias("_order"), F.col(key).alias("_key"))
-    rows = rows.orderBy("_order", "_key").limit(sample).select("html")
+    rows = with_place(pages, "pages", F.col(html).cast("string").alias("html"), F.md5(F.col(key).cast("string")).alias("order"))
+    marked = rows.where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
+    # the places first (at most ``sample`` small rows from each task), then their pages where they lie
+    picked = marked.select("order", "row").orderBy("order", "row").limit(sample).select("row")
+    rows = rows.join(F.broadcast(picked), "row", "left_semi").select("html")
     sums = rows.mapInPandas(count, "feature string, within long, elsewhere long").groupBy("feature").agg(
         F.sum("within").alias("within"), F.sum("elsewhere").alias("elsewhere"))
     counts = example_weights()
