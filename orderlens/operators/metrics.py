@@ -144,7 +144,7 @@ def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "predictio
                                  F.count(F.when(is_other(pred, classes), F.lit(1))).alias(f"{pred}_other"))
 
 
-CORR_PAIRS = 7
+CORR_PAIRS = 14  # at sf0.1: 5.4 s, against 7.1 s with 7 and 6.3 s with rows multiplied per pair
 
 
 def impute_medians(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
