@@ -1,56 +1,83 @@
 """Operator 1: substring dedup by line hashing.
 
-A unit is a line that has a letter or digit. Units are normalised (lower case; every run of
-other characters than letters and digits becomes one space) and hashed to 128 bits. Over the
-whole table the occurrence with the least (key, position) is the one that stays; all others
-are repeats, within one document as well. Neighbouring repeats join into a span, and spans of
-``MIN_WORDS`` words or more are removed from their documents: passages that are one long line
-or several short ones alike. Shorter ones (a shared greeting, a one-word line) are left in.
-Spans keep their offsets in the original text, in characters.
-
-The groups are one partial aggregate per digest, so a line that a third of all documents share
-is one row per task before the shuffle. Digests seen once leave the table before their
-occurrences are joined back; that join is a plain one, whose large partitions adaptive
-execution splits.
+A unit is a piece of text that has a letter or digit: with ``unit="sentence"`` (the query) a
+sentence within a line, with ``unit="line"`` a whole line. Units are normalised (lower case;
+every run of other characters than letters and digits becomes one space) and hashed to 128
+bits. Over the whole table the occurrence with the least (key, place, position) is the one that
+stays; all others are repeats, within one document as well, and are removed. As sentences,
+every repeat goes, however short; neighbours with the same keeper join into a span, and a line
+that loses all its sentences goes with its line break. As lines, neighbouring repeats join into
+runs, and only runs of ``min_words`` words or more are removed. Spans keep their offsets in the
+original text, in characters.
+
+Digests are counted by their first half in one hash aggregate, so a unit that a third of all
+documents share is one row per task before the shuffle. Digests seen once leave the table before
+the keepers are found and the occurrences are joined back; these joins are plain ones between
+written tables, whose large partitions adaptive execution splits.
 
 Defined cases: NULL and empty texts have no units and never change; documents with a NULL key
-rank last; rows with an equal key rank by their row number; an empty table gives an empty
-result; extra columns are ignored (``deduplicated`` keeps them).
+rank last; rows with an equal key rank by their place; an empty table gives an empty result;
+extra columns are ignored (``deduplicated`` keeps them).
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
+from .common import with_place
 
 MIN_WORDS = 50
 OTHER = re.compile(r"[\W_]+")
+STOP = re.compile(r"""[.!?\u2026\u061f\u0964]+["'\u00bb\u201d\u2019)\]]*\s+|[\u3002\uff01\uff1f]+""")  # ends of sentences
 
-SPANS = T.ArrayType(T.StructType().add("start", T.LongType()).add("end", T.LongType()).add("words", T.LongType())
-                    .add("first_row", T.LongType()))
+# ``keeper`` is an index into the row's list of repeats
+CUT = "spans array<struct<start:bigint,end:bigint,words:bigint,keeper:int>>, cut string"
 
 
 def normalised(line: str) -> str:
     return OTHER.sub(" ", line.lower()).strip()
 
 
-def _units(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(row, at, words, a, b): the hashed units of each row's text; ``at`` is the line number."""
-    for b in batches:
+def sentences(line: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the sentences of a line, which cover it."""
+    at = 0
+    for m in STOP.finditer(line):
+        yield at, m.end()
+        at = m.end()
+    if at < len(line):
+        yield at, len(line)
+
+
+def units_of(text: str, unit: str) -> Iterator[str]:
+    """The normalised units in order; empty ones are pieces without a letter or digit."""
+    for line in text.split("\n"):
+        if unit == "line":
+            yield normalised(line)
+        else:
+            for start, end in sentences(line):
+                yield normalised(line[start:end])
+
+
+def digest_column(unit: str) -> Column:
+    """(at, a, b): arrays of the places and both digest halves of a text's units that are not empty."""
+    @F.pandas_udf("at array<int>, a array<long>, b array<long>")
+    def digests(texts: pd.Series) -> pd.DataFrame:
         out = []
-        for row, text in zip(b["row"], b["text"]):
-            for at, line in enumerate((text or "").split("\n")):
-                unit = normalised(line)
-                if unit:
-                    h = xxhash.xxh3_128_intdigest(unit.encode("utf-8", "surrogatepass"))
-                    out.append((row, at, unit.count(" ") + 1, (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63)))
-        yield pd.DataFrame(out, columns=["row", "at", "words", "a", "b"])
+        for text in texts:
+            found = [(at, u) for at, u in enumerate(units_of(text or "", unit)) if u]
+            raw = b"".join(xxhash.xxh3_128_digest(u.encode("utf-8", "surrogatepass")) for _, u in found)
+            half = np.frombuffer(raw, "<i8").reshape(-1, 2)
+            out.append((np.array([at for at, _ in found], np.int32), half[:, 0].copy(), half[:, 1].copy()))
+        return pd.DataFrame(out, columns=["at", "a", "b"])
+
+    return digests("text")
 
 
 def spans_of(text: str, repeats: dict[int, int], min_words: int) -> list[tuple[int, int, int, int]]:
@@ -92,63 +119,91 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out) + text[at:]
 
 
-def repeats(numbered: DataFrame) -> DataFrame:
-    """(row, at, first_row) of every unit that is not the first of its digest."""
-    units = materialize(numbered.select("row", "text").mapInPandas(_units, "row long, at int, words int, a long, b long"), "units")
-    ranked = units.join(numbered.select("row", "rank"), "row") if "rank" in numbered.columns else units.withColumn("rank", F.col("row"))
-    groups = ranked.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rank", "row", "at")).alias("first"))
-    groups = groups.where("c > 1").select("a", "b", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at"))
-    found = units.join(groups, ["a", "b"])
-    return found.where((F.col("row") != F.col("first_row")) | (F.col("at") != F.col("first_at"))).select("row", "at", "first_row")
+def sentence_spans(text: str, repeats: dict[int, int], keepers: list[int]) -> list[tuple[int, int, int, int]]:
+    """(start, end, words, index of the first repeat) of the stretches of repeated sentences with one keeper.
 
+    ``repeats`` maps sentence numbers to indexes into ``keepers``. Lines of repeats alone go with
+    their line break; where a line keeps a sentence, its line break stays.
+    """
+    out: list[list[int]] = []
+    at = n = 0
+
+    def add(start: int, end: int, words: int, index: int) -> None:
+        if out and out[-1][1] == start and keepers[out[-1][3]] == keepers[index]:
+            out[-1][1], out[-1][2] = end, out[-1][2] + words
+        else:
+            out.append([start, end, words, index])
+
+    for line in text.split("\n"):
+        pieces = []  # (start, end, words, index): no words without a unit, index -1 for a kept one
+        for start, end in sentences(line):
+            unit = normalised(line[start:end])
+            pieces.append((at + start, at + end, unit.count(" ") + 1 if unit else 0, repeats.get(n, -1)))
+            n += 1
+        end = at + len(line)
+        hit = [p for p in pieces if p[3] >= 0]
+        whole = bool(hit) and len(hit) == sum(p[2] > 0 for p in pieces)
+        for i, p in enumerate(hit):
+            if whole:  # the line's other characters go with its units
+                add(at if i == 0 else p[0], hit[i + 1][0] if i + 1 < len(hit) else min(end + 1, len(text)), p[2], p[3])
+            else:
+                add(*p)
+        at = end + 1
+    if out and out[-1][1] == len(text) and not text.endswith("\n") and (start := out[-1][0]) and text[start - 1] == "\n" and (len(out) < 2 or out[-2][1] < start):
+        out[-1][0] -= 1
+    return [tuple(s) for s in out]
 
-def span_column(min_words: int) -> Column:
-    @F.pandas_udf(SPANS)
-    def spans(texts: pd.Series, ats: pd.Series, firsts: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("start", "end", "words", "first_row"), s))
-                           for s in spans_of(t, dict(zip(a.tolist(), f.tolist())), min_words)]
-                          for t, a, f in zip(texts, ats, firsts)], dtype=object)
 
-    return spans("text", "ats", "firsts")
+def cut_column(unit: str, min_words: int) -> Column:
+    """The removed spans of a text and what remains of it."""
+    @F.pandas_udf(CUT)
+    def cut(texts: pd.Series, ats: pd.Series, keepers: pd.Series) -> pd.DataFrame:
+        out = []
+        for t, a, k in zip(texts, ats, keepers):
+            found = {at: i for i, at in enumerate(a.tolist())}
+            spans = spans_of(t, found, min_words) if unit == "line" else sentence_spans(t, found, k.tolist())
+            out.append(([dict(zip(("start", "end", "words", "keeper"), s)) for s in spans], without(t, [s[:2] for s in spans])))
+        return pd.DataFrame(out, columns=["spans", "cut"])
 
+    return cut("text", "ats", "keepers")
 
-@F.pandas_udf(T.StringType())
-def _cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-    return pd.Series([without(t, list(zip(a, b))) for t, a, b in zip(texts, starts, ends)], dtype=object)
 
+def repeats(rows: DataFrame, unit: str) -> DataFrame:
+    """(row, at, first_key, keeper) of every unit that is not the first of its digest; ``keeper`` hashes the row that keeps it."""
+    units = rows.select("row", "key", digest_column(unit).alias("d")).select("row", "key", F.explode(F.arrays_zip("d.at", "d.a", "d.b")).alias("u"))
+    units = materialize(units.select("row", "key", "u.at", "u.a", "u.b"), "units")
+    often = materialize(units.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a"), "often")
+    again = materialize(units.join(often, "a", "left_semi"), "again")
+    groups = again.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "at")).alias("first"))
+    groups = materialize(groups.where("c > 1").select("a", "b", "first"), "groups")
+    found = again.join(groups, ["a", "b"]).where((F.col("row") != F.col("first.row")) | (F.col("at") != F.col("first.at")))
+    return found.select("row", "at", F.col("first.key").alias("first_key"), F.xxhash64("first.row").alias("keeper"))
 
-def _number(docs: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
-    """Numbered rows with their rank: the key and, for equal or NULL keys, the row."""
-    row = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), *more,
-                      F.monotonically_increasing_id().alias("row"))
-    return materialize(row.withColumn("rank", F.struct(F.col("key").isNull(), F.col("key"), F.col("row"))), "numbered")
 
+def _rows(docs: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
+    return with_place(docs, "documents", F.col(key).alias("key"), F.col(text).cast("string").alias("text"), *more)
 
-def _edits(numbered: DataFrame, min_words: int) -> DataFrame:
-    per_row = repeats(numbered).groupBy("row").agg(F.collect_list(F.struct("at", "first_row")).alias("r"))
-    per_row = per_row.select("row", F.col("r.at").alias("ats"), F.col("r.first_row").alias("firsts"))
-    hit = numbered.select("row", "key", "text").join(per_row, "row").withColumn("spans", span_column(min_words))
-    return materialize(hit.where(F.size("spans") > 0).select("row", "key", "text", "spans"), "edits")
 
+def _edits(rows: DataFrame, unit: str, min_words: int) -> DataFrame:
+    """(row, key, r, spans, cut) of the rows that lose text; ``r`` lists their repeats."""
+    per_row = repeats(rows, unit).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "first_key", "keeper"))).alias("r"))
+    hit = rows.select("row", "key", "text").join(per_row, "row")
+    hit = hit.withColumns({"ats": F.col("r.at"), "keepers": F.col("r.keeper")}).withColumn("x", cut_column(unit, min_words))
+    return hit.select("row", "key", "r", "x.spans", "x.cut").where(F.size("spans") > 0)
 
-def edits(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+
+def edits(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, unit: str = "line") -> DataFrame:
     """One row per document that loses text: (key, first keys, removed spans, removed words, remaining text)."""
-    numbered = _number(docs, key, text)
-    changed = _edits(numbered, min_words)
-    spans = changed.select("row", F.explode("spans").alias("s")).select("row", "s.*")
-    named = spans.join(numbered.select(F.col("row").alias("first_row"), F.col("key").alias("first_key")), "first_row")
-    lists = named.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", F.col("first_key").alias(f"first_{key}")))).alias("removed"),
-        F.sum("words").alias("removed_words"))
-    out = changed.join(lists, "row").select(
-        F.col("key").alias(key), F.array_sort(F.array_distinct(F.col(f"removed.first_{key}"))).alias(f"first_{key}s"),
-        "removed", "removed_words", _cut("text", F.col("removed.start"), F.col("removed.end")).alias(text))
-    return out
+    first = lambda s: F.get("r", s["keeper"])["first_key"]
+    removed = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), first(s).alias(f"first_{key}")))
+    return _edits(_rows(docs, key, text), unit, min_words).select(
+        F.col("key").alias(key), F.array_sort(F.array_distinct(F.transform("spans", first))).alias(f"first_{key}s"),
+        removed.alias("removed"), F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["words"]).alias("removed_words"),
+        F.col("cut").alias(text))
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, unit: str = "line") -> DataFrame:
     """All rows and columns of ``docs`` with repeated spans cut from the text."""
-    numbered = _number(docs, key, text, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    changed = _edits(numbered, min_words).select("row", _cut("text", F.col("spans.start"), F.col("spans.end")).alias("cut"))
-    out = numbered.join(changed, "row", "left")
+    rows = _rows(docs, key, text, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    out = rows.join(_edits(rows, unit, min_words).select("row", "cut"), "row", "left")
     return out.select(*[F.coalesce("cut", "text").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

@@ -309,6 +309,39 @@ def test_substring_dedup_on_documents(spark):
     assert {r["doc_id"]: r["text"] for r in rows(substring_dedup.edits(docs))} == want
 
 
+def test_every_repeated_sentence_goes(spark, make):
+    """Short repeats, repeats inside lines and passages that a near copy's edit breaks up."""
+    lines = [f"The first {i} says {' '.join(words(40 + i, 9))}. Then {' '.join(words(60 + i, 9))}!" for i in range(4)]
+    near = [x.replace("Then", "Then edited", 1) if i == 2 else x for i, x in enumerate(lines)]
+    docs = [(1, "\n".join(lines)), (2, "Own start. " + " ".join(near) + " Own end."), (3, "Yes.\nown three"), (4, "own four\nyes\n"),
+            (5, f"Mine. {lines[0]}\nown five"), (6, "\n".join([lines[0], "own six", lines[1]])), (7, None), (None, "Yes!"), (8, "again. Again. x")]
+    got = {r["doc_id"]: r for r in rows(substring_dedup.edits(make(docs), unit="sentence"))}
+    kept = near[2].split(". ", 1)[1]
+    assert {d: r["text"] for d, r in got.items()} == {
+        2: f"Own start. {kept} Own end.", 4: "own four\n", 5: "Mine. \nown five", 6: "own six", None: "", 8: "again. x"}
+    assert got[2]["first_doc_ids"] == [1] and got[4]["first_doc_ids"] == [3] and got[8]["first_doc_ids"] == [8]
+    text = dict(docs)
+    for d, r in got.items():
+        assert substring_dedup.without(text[d], [(s["start"], s["end"]) for s in r["removed"]]) == r["text"]
+    whole = rows(substring_dedup.deduplicated(make(docs), unit="sentence"))
+    assert sorted(repr(r["text"]) for r in whole) == sorted(repr(got[d]["text"] if d in got else t) for d, t in docs)
+
+
+def test_recall_of_repeated_passages(spark):
+    """Against a search of 51-word passages: documents that share one with an earlier document must lose text."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    seen, share = set(), set()
+    for d in sorted(text):
+        w = text[d].lower().split()
+        mine = {" ".join(w[i:i + 51]) for i in range(len(w) - 50)}
+        if not mine.isdisjoint(seen):
+            share.add(d)
+        seen |= mine
+    got = {r["doc_id"] for r in rows(substring_dedup.edits(docs, unit="sentence").select("doc_id"))}
+    assert share and len(share - got) <= 0.02 * len(share)
+
+
 # --- licences ------------------------------------------------------------------------------
 
 def test_licenses(spark, make):
