@@ -4,7 +4,8 @@ Texts are normalised (case, punctuation, copyright lines, equivalent spellings),
 joined by digest with the known licences: the entire text of each document, and its
 paragraphs and lines, where licence notices stand. The known side is this module's fixed
 table, so broadcasting it is bounded. Only units with a ``MARKER`` word are normalised; every
-known text has one, and normalising can neither add nor remove it, so no match is lost.
+known text has one in each of its spellings ("under" for "licensed under" and the like), so no
+match is lost.
 
 Defined cases: NULL and empty texts match nothing; equal rows get equal results; a NULL key is
 kept; a text of several licences lists each once; an empty table gives an empty result; extra
@@ -18,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..session import materialize
 from .common import text_of
 
-MARKER = r"(?i)licen[cs]|rights reserved|permission|warrant|public domain|redistribut"
+MARKER = (r"(?i)licen[cs]|rights[^\p{L}\p{N}]+reserved|permission|warrant|public[^\p{L}\p{N}]+domain|redistribut"
+          r"|(?<![\p{L}\p{N}])under(?![\p{L}\p{N}])")
 
 # Fixed values: (pattern, replacement) steps of the canonical form, in the order applied.
 STEPS = [

@@ -369,3 +369,11 @@ def test_every_known_text_has_a_marker(spark):
     forms = known.select("license", licenses.canonical(F.col("text")).alias("c"))
     assert forms.where(~F.col("c").rlike("licens|rights reserved|permission|warrant|redistribut|under ")).count() == 0
     assert forms.groupBy("c").agg(F.count_distinct("license").alias("n")).where("n > 1").count() == 0
+
+
+def test_equivalent_spellings_without_the_word_licence(make):
+    docs = {"Released under CC BY 4.0.": "CC-BY-4.0", "Distributed under Apache 2.0": "Apache-2.0", "Available under CC0 1.0": "CC0-1.0",
+            "This work is published under GPLv3": "GPL-3.0-only", "Released under MIT.": "MIT", "Made available _under_ MPL 2.0": "MPL-2.0",
+            "All  rights -- reserved": "Proprietary"}
+    got = {r["doc_id"]: r["notices"] for r in rows(licenses.scan(make(list(enumerate(docs)))))}
+    assert got == {i: [x] for i, x in enumerate(docs.values())}
