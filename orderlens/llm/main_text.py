@@ -56,6 +56,12 @@ gdpr login masthead menu menubar menus modal nav navbar navigation newsletter no
 overlay pager pagination paywall popup promo promos promoted promotion recommendations recommended related replies reply respond
 search share sharing sidebar sidebars signup skip social sponsor sponsored sponsors subscribe subscription teaser teasers
 toolbar warning widget widgets alert alerts header headers""".split())
+# Inside an article these often name parts of it: they count only for elements whose words are mostly links.
+DOUBTFUL = set("""alert alerts banner banners byline dialog discussion header headers masthead menu menus notice notices notification
+notifications overlay respond search skip social warning""".split())
+PLAIN_PIECES = set("""area bar block box btn button buttons col container content form group icons inner item items left links list
+module outer panel post posts right row section slot story stories top bottom unit wrap wrapper""".split())
+HEADING = set("h1 h2 h3 h4 h5 h6".split())
 EXAMPLES = [
     """<html><head><title>t</title></head><body><header><div class="logo">Daily Site</div><nav><ul><li><a href="/">Home</a></li>
     <li><a href="/n">News of today</a></li></ul></nav></header><div id="wrap"><p>Welcome back</p><article><h1>A long day at sea</h1>
@@ -83,23 +89,35 @@ class Run:
     tags: list[str] = field(default_factory=list)
 
 
-def noisy(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element's name or attributes mark it as something other than the article."""
+def noisy(name: str, attributes: str, inside: bool, linked: bool = False) -> bool:
+    """Whether an element's name or attributes mark it as something other than the article.
+
+    Inside an article a class, id or role must say nothing but noise names (``share-buttons``, not
+    ``share-price``), headings are exempt and ``DOUBTFUL`` names need ``linked`` words.
+    """
     if name in NEVER or (name == "header" and not inside):
         return True
     if name in ("html", "body") or name in ARTICLE:
         return name == "article" and any(w in ("comment", "comments", "reply", "teaser", "related") for w in names(attributes))
     if not attributes or "=" not in attributes and "hidden" not in attributes:
         return False
-    return bool(HIDDEN.search(attributes)) or not NOISE_NAMES.isdisjoint(names(attributes))
+    if HIDDEN.search(attributes):
+        return True
+    if not inside:
+        return not NOISE_NAMES.isdisjoint(names(attributes))
+    return name not in HEADING and any(
+        not (hits := NOISE_NAMES.intersection(pieces)) <= (set() if linked else DOUBTFUL) and all(p in hits or p in PLAIN_PIECES or p.isdigit() for p in pieces)
+        for pieces in tokens(attributes))
+
+
+def tokens(attributes: str) -> list[list[str]]:
+    """The pieces of each class, id and role."""
+    return [[p.lower() for p in PIECE.findall(token)] for m in ATTRIBUTE.finditer(attributes) if m[1].lower() != "itemprop"
+            for token in (m[2] or m[3] or m[4] or "").split()]
 
 
 def names(attributes: str) -> list[str]:
-    out = []
-    for m in ATTRIBUTE.finditer(attributes):
-        if m[1].lower() != "itemprop":
-            out += [p.lower() for p in PIECE.findall(m[2] or m[3] or m[4] or "")]
-    return out
+    return [p for pieces in tokens(attributes) for p in pieces]
 
 
 def elements(page: str) -> list[tuple[int, int, str, str, bool, int]]:
@@ -141,13 +159,45 @@ def elements(page: str) -> list[tuple[int, int, str, str, bool, int]]:
     return [tuple(t) for t in tags]
 
 
+def n_words(page: str, tags: list[tuple], first: int, last: int) -> tuple[int, int]:
+    """Words between two tags that are not in scripts and the like, and those of them in links."""
+    total = linked = 0
+    link, skip = False, -1
+    for i in range(first, min(last, len(tags))):
+        _, at, name, _, closing, match = tags[i]
+        if name == "a":
+            link = not closing
+        if name in RAW and not closing:
+            skip = match
+        if i >= skip:
+            n = len(page[at:tags[i + 1][0] if i + 1 < len(tags) else len(page)].split())
+            total, linked = total + n, linked + n * link
+    return total, linked
+
+
+def mostly_links(page: str, tags: list[tuple], first: int, last: int) -> bool:
+    total, linked = n_words(page, tags, first, last)
+    return 2 * linked > total
+
+
+def holds_most(page: str, tags: list[tuple], first: int, last: int, chosen: dict[int, int]) -> bool:
+    """Whether a form is only a wrapper: it contains the article, or most words of a page that marks none."""
+    if chosen:
+        return any(first < c < last for c in chosen)
+    return 2 * n_words(page, tags, first, last)[0] > n_words(page, tags, 0, len(tags))[0]
+
+
+def chosen_parts(page: str, tags: list[tuple]) -> dict[int, int]:
+    """Start and end tags of the elements that make up the article; an <article> wins over a <main> around it."""
+    starts = [i for i, t in enumerate(tags) if t[2] in ARTICLE and not t[4] and not noisy(t[2], t[3], True)]
+    chosen = [i for i in starts if tags[i][2] == "article"] or starts
+    return {i: tags[i][5] if tags[i][5] >= 0 else len(tags) for i in chosen}
+
+
 def runs(page: str) -> tuple[list[Run], bool]:
     """The page's text runs in order, and whether its markup names an article."""
     tags = elements(page)
-    starts = [i for i, t in enumerate(tags) if t[2] in ARTICLE and not t[4] and not noisy(t[2], t[3], True)]
-    # an <article> wins over a <main> around it
-    chosen = [i for i in starts if tags[i][2] == "article"] or starts
-    ends = {i: tags[i][5] if tags[i][5] >= 0 else len(tags) for i in chosen}
+    ends = chosen = chosen_parts(page, tags)
     out: list[Run] = []
     pending: list[str] = []
     breaks, at, link = "\n", 0, 0
@@ -172,10 +222,13 @@ def runs(page: str) -> tuple[list[Run], bool]:
         if name == "a":
             link = 0 if closing else 1
         hidden = noise_until > i
-        if not closing and not hidden and name not in VOID and noisy(name, attributes, inside):
+        if not closing and not hidden and name not in VOID and (
+                noisy(name, attributes, inside) or inside and noisy(name, attributes, True, True) and mostly_links(page, tags, i, match)):
             end = match if match >= 0 else -1
             if end < 0:
                 noise_block = name in NEVER or name in BLOCK
+            elif name == "form" and holds_most(page, tags, i, end, chosen):
+                pass
             elif name in NEVER or not any(i < c < end for c in chosen):
                 noise_until, hidden = end, True
         if not hidden and i != noise_until:  # the tags of an aside count as part of it

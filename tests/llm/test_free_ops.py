@@ -221,6 +221,21 @@ def test_main_text_of_odd_pages(spark):
     assert main_text.extract(df.limit(0)).count() == 0
 
 
+MARKED = [
+    ("<article><header class='entry-header'><h1>Head line</h1></header><p>One two three four.</p><section id='discussion'><h2 id='related-work'>"
+     "Prior art</h2><p>Five six seven.</p></section><h2 id='search-and-rescue'>Sea</h2><p class='warning'>Mind the gap.</p>"
+     "<div class='share-price'>Ten euros</div><div class='share-buttons'>Share it</div><section id='comments'>First!</section></article>",
+     "Head line\nOne two three four.\nPrior art\nFive six seven.\nSea\nMind the gap.\nTen euros"),
+    ("<body><form id='aspnetForm'><input><div class='menu'>Home</div><article><h1>T</h1><p>One two three.</p></article></form></body>", "T\nOne two three."),
+    ("<body><form><input><p>" + "some long story " * 20 + "</p></form></body>", ("some long story " * 20).strip()),
+]
+
+
+@pytest.mark.parametrize("page, want", MARKED)
+def test_marked_pages_keep_their_text(page, want):
+    assert main_text.main_text(page, main_text.weights(main_text.example_weights())) == want
+
+
 def test_best_region_is_maximal():
     """The linear scan against all contiguous regions."""
     rng = random.Random(7)
