@@ -188,10 +188,38 @@ def holds_most(page: str, tags: list[tuple], first: int, last: int, chosen: dict
 
 
 def chosen_parts(page: str, tags: list[tuple]) -> dict[int, int]:
-    """Start and end tags of the elements that make up the article; an <article> wins over a <main> around it."""
+    """Start and end tags of the elements that make up the article.
+
+    Articles win over a <main> that holds them, with the headings and paragraphs of the <main> before
+    them, unless most plain words of the <main> lie outside its articles. A <main> without articles
+    of its own wins over articles elsewhere when it has more plain words than all of them.
+    """
+    end_of = lambda i: tags[i][5] if tags[i][5] >= 0 else len(tags)
+    plain = lambda i: (x := n_words(page, tags, i, end_of(i)))[0] - x[1]
     starts = [i for i, t in enumerate(tags) if t[2] in ARTICLE and not t[4] and not noisy(t[2], t[3], True)]
-    chosen = [i for i in starts if tags[i][2] == "article"] or starts
-    return {i: tags[i][5] if tags[i][5] >= 0 else len(tags) for i in chosen}
+    mains = [i for i in starts if tags[i][2] == "main"]
+    articles = [i for i in starts if tags[i][2] == "article"]
+    outer, until = [], -1  # articles that lie in no other article
+    for i in articles:
+        if i >= until:
+            outer.append(i)
+            until = end_of(i)
+    if not outer or not mains:
+        return {i: end_of(i) for i in outer or mains}
+    words = {i: plain(i) for i in outer}
+    out: dict[int, int] = {}
+    for m in mains:
+        mine = [i for i in outer if m < i < end_of(m)]
+        rest = plain(m) - sum(words[i] for i in mine)
+        if rest > (sum(words[i] for i in mine) if mine else sum(words.values())):
+            out[m] = end_of(m)
+    if out:
+        return out
+    out = {i: end_of(i) for i in outer}
+    for m in mains:
+        first = min((i for i in outer if m < i < end_of(m)), default=m)
+        out |= {i: end_of(i) for i in range(m + 1, first) if tags[i][2] in HEADING | {"p"} and not tags[i][4] and 0 <= tags[i][5] < first}
+    return out
 
 
 def runs(page: str) -> tuple[list[Run], bool]:
@@ -293,7 +321,7 @@ def best_region(found: list[Run], marked: bool, weight: dict[str, float]) -> tup
         if score <= 0:
             score, start = 0.0, i
         gain = len(r.text.split()) * weight[f"word:{context(r, marked)}"]
-        score += max(gain, -aside) if r.noise else gain
+        score += max(gain, -aside) if r.noise or marked and not r.inside else gain
         if score > best:
             best, bounds = score, (start, i + 1)
     return bounds

@@ -228,6 +228,11 @@ MARKED = [
      "Head line\nOne two three four.\nPrior art\nFive six seven.\nSea\nMind the gap.\nTen euros"),
     ("<body><form id='aspnetForm'><input><div class='menu'>Home</div><article><h1>T</h1><p>One two three.</p></article></form></body>", "T\nOne two three."),
     ("<body><form><input><p>" + "some long story " * 20 + "</p></form></body>", ("some long story " * 20).strip()),
+    ("<main><h1>Story</h1><p>" + "the whole long story " * 20 + "</p></main><div><article class='card'><a href='/1'>Other one</a><p>A short card."
+     "</p></article><article class='card'><p>Another card.</p></article></div>", "Story\n" + ("the whole long story " * 20).strip()),
+    ("<main><h1>Head</h1><p>A lead.</p><article><p>" + "the text itself " * 10 + "</p></article></main>", "Head\nA lead.\n" + ("the text itself " * 10).strip()),
+    ("<article><p>" + "part one " * 20 + "</p></article><div>" + "between " * 90 + "</div><article><p>" + "part two " * 20 + "</p></article>",
+     ("part one " * 20).strip() + "\n" + ("part two " * 20).strip()),
 ]
 
 
