@@ -181,14 +181,16 @@ def held_out(key: Column) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
                     label: str = "quality", per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """(text, label) of at most ``2 * per_class`` rows outside the held-out fold, chosen by key hash."""
+    """(key, text, label) of at most ``per_class`` keys of each class outside the held-out fold, chosen by key hash
+    among those with a document of allowed length; a repeated document counts once, by its least text."""
     usable = labels.select(key, F.col(label).cast("int").alias("y")).where(
         F.col(key).isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col(key))).distinct()
     order = F.md5(F.col(key).cast("string"))
-    picks = [usable.where(F.col("y") == c).orderBy(order, key).limit(per_class) for c in (0, 1)]
-    picked = F.broadcast(picks[0].unionByName(picks[1]))  # at most 2 * per_class rows
     rows = docs.select(key, F.col(text).cast("string").alias("t")).where(F.octet_length(F.coalesce("t", F.lit(""))) <= SAMPLE_BYTES)
-    return rows.join(picked, key).select(key, "t", "y").orderBy(order, key, "t", "y").limit(2 * per_class)
+    there = usable.join(rows.select(key).distinct(), key)
+    picks = [there.where(F.col("y") == c).orderBy(order, key).limit(per_class) for c in (0, 1)]
+    picked = F.broadcast(picks[0].unionByName(picks[1]))  # at most 2 * per_class rows
+    return rows.join(picked, key).groupBy(key, "y").agg(F.min("t").alias("t")).select(key, "t", "y").orderBy(order, key, "t", "y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model | float:

@@ -152,6 +152,15 @@ def test_held_out_labels_are_not_learned(spark, make):
     assert quality_cnn.labelled_sample(docs, labels, per_class=10).count() == 20
 
 
+def test_repeated_labelled_documents_leave_room_for_the_others(spark, make):
+    docs = make([(i, f"text {i}") for i in range(400)] + [(i, f"copy {i} {j}") for i in (1, 2, 3, 4) for j in range(200)] + [(600, "x" * 70_000)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(900)], "doc_id long, quality int")
+    got = rows(quality_cnn.labelled_sample(docs, labels, per_class=20))
+    assert sorted(r["y"] for r in got) == [0] * 20 + [1] * 20 and len({r["doc_id"] for r in got}) == 40
+    every = rows(quality_cnn.labelled_sample(docs, labels, per_class=1000))
+    assert len(every) == len({r["doc_id"] for r in every}) and {1, 2, 3, 4} & {r["doc_id"] for r in every}
+
+
 def test_gradients():
     """Numeric derivatives of the loss for a few weights of each layer."""
     rng = np.random.default_rng(0)
