@@ -3,7 +3,7 @@
 Texts are normalised (case, punctuation, copyright lines, equivalent spellings), hashed, and
 joined by digest with the known licences: the entire text of each document, and its
 paragraphs and lines, where licence notices stand. The known side is this module's fixed
-table, so broadcasting it is bounded. Only units with a ``MARKER`` word are normalised; every
+table with the full texts in ``licence_texts``, so broadcasting it is bounded, or the caller's. Only units with a ``MARKER`` word are normalised; every
 known text has one in each of its spellings ("under" for "licensed under" and the like), so no
 match is lost.
 
@@ -14,6 +14,8 @@ columns are ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import materialize
@@ -113,6 +115,18 @@ KNOWN: list[tuple[str, str]] = [
     *[(i, f"SPDX-License-Identifier: {i}") for i in "MIT Apache-2.0 GPL-2.0-only GPL-3.0-only GPL-3.0-or-later LGPL-3.0-only ISC MPL-2.0 Zlib 0BSD".split()],
 ]
 
+# Full texts beside this module: file name -> licence. The text alone does not say "or later".
+FULL_TEXTS = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2-only",
+              "GFDL-1.3": "GFDL-1.3-only", "GPL-1": "GPL-1.0-only", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only",
+              "LGPL-2": "LGPL-2.0-only", "LGPL-2.1": "LGPL-2.1-only", "LGPL-3": "LGPL-3.0-only", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+for _name, _license in FULL_TEXTS.items():
+    _text = (Path(__file__).parent / "licence_texts" / f"{_name}.txt").read_text("utf-8")
+    KNOWN.append((_license, _text))
+    if END_OF_TERMS in _text:  # often given without the appendix
+        _terms = _text[:_text.index(END_OF_TERMS)]
+        KNOWN += [(_license, _terms), (_license, _terms + END_OF_TERMS)]
+
 
 def canonical(text: Column) -> Column:
     out = F.lower(text)
@@ -121,28 +135,34 @@ def canonical(text: Column) -> Column:
     return F.trim(out)
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """(digest, license), one row per distinct canonical form."""
-    rows = spark.createDataFrame(KNOWN, "license string, text string")
-    return rows.select(F.md5(canonical(F.col("text"))).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+def known_digests(known: DataFrame) -> DataFrame:
+    """(digest, license), one row per distinct canonical form that is not empty."""
+    forms = known.select(canonical(F.col("text")).alias("c"), "license").where("c <> ''")
+    return forms.select(F.md5("c").alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def unit_digests(text: Column) -> Column:
-    """array<struct<scope, digest>> of a text's units with a marker: the text, its paragraphs, its lines."""
+def unit_digests(text: Column, marker: str | None = MARKER) -> Column:
+    """array<struct<scope, digest>> of a text's units (with a marker, if any): the text, its paragraphs, its lines."""
     unit = lambda scope, parts: F.transform(parts, lambda p: F.struct(F.lit(scope).alias("scope"), p.alias("u")))
     units = F.concat(unit("text", F.array(text)), unit("paragraph", F.split(text, r"\n[ \t\r]*\n")), unit("line", F.split(text, "\n")))
-    marked = F.filter(units, lambda x: x["u"].rlike(MARKER))
+    marked = F.filter(units, lambda x: x["u"].rlike(marker or r"[\p{L}\p{N}]"))
     digests = F.transform(marked, lambda x: F.struct(x["scope"].alias("scope"), F.md5(canonical(x["u"])).alias("digest")))
-    return F.when(text.rlike(MARKER), digests)
+    return F.when(text.rlike(marker), digests) if marker else digests
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known: DataFrame | None = None) -> DataFrame:
     """(key, license, notices, n_matches) for every document: the licence that its entire text is
-    (NULL if none), the sorted licences that it names anywhere, and how many of its lines do."""
+    (NULL if none), the sorted licences that it names anywhere, and how many of its lines do.
+
+    ``known`` (license, text) takes the place of ``KNOWN``; its texts may lack markers, so every unit
+    is normalised then, and its size is not known, so it is joined without a hint."""
+    marker = MARKER if known is None else None
+    side = known_digests(docs.sparkSession.createDataFrame(KNOWN, "license string, text string") if known is None else known)
+    side = F.broadcast(side) if known is None else side
     rows = docs.select(F.monotonically_increasing_id().alias("row"), key, text_of(text).alias("t"))
-    rows = materialize(rows.select("row", key, unit_digests(F.col("t")).alias("units")), "license-units")
+    rows = materialize(rows.select("row", key, unit_digests(F.col("t"), marker).alias("units")), "license-units")
     units = rows.where(F.size("units") > 0).select("row", F.explode("units").alias("x")).select("row", "x.scope", "x.digest")
-    found = units.join(F.broadcast(known_digests(docs.sparkSession)), "digest")
+    found = units.join(side, "digest")
     per_row = found.groupBy("row").agg(
         F.min(F.when(F.col("scope") == "text", F.col("license"))).alias("license"),
         F.sort_array(F.collect_set("license")).alias("notices"),

@@ -406,3 +406,21 @@ def test_equivalent_spellings_without_the_word_licence(make):
             "All  rights -- reserved": "Proprietary"}
     got = {r["doc_id"]: r["notices"] for r in rows(licenses.scan(make(list(enumerate(docs)))))}
     assert got == {i: [x] for i, x in enumerate(docs.values())}
+
+
+def test_full_licence_texts(make):
+    texts = {}
+    for license, text in licenses.KNOWN:
+        if len(text) > 5000:
+            texts.setdefault(license, text)
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0"} <= set(texts)
+    docs = list(enumerate(t.upper().replace("\n", "\r\n") for t in texts.values()))
+    docs += [(100, texts["GPL-3.0-only"].split("END OF TERMS")[0]), (101, texts["MPL-2.0"] + " and more")]
+    got = {r["doc_id"]: r["license"] for r in rows(licenses.scan(make(docs)))}
+    assert got == {**dict(enumerate(texts)), 100: "GPL-3.0-only", 101: None}
+
+
+def test_known_texts_of_the_caller(spark, make):
+    known = spark.createDataFrame([("House", "Take it, share it."), ("Empty", "...")], "license string, text string")
+    got = {r["doc_id"]: (r["license"], r["notices"]) for r in rows(licenses.scan(make([(1, "TAKE it; share it"), (2, "x\nTake it, share it!\n"), (3, "..."), (4, "MIT License")]), known=known))}
+    assert got == {1: ("House", ["House"]), 2: (None, ["House"]), 3: (None, []), 4: (None, [])}
