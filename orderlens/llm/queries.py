@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (chat, decontaminate, licenses, main_text, mixing, near_dedup, quality_cnn, quality_rules, sharding,
-               substring_dedup)
+from . import (chat, decontaminate, hard_negatives, licenses, main_text, mixing, near_dedup, quality_cnn, quality_rules, sharding,
+               substring_dedup, warc, whitening)
 from .common import table
 
 
@@ -53,6 +53,20 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("vec_id")
+    label = F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), number % 100 == 0, label=label)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_licenses": op2_licenses,
@@ -64,9 +78,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_quality_cnn": op9_quality_cnn,
     "op10_decontaminate": op10_decontaminate,
+    "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_warc": op13_warc,
 }
 
 SQL: dict[str, str] = {
     "op5_chat": chat.SQL,
     "op10_decontaminate": decontaminate.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_warc": warc.SQL,
 }
