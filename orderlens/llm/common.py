@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import materialize
@@ -54,10 +53,10 @@ def with_place(docs: DataFrame, name: str, *cols: Column) -> DataFrame:
     are written to the shared folder first.
     """
     place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).alias("row")
-    try:
-        return docs.select(*cols, place)
-    except AnalysisException:
-        return materialize(docs, name).select(*cols, place)
+    hidden = docs._jdf.queryExecution().analyzed().metadataOutput()
+    if "_metadata" not in [hidden.apply(i).name() for i in range(hidden.size())]:
+        docs = materialize(docs, name)
+    return docs.select(*cols, place)
 
 
 PLACE = "struct<file:bigint,at:bigint>"

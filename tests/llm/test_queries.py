@@ -21,13 +21,13 @@ def canon(tbl):
 @pytest.mark.parametrize("key", sorted(queries.SQL))
 def test_matches_duckdb(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     assert canon(queries.QUERIES[key](spark, SF).toArrow()) == canon(con.sql(queries.SQL[key]).to_arrow_table())
 
 
 def test_one_query_per_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "near-dedup", "decontamination", "source mix", "sharding"]
 
