@@ -202,7 +202,7 @@ def test_cluster_without_shared_folder_is_refused(spark, monkeypatch):
 
 def test_memo_notices_changed_files(spark, tmp_path):
     for t in B.SOURCES:
-        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", tmp_path / f"{t}.parquet")
+        shutil.copyfile(f"/root/testdata/sf0.001/{t}.parquet", tmp_path / f"{t}.parquet")
     before = B.materialized_basetable(spark, str(tmp_path))
     assert B.materialized_basetable(spark, str(tmp_path)) is before
     n = before.count()
