@@ -20,6 +20,7 @@ result; extra columns are ignored. A NULL doc_id is never held out and never use
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,11 +30,13 @@ SAMPLE_PER_CLASS, SAMPLE_BYTES = 1500, 1 << 16
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
 STEP, HALF = 8, 32  # bytes between chunk starts; chunks between segment starts
 EMBED, FILTERS, HIDDEN = 7, 32, 16
+PIECE = 1024  # half segments that scoring holds at once
+PORTION = 1 << 18  # bytes of texts that training holds at once
 LAGS, RUN = 40, 4  # a byte is flagged when it ends RUN bytes equal to those at most LAGS before
 
 
 def repeats(codes: np.ndarray) -> np.ndarray:
-    """1.0 where the last RUN bytes equal the RUN bytes some 1 to LAGS places earlier."""
+    """True where the last RUN bytes equal the RUN bytes some 1 to LAGS places earlier."""
     out = np.zeros(len(codes), bool)
     for lag in range(1, min(LAGS, len(codes) - 1) + 1):
         same = codes[lag:] == codes[:-lag]
@@ -43,7 +46,7 @@ def repeats(codes: np.ndarray) -> np.ndarray:
         for i in range(RUN - 1):
             run &= same[i:len(same) - RUN + 1 + i]
         out[lag + RUN - 1:] |= run
-    return out.astype(np.float32)
+    return out
 
 
 @dataclasses.dataclass
@@ -60,10 +63,18 @@ class Text:
         blocks = max(1, -(-len(raw) // STEP)) + 1
         codes = np.zeros(blocks * STEP, np.uint8)
         codes[:len(raw)] = raw
-        flags = np.zeros(blocks * STEP, np.float32)
+        flags = np.zeros(blocks * STEP, bool)
         flags[:len(raw)] = repeats(raw)
         return cls(codes, flags, blocks - 1)
 
+    def pieces(self, halves: int) -> Iterator[Text]:
+        """The text in stretches of at most ``halves`` half segments; neighbours share one, so no segment is cut."""
+        total = -(-self.chunks // HALF)
+        for a in range(0, max(1, total - 1), halves - 1):
+            first, last = a * HALF, min((a + halves) * HALF, self.chunks)
+            at = slice(first * STEP, (last + 1) * STEP)
+            yield Text(self.codes[at], self.flags[at], last - first)
+
 
 @dataclasses.dataclass
 class Model:
@@ -112,8 +123,15 @@ class Model:
         hid = np.maximum(seg @ self.hidden + self.hidden_shift, 0)
         seg_start = np.concatenate([[0], np.cumsum(segments)[:-1]])
         pooled = np.maximum.reduceat(hid, seg_start, axis=0)
-        p = 1 / (1 + np.exp(-np.clip(pooled @ self.out + self.out_shift[0], -30, 30)))
-        return p, locals()
+        return self.probability(pooled), locals()
+
+    def probability(self, pooled: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(pooled @ self.out + self.out_shift[0], -30, 30)))
+
+    def score(self, text: Text) -> float:
+        """Probability of label 1 of a text of any length, a bounded stretch at a time."""
+        pooled = [self.forward([piece])[1]["pooled"] for piece in text.pieces(PIECE)]
+        return float(self.probability(np.max(pooled, axis=0))[0])
 
     def gradients(self, y: np.ndarray, p: np.ndarray, s: dict) -> list[np.ndarray]:
         """Of the mean log loss, in the order of the fields."""
@@ -139,6 +157,16 @@ class Model:
         return [d_embed.astype(np.float32), d_first, d_second, d_acts.sum(axis=0), d_hidden, d_hidden_shift, d_out, d_out_shift]
 
 
+def portions(rows: np.ndarray, data: list[Text]) -> Iterator[np.ndarray]:
+    """``rows`` in runs of at most ``PORTION`` bytes (or one row): what the gradients hold in memory at once."""
+    size = np.array([len(data[i].codes) for i in rows])
+    start = 0
+    for end in range(1, len(rows) + 1):
+        if end == len(rows) or size[start:end + 1].sum() > PORTION:
+            yield rows[start:end]
+            start = end
+
+
 def train(texts: list[str], labels: list[int], epochs: int = 10, batch: int = 32, rate: float = 4e-3, seed: int = 9) -> Model | float:
     """Adam on the log loss; the share of good labels when only one class is there."""
     y = np.array(labels, np.float32)
@@ -156,9 +184,12 @@ def train(texts: list[str], labels: list[int], epochs: int = 10, batch: int = 32
         order = rng.permutation(len(data))
         for at in range(0, len(order), batch):
             pick = order[at:at + batch]
-            p, state = model.forward([data[i] for i in pick])
-            target = y[pick] + (p - y[pick]) * (1 - class_weight[pick])  # scales each row's gradient by its weight
-            grads = model.gradients(target, p, state)
+            grads = [0.0] * len(fields)
+            for part in portions(pick, data):
+                p, state = model.forward([data[i] for i in part])
+                target = y[part] + (p - y[part]) * (1 - class_weight[part])  # scales each row's gradient by its weight
+                share = np.float32(len(part) / len(pick))
+                grads = [a + share * g for a, g in zip(grads, model.gradients(target, p, state))]
             step += 1
             now = rate * min(1.0, 2 * (1 - step / (steps + 1)))
             for f, g, a, b in zip(fields, grads, m, v):
@@ -172,7 +203,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 10, batch: int = 32
 def scores(model: Model | float, texts: pd.Series) -> pd.Series:
     if not isinstance(model, Model):
         return pd.Series(np.full(len(texts), model))
-    return pd.Series([float(model.forward([Text.of(t)])[0][0]) for t in texts], dtype="float64")
+    return pd.Series([model.score(Text.of(t)) for t in texts], dtype="float64")
 
 
 def held_out(key: Column) -> Column:
