@@ -60,6 +60,12 @@ def with_place(docs: DataFrame, name: str, *cols: Column) -> DataFrame:
 
 
 PLACE = "struct<file:bigint,at:bigint>"
+BROADCAST_PLACES = 100_000
+
+
+def few_places(places: DataFrame) -> DataFrame:
+    """A written table of places (or of one hash a row), marked for broadcast up to ``BROADCAST_PLACES`` rows."""
+    return F.broadcast(places) if places.count() <= BROADCAST_PLACES else places
 
 
 @contextmanager

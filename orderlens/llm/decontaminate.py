@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import text_of, with_window_hashes
+from .common import few_places, text_of, with_place, with_window_hashes
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Runs of letters and digits; every character beyond ASCII counts as a letter.
@@ -124,15 +124,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The uncontaminated documents, with all their columns.
-
-    Decisions depend on the text alone, so they are joined back by its digest. Only the digests
-    of contaminated texts take part in the join; NULL texts are always clean.
-    """
-    told = docs.select(F.sha2(F.col(text).cast("binary"), 256).alias("_digest"), text)
-    bad = judged(told, benchmark, "_digest", text).where("contaminated").select("_digest").distinct()
-    keep = docs.withColumn("_digest", F.sha2(F.col(text).cast("binary"), 256)).join(bad, "_digest", "left_anti")
-    return keep.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The uncontaminated documents, with all their columns. Decisions are joined back by place."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = with_place(docs, "decontaminated", F.col(text).cast("string").alias("text"), doc)
+    told = judged(rows.select(F.col("row").alias("place"), "text"), benchmark, "place", "text")
+    bad = materialize(told.where("contaminated").select(F.col("place").alias("row")), "contaminated")
+    return rows.select("doc", "row").join(few_places(bad), "row", "left_anti").select("doc.*")
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

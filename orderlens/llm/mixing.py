@@ -9,7 +9,7 @@ Newton iterations find the multipliers; each is one aggregate over (source, size
 and every multiplier stays in a DataFrame with its source.
 
 Rates become whole copies: everyone takes the whole part, and one more copy goes to documents
-in the order of ``u - fraction`` (``u`` a uniform number from the key's digest) until the
+in the order of ``u - fraction`` (``u`` a uniform number from a digest of key and text) until the
 target's words are reached. The cut is found from running sums over 2 ** 16 buckets of that
 order, then inside one bucket, so no task sorts a whole source. A few documents that still
 fit then fill up what is left of the target.
@@ -168,7 +168,8 @@ def numbered(docs: DataFrame, key: str, source: str, text: str, *more: Column) -
     d = with_place(docs, "mix-documents", F.col(key).alias("key"), F.col(source).cast("string").alias("source"),
                    source_key(source).alias("src"), n_words(text_of(text)).alias("size"),
                    F.when(F.col(key).isNull(), F.concat(F.lit("n|"), F.md5(F.encode(text_of(text), "UTF-8"))))
-                   .otherwise(key_text(key)).alias("own"), *more)
+                   .otherwise(F.concat_ws("|", key_text(key), F.crc32(F.encode(text_of(text), "UTF-8")))).alias("own"), *more)
+    # by key and text, so that different texts of one key spread over the buckets
     return d.withColumn("u", unit_from_md5(F.md5(F.concat(F.lit("mix|"), F.col("own"))))).drop("own")
 
 

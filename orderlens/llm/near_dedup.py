@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import materialize
-from .common import small_batches, with_place
+from .common import few_places, small_batches, with_place
 from .components import components
 
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1  # SetSketch b, a and q + 1
@@ -42,7 +42,6 @@ SHINGLE, PERCENT = 4, 80
 DOUBT = 12.0  # natural log of the likelihood ratio at which an estimate rules a pair out
 BLOCK_NODES, BLOCK_BYTES = 1024, 8 << 20
 FEW = 4  # nodes of a bucket whose pairs are estimated together with those of other buckets
-BROADCAST_KEYS = 500_000  # hashes of wanted texts, or places of rows; more are joined by shuffle
 
 _U = np.uint64
 _rng = np.random.default_rng(20_231)
@@ -312,9 +311,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     families = materialize(components(likely), "families")
     wanted = families.join(nodes.select("node", "n", "raw"), "node")
     # the texts of the families again: first by a 64-bit hash, so that few texts are shuffled
-    hashes = materialize(wanted.select(F.xxhash64("raw").alias("h")).distinct(), "wanted")
-    if hashes.count() <= BROADCAST_KEYS:
-        hashes = F.broadcast(hashes)
+    hashes = few_places(materialize(wanted.select(F.xxhash64("raw").alias("h")).distinct(), "wanted"))
     texts = docs.select(F.md5(F.encode(body, "UTF-8")).alias("raw"), body.alias("body"))
     texts = texts.withColumn("h", F.xxhash64("raw")).join(hashes, "h", "left_semi")
     texts = texts.groupBy("raw").agg(F.any_value("body").alias("body"))
@@ -343,7 +340,5 @@ def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", k
     rows = with_place(docs, "near-documents", F.col(key).alias("key"), F.col(text).cast("string").alias("text"), doc)
     ranked = rows.select(F.struct(F.col("key").isNull(), "key", "row").alias("rank"), "text")
     gone = near_duplicates(ranked, "rank", "text", k).where(~F.col("kept")).select(F.col("rank.row").alias("row"))
-    gone = materialize(gone, "near-copies")
-    if gone.count() <= BROADCAST_KEYS:
-        gone = F.broadcast(gone)
+    gone = few_places(materialize(gone, "near-copies"))
     return rows.select("doc", "row").join(gone, "row", "left_anti").select("doc.*")

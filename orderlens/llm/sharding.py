@@ -39,16 +39,15 @@ def shard_rows(rows: DataFrame, weights: Sequence[float], grown_weight: float |
     """The key and the columns of ``RESULT`` for every row.
 
     ``grown_weight`` is the weight of the shard added for ``grown_shard`` (None: NULL).
-    ``bucket_digits`` hex digits of the key's digest split each shard for slot numbering: a
-    window task holds about rows / shards / 16 ** digits rows. Equal rows are counted before
-    the shuffle and expanded after it.
+    ``bucket_digits`` hex digits of a digest of key, size and checksum split each shard for slot
+    numbering: a window task holds about rows / shards / 16 ** digits rows, also of a key that
+    many different texts share. Equal rows are counted before the shuffle and expanded after it.
     """
     kt = key_text(key)
     grown = rendezvous(kt, [*weights, grown_weight]) if grown_weight else F.lit(None)
     body = F.encode(text_of(text), "UTF-8")
-    slim = rows.select(
-        key, (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
-        F.md5(kt).alias("_digest"))
+    slim = rows.select(key, (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
+    slim = slim.withColumn("_digest", F.md5(F.concat_ws("|", kt, "size", "text_crc32")))
     cols = slim.columns
     same = slim.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     placed = (same.withColumn("shard", rendezvous(kt, weights).cast("int"))
