@@ -4,6 +4,11 @@ Every stage takes (spark, docs, sf_dir), works on all documents that the stage b
 and returns the columns of ``documents``; the last adds shard and slot. A stage's result is
 written as Parquet in the shared folder and read back as the next one's ``docs``, so a lost
 executor costs at most one stage's recomputation.
+
+Defined cases: NULL and empty texts are scored, kept apart from every near-duplicate group,
+never contaminated, taken by the mix as they are and sharded like any other; rows with equal or
+NULL ids are rows of their own at every stage; an empty table passes all stages empty; extra
+columns come through, but for those of the last stage's names, which its results replace.
 """
 
 from __future__ import annotations
