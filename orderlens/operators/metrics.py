@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from orderlens.session import materialize
 from orderlens.operators.aggregate import is_other
-from orderlens.operators.prefix import exact_medians, prefix_sums
+from orderlens.operators.bracket import medians
+from orderlens.operators.prefix import prefix_sums
 
 
 def _groups(split_col: str | None) -> list[str]:
@@ -151,15 +152,13 @@ def impute_medians(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None
     """Replace NULL/NaN in ``cols`` by the column's exact median (of ``fit_on``, else of
     ``df``); the type is kept (integral columns take the median truncated, as MLlib's
     ``Imputer``)."""
-    meds = exact_medians(df if fit_on is None else fit_on, cols)
-    wide = meds.groupBy().pivot("column", list(cols)).agg(F.first("median"))
-    m = wide.select(F.struct(*cols)).scalar()  # one row: a scalar subquery
+    fitted = medians(df if fit_on is None else fit_on, cols)  # one number a column
     types = dict(df.dtypes)
     exprs = {}
     for c in cols:
         x = F.col(c)
         missing = x.isNull() | (F.isnan(x) if types[c] in ("double", "float") else F.lit(False))
-        exprs[c] = F.when(missing, m.getField(c).cast(types[c])).otherwise(x)
+        exprs[c] = F.when(missing, F.lit(fitted.get(c)).cast(types[c])).otherwise(x)
     return df.withColumns(exprs)
 
 

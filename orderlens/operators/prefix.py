@@ -1,8 +1,7 @@
 """Distributed running sums and exact rank selection.
 
 Several reference operators need a running total over a sorted table: the Pareto
-category cut, the time-ordered 70/30 split, ROC/PR areas, ROC and lift points, exact
-medians. The naive plan (a window with no ``partitionBy``) moves every row into a
+category cut, ROC/PR areas, ROC and lift points, ties of a time-ordered split. The naive plan (a window with no ``partitionBy``) moves every row into a
 single task. Here the ordered key range is cut into buckets at approximate quantiles
 (a bounded GK sketch per group, ``percentile_approx``); per-bucket totals (a table of
 at most ``buckets`` rows per group) give each bucket's offset, and the running sum
@@ -23,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
-from orderlens.session import materialize
+from orderlens.operators.bracket import medians
 
 OrderSpec = Sequence[tuple]  # (column, ascending[, nulls_last])
 
@@ -46,7 +45,7 @@ def _text_key(df: DataFrame, name: str) -> Column:
     return F.conv(six, 16, 10).cast("double")
 
 
-def _sort_key(df: DataFrame, name: str, ascending: bool, nulls_last: bool = True) -> Column:
+def sort_key(df: DataFrame, name: str, ascending: bool, nulls_last: bool = True) -> Column:
     """A double that never decreases in the requested order of ``name`` (the window inside
     a bucket settles ties). As in Spark's own order NaN is the greatest number; it shares
     a key with infinity, and NULLs get the key of the end they sort to."""
@@ -101,7 +100,7 @@ def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
     accuracy = accuracy or max(10000, 20 * nb)
     groups = list(partition_by)
     lead, lead_asc = order_by[0][0], order_by[0][1]
-    keyed = df.withColumn("_k", _sort_key(df, lead, lead_asc, order_by[0][2] if len(order_by[0]) > 2 else True))
+    keyed = df.withColumn("_k", sort_key(df, lead, lead_asc, order_by[0][2] if len(order_by[0]) > 2 else True))
 
     probs = [i / nb for i in range(1, nb)]
     step = max(1, math.isqrt(nb - 1))
@@ -151,24 +150,5 @@ def rows_at_ranks(df: DataFrame, order_by: OrderSpec, weight: str, ranks: Column
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Exact median of every listed column (NULL and NaN ignored; even counts average the two
-    middle values, as ``percentile(0.5)``). Returns ``(column, median)``. A fit step:
-    it writes the per-value count table once (one job) and returns a lazy result.
-
-    Built-in exact ``median`` keeps a map of every distinct value of the column in one
-    buffer for a global aggregate. Here values are counted per distinct value first
-    (partial aggregation: a hot value is one row), then the middle ranks are found with
-    distributed running sums.
-    """
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
-    ])).alias("kv")).select("kv.column", "kv.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    # The value-count table feeds five branches below (totals, split points, bucket
-    # totals, rows, offsets): written once to the shared folder instead of recomputed
-    # from the source in each.
-    counts = materialize(stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("w")), "value-counts")
-    n = counts.groupBy("column").agg(F.sum("w").alias("n"))
-    ranks = F.array(F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1)
-    with_n = counts.join(F.broadcast(n), "column")  # one row per listed column
-    mids = rows_at_ranks(with_n, [("value", True)], "w", ranks, partition_by=["column"], few_groups=True)
-    return mids.groupBy("column").agg((F.sum(F.col("value") * F.col("hits")) / 2).alias("median"))
+    """``(column, median)``: the exact median of every listed column that has values (see ``bracket``)."""
+    return df.sparkSession.createDataFrame(list(medians(df, cols).items()), "column string, median double")

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.operators.metrics import impute_medians
-from orderlens.operators.prefix import exact_medians
+from orderlens.operators.bracket import medians
 
 
 def median_impute(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """In-place median imputation. ``exact`` uses exact medians from distributed rank
+    """In-place median imputation. ``exact`` uses exact medians from bracketed
     selection; ``exact=False`` is MLlib's ``Imputer`` (approximate quantile sketch,
     relative error 0.001), as the reference."""
     if exact:
@@ -79,14 +79,9 @@ def single_level(df: DataFrame, categorical: Sequence[str]) -> list[str]:
     return [c for c in categorical if not row[c]]
 
 
-def fitted_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """Exact median per column: one row per listed column reaches the driver."""
-    return {r["column"]: r["median"] for r in exact_medians(df, cols).collect()}
-
-
-def fill_medians(df: DataFrame, medians: dict[str, float]) -> DataFrame:
+def fill_medians(df: DataFrame, fitted: dict[str, float]) -> DataFrame:
     """NULL and NaN of double columns replaced by fitted medians."""
-    return df.withColumns({c: F.when(F.col(c).isNull() | F.isnan(c), F.lit(m)).otherwise(F.col(c)) for c, m in medians.items()})
+    return df.withColumns({c: F.when(F.col(c).isNull() | F.isnan(c), F.lit(m)).otherwise(F.col(c)) for c, m in fitted.items()})
 
 
 def prepare(train: DataFrame, others: Sequence[DataFrame], label: str, id_col: str,
@@ -99,10 +94,10 @@ def prepare(train: DataFrame, others: Sequence[DataFrame], label: str, id_col: s
     stays as the constant feature ``<column>_index``, so the feature set depends on the
     columns asked for and not on the data."""
     cast = lambda d: d.withColumns({c: F.col(c).cast("double") for c in numeric})
-    medians = fitted_medians(cast(train), list(numeric if impute is None else impute))
+    fitted = medians(cast(train), list(numeric if impute is None else impute))
     constant = single_level(train, categorical)
     fixed = {f"{c}_index": F.lit(0.0) for c in constant}
-    ready = lambda d: fill_medians(cast(d), medians).withColumns(fixed)
+    ready = lambda d: fill_medians(cast(d), fitted).withColumns(fixed)
     model = preprocessing_pipeline(label, [*numeric, *fixed], [c for c in categorical if c not in constant], unseen).fit(ready(train))
     out = []
     for d in [train, *others]:

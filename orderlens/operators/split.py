@@ -3,9 +3,9 @@
 The reference's time split is ``limit(int(0.7 n))`` on a time-sorted table followed by
 ``exceptAll``: a global sort, a limit that gathers the prefix in one place, and a
 row-multiset difference. Here the 70 % point is found as the exact k-th key in
-``(ts, id)`` order with distributed running sums over per-timestamp counts (a hot
-timestamp is one row there); then both halves are plain complementary filters that
-push down into the scan. Only the cutoff key (one row) reaches the driver.
+``(ts, id)`` order by bracketed selection: only the rows near the cutoff are sorted;
+then both halves are plain complementary filters that push down into the scan. Only
+the cutoff key (one row) and a few counts reach the driver.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from orderlens import functions as X
-from orderlens.operators.prefix import rows_at_ranks
-from orderlens.session import materialize
+from orderlens.operators.bracket import FEW, brackets
+from orderlens.operators.prefix import sort_key, rows_at_ranks
 
 TWO_POW_32 = 4294967296
 
@@ -48,19 +48,43 @@ def _typed(df: DataFrame, col: str, key: Any) -> Column:
     return F.lit(key).cast(df.schema[col].dataType)
 
 
+def _narrowed(df: DataFrame, col: str, k: int, n: int) -> tuple[DataFrame, int, int]:
+    """The rows whose ``col`` lies in a bracket around the k-th of ``n`` (NULLs last), the rank in it and its size."""
+    b = brackets(df, {"k": sort_key(df, col, True)}, k / n, lambda n: (k, k))["k"]
+    return df.where(sort_key(df, col, True).between(b.low, b.high)), k - b.below, b.inside
+
+
+def _one_value(df: DataFrame, col: str) -> bool:
+    """Whether all rows share one value of ``col``, NULL included."""
+    ends = df.agg(F.min(col).eqNullSafe(F.max(col)).alias("same"), F.count(col).alias("some"), F.count(F.lit(1)).alias("all")).first()
+    return ends["same"] and ends["some"] in (0, ends["all"])
+
+
 def time_prefix_predicate(df: DataFrame, ts: str, id_col: str, share: float = 0.7) -> Column:
     """Predicate selecting the first ``int(share * n)`` rows in ``(ts NULLS LAST, id)``
-    order (``id`` unique). Two small exact selections; no sort of the table."""
-    keys = df.select(ts, id_col)
-    per_ts = materialize(keys.groupBy(ts).agg(F.count(F.lit(1)).alias("_w")), "time-split-counts")
-    k = int((per_ts.agg(F.sum("_w")).first()[0] or 0) * share)
-    if k <= 0:
+    order (``id`` unique). Bracketed selection: a sketch and a count bracket the cutoff
+    by its time, and by its id where many rows share the time; what is left is sorted."""
+    rest = df.select(ts, id_col)
+    left = rest.count()
+    rank = int(left * share)
+    if rank <= 0:
         return F.lit(False)
-    t_text, before = _kth_key_text(per_ts, ts, k, "_w")
-    same = F.col(ts).isNull() if t_text is None else (F.col(ts) == _typed(df, ts, t_text))
-    # the ids at the cutoff, written once: their ranks are found in several passes
-    at_cut = materialize(keys.where(same).select(id_col), "time-split-ids")
-    id_text, _ = _kth_key_text(at_cut, id_col, k - before)
+    rest, rank, left = _narrowed(rest, ts, rank, left)
+    if left > FEW:
+        if not _one_value(rest, ts):  # many times that share a sort key
+            per_ts = rest.groupBy(ts).agg(F.count(F.lit(1)).alias("_w"))
+            t_text, before = _kth_key_text(per_ts, ts, rank, "_w")
+            rest = rest.where(F.col(ts).isNull() if t_text is None else F.col(ts) == _typed(df, ts, t_text))
+            rank -= before
+            left = rest.count()
+        rest, rank, left = _narrowed(rest, id_col, rank, left)
+    text = lambda c: (F.unix_micros(F.col(c)) if _zoned(df, c) else F.col(c).cast("string")).alias(c)
+    if left > FEW:  # many ids that share a sort key
+        t_text = rest.select(text(ts)).first()[0]
+        id_text, _ = _kth_key_text(rest.select(id_col), id_col, rank)
+    else:
+        last = rest.orderBy(F.col(ts).asc_nulls_last(), F.col(id_col)).offset(rank - 1).limit(1).select(text(ts), text(id_col)).first()
+        t_text, id_text = last[0], last[1]
     id_lit = _typed(df, id_col, id_text)
     if t_text is None:
         return F.col(ts).isNotNull() | (F.col(ts).isNull() & (F.col(id_col) <= id_lit))
