@@ -66,6 +66,13 @@ def pivot_exprs(pivot_col: str, values: Sequence[Any], aggs: dict[str, tuple[str
     return out
 
 
+def frequent_values(df: DataFrame, col: str, most: int = 50) -> list:
+    """The ``most`` commonest values of a column (ties by value, NULL left out): the fitted columns of a pivot. One
+    partial aggregate; at most ``most`` values reach the driver, and a pivot counts the others under ``other``."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return sorted(r[col] for r in counts.orderBy(F.desc("n"), col).limit(most).collect())
+
+
 def pivot_agg(df: DataFrame, by: Sequence[str] | str, pivot_col: str, values: Sequence[Any],
               aggs: dict[str, tuple[str, str]], fill: Any = 0, name: str | None = None,
               other: str | None = OTHER) -> DataFrame:

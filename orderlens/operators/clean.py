@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from typing import Any, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StringType
 
 from orderlens import functions as X
+from orderlens.session import materialize
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Fixed values of the reference's missing-data encodings.
@@ -83,6 +84,20 @@ def clean_orders(df: DataFrame, ts_cols: list[str], num_cols: list[str], sentine
     return out
 
 
+def _nulls(df: DataFrame) -> list[Column]:
+    return [F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in df.columns] + [F.count(F.lit(1)).alias("rows")]
+
+
+def clean_orders_profiled(df: DataFrame, ts_cols: list[str], num_cols: list[str], sentinel: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``clean_orders`` written to the shared folder, and its NULL profile ``(stage, column, nulls, rows)`` before and
+    after. Both profiles are observed while the cleaned table is written, so the orders are read once."""
+    before, after = Observation("before"), Observation("after")
+    cleaned = clean_orders(df.observe(before, *_nulls(df)), ts_cols, num_cols, sentinel)
+    written = materialize(cleaned.observe(after, *_nulls(cleaned)), "clean-orders")
+    rows = [(stage, c, n, seen["rows"]) for stage, seen in (("before", before.get), ("after", after.get)) for c, n in seen.items() if c != "rows"]
+    return written, df.sparkSession.createDataFrame(rows, "stage string, column string, nulls bigint, rows bigint")
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """One row, one bigint NULL count per column, in a single pass."""
     return df.select([F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in df.columns])

@@ -16,7 +16,8 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.session import materialize
@@ -108,6 +109,45 @@ def lift_points(df: DataFrame, score: str = "score", label: str = "label", split
                       ((_as_double("cum_pos") / _as_double("P")) / population).alias("lift"))
 
 
+def margin(pred: DataFrame, raw: str = "rawPrediction", positive: int = 1, out: str = "score") -> DataFrame:
+    """``out``: the raw score of the positive class, for models without probabilities (``LinearSVC``). It orders
+    rows as a probability would, which is all that areas, ROC and lift read."""
+    return pred.withColumn(out, vector_to_array(raw)[positive])
+
+
+def class_margins(pred: DataFrame, classes: Sequence, label: str = "label", raw: str = "rawPrediction",
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """``(class, score, label)`` with one row per row and class of a one-vs-rest model: the margin of the class and
+    whether it is the row's label. ``raw`` is a vector or an array in the order of ``classes``."""
+    kind = pred.schema[raw].dataType.typeName()
+    values = F.col(raw) if kind == "array" else vector_to_array(raw)
+    each = F.posexplode(values).alias("_i", "score")
+    out = pred.select(*keep, F.col(label).alias("_label"), each)
+    cls = F.get(F.array(*[F.lit(c) for c in classes]), F.col("_i"))
+    return out.select(*keep, cls.alias("class"), "score", (F.col("_label") == cls).cast("int").alias("label"))
+
+
+def binned_auc_roc(df: DataFrame, score: str = "score", label: str = "label", split_col: str | None = None,
+                   bins: int = 1000, low: float = 0.0, high: float = 1.0) -> DataFrame:
+    """``(auc_roc, auc_low, auc_high)`` from a histogram of the scores: an estimate for nearly unique scores.
+
+    Scores fall into ``bins`` equal bins of ``low`` .. ``high`` (those beyond into the first or last), so what is
+    shuffled and what the windows sort is at most ``bins`` rows a task and split, whatever the number of rows. Only pairs
+    inside one bin are unknown: the exact area lies between ``auc_low`` and ``auc_high``, and the estimate takes half of them.
+    """
+    place = F.floor((_as_double(score) - low) / F.lit((high - low) / bins)).cast("int")
+    binned = df.withColumn("_bin", F.greatest(F.lit(0), F.least(F.lit(bins - 1), place)))
+    g = _groups(split_col)
+    counts = score_groups(binned, "_bin", label, split_col)
+    above = Window.partitionBy(*g).orderBy(F.col("_bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("above", F.coalesce(F.sum("pos").over(above), F.lit(0)))
+    pairs = _as_double(F.sum("pos")) * _as_double(F.sum("neg"))
+    whole = lambda c: F.sum(c.cast("decimal(38,0)")).cast("double")
+    sure, open_ = whole(F.col("neg") * F.col("above")), whole(F.col("neg") * F.col("pos"))
+    return counts.groupBy(*g).agg(F.try_divide(sure + open_ / 2, pairs).alias("auc_roc"), F.try_divide(sure, pairs).alias("auc_low"),
+                                  F.try_divide(sure + open_, pairs).alias("auc_high"))
+
+
 def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     return df.agg(F.avg(F.when(F.col(label) == F.col(pred), F.lit(1.0)).otherwise(F.lit(0.0))).alias("accuracy"))
 

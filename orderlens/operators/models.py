@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from orderlens.operators.split import hash_folds
+
 # Fixed values of the reference's model settings.
 GBT_SEED_COMPARE = 134
 GBT_SEED_FINAL = 132
@@ -141,18 +143,22 @@ def feature_select_topk(importances: DataFrame, min_value: float = 0.05, k: int
             .orderBy(F.col("importance").desc(), F.col("feature")).limit(k))
 
 
-def cross_validate(train: DataFrame, estimator: Any, param: str, values: Sequence[Any],
-                   folds: int = CV_FOLDS, metric: str = "areaUnderROC", seed: int = 123,
-                   parallelism: int = 4) -> DataFrame:
-    """k-fold cross-validation over one parameter grid: ``(param, avg_metric)``."""
+def cross_validated(train: DataFrame, estimator: Any, param: str, values: Sequence[Any], folds: int = CV_FOLDS,
+                    metric: str = "areaUnderROC", id_col: str = "order_id", parallelism: int = 4) -> tuple[DataFrame, Any]:
+    """k-fold cross-validation over one parameter grid: the table ``(param, avg_metric)`` and the best model,
+    refitted on all rows. Folds come from the id's hash, so neither depends on partitions."""
     p = estimator.getParam(param)
     grid = ParamGridBuilder().addGrid(p, list(values)).build()
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid,
-                        evaluator=BinaryClassificationEvaluator(metricName=metric, numBins=0),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    model = cv.fit(train)
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
+                        evaluator=BinaryClassificationEvaluator(metricName=metric, numBins=0), parallelism=parallelism)
+    model = cv.fit(hash_folds(train, id_col, folds))
     rows = [(float(pm[p]), float(m)) for pm, m in zip(grid, model.avgMetrics)]
-    return train.sparkSession.createDataFrame(rows, f"{param} double, avg_{metric} double")
+    return train.sparkSession.createDataFrame(rows, f"{param} double, avg_{metric} double"), model.bestModel
+
+
+def cross_validate(train: DataFrame, estimator: Any, param: str, values: Sequence[Any], **how: Any) -> DataFrame:
+    """The table of ``cross_validated``."""
+    return cross_validated(train, estimator, param, values, **how)[0]
 
 
 def predictions(model: Any, df: DataFrame, id_col: str = "order_id", keep_label: bool = True) -> DataFrame:

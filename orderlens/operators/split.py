@@ -125,6 +125,11 @@ def stratified_sample(df: DataFrame, id_col: str, stratum: str, fractions: dict[
     raise ValueError(f"unknown method {method!r}")
 
 
+def hash_folds(df: DataFrame, id_col: str, folds: int, out: str = "fold") -> DataFrame:
+    """``out``: a fold from 0 to ``folds - 1`` by the md5 of the id, the same on any partition layout."""
+    return df.withColumn(out, F.pmod(X.unit_hash(id_col), F.lit(folds)).cast("int"))
+
+
 EXCEPT_CHUNK = 10_000
 
 

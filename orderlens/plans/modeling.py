@@ -17,11 +17,14 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.operators import importance as IM
+from orderlens.operators import metrics as MT
 from orderlens.operators import models as M
 from orderlens.operators import prep as PR
 from orderlens.operators import split as S
 from orderlens.plans import basetable as B
 from orderlens.plans import features as FE
+from orderlens.session import materialize
 
 # The feature columns, by name.
 NUMERIC = [
@@ -98,12 +101,23 @@ def binary_board(p: Prepared) -> tuple[DataFrame, dict[str, Any]]:
     return p.cache["binary_board"]
 
 
-def importance_model(p: Prepared) -> Any:
-    """The leaderboard winner when it exposes importances (only the tree ensembles
-    do), else the compared GBT, the reference's chosen family."""
-    board, fitted = binary_board(p)
-    best = board.orderBy(board["areaUnderPR"].desc()).first()["model"]
-    return fitted[best] if hasattr(fitted[best], "featureImportances") else fitted["GBTClassifier"]
+def importances(p: Prepared) -> DataFrame:
+    """``(feature, importance)`` of the leaderboard's winner, adding up to 1: its own for tree ensembles, by
+    permutation on the validation orders for every other model."""
+    if "importances" not in p.cache:
+        board, fitted = binary_board(p)
+        model = fitted[M.model_select(board).first()["model"]]
+        spark = p.train.sparkSession
+        if hasattr(model, "featureImportances"):
+            p.cache["importances"] = M.feature_importance(spark, model, p.names)
+        else:
+            p.cache["importances"] = materialize(IM.normalised(permuted_importances(p, model)), "importances")
+    return p.cache["importances"]
+
+
+def permuted_importances(p: Prepared, model: Any) -> DataFrame:
+    """Permutation importances of a binary model on the validation orders."""
+    return IM.model_importance(model, p.valid_binary, p.names, MT.margin)
 
 
 def final_gbt() -> GBTClassifier:
@@ -147,6 +161,25 @@ def final_ovr(p: Prepared) -> Any:
     return p.cache["final_ovr"]
 
 
+def svc_splits(p: Prepared) -> DataFrame:
+    """``(split, order_id, label, score)``: the margins of the compared LinearSVC, a model without probabilities."""
+    if "svc_splits" not in p.cache:
+        model = binary_board(p)[1]["LinearSVC"]
+        parts = [MT.margin(model.transform(d)).select(F.lit(name).alias("split"), "order_id", "label", "score")
+                 for name, d in (("train", p.train_binary), ("validate", p.valid_binary))]
+        p.cache["svc_splits"] = parts[0].unionByName(parts[1]).persist(StorageLevel.MEMORY_AND_DISK)
+    return p.cache["svc_splits"]
+
+
+def class_margins(p: Prepared) -> DataFrame:
+    """``(order_id, class, score, label)``: the margins of the five one-vs-rest models on the validation orders."""
+    if "class_margins" not in p.cache:
+        scored = validation_ovr(p).transform(p.valid_multi)
+        out = MT.class_margins(scored, [1.0, 2.0, 3.0, 4.0, 5.0], keep=["order_id"])
+        p.cache["class_margins"] = out.persist(StorageLevel.MEMORY_AND_DISK)
+    return p.cache["class_margins"]
+
+
 def final_scores(p: Prepared) -> DataFrame:
     """(order_id, prediction_binary, prediction_multiclass) of every holdout order."""
     return M.score_merge(M.predictions(final_binary(p), p.holdout, keep_label=False),
@@ -155,7 +188,7 @@ def final_scores(p: Prepared) -> DataFrame:
 
 def selected_columns(p: Prepared) -> list[str]:
     """Source columns of the most important features (all of them if none stands out)."""
-    top = M.feature_select_topk(M.feature_importance(p.train.sparkSession, importance_model(p), p.names)).collect()  # 10 rows at most
+    top = M.feature_select_topk(importances(p)).collect()  # 10 rows at most
     return M.source_columns([r["feature"] for r in top], NUMERIC, CATEGORICAL) or [*NUMERIC, *CATEGORICAL]
 
 
@@ -181,11 +214,38 @@ def selected_refit(p: Prepared) -> tuple[DataFrame, DataFrame]:
     return p.cache["selected_refit"]
 
 
-def stratified_refit(p: Prepared, share: float = 0.7) -> DataFrame:
-    """The stratified path: a hash sample of ``share`` of every score trains, the rest validates."""
+def stratified_parts(p: Prepared, share: float = 0.7) -> tuple[DataFrame, DataFrame]:
+    """The reviewed train orders: a hash sample of ``share`` of every score, and its complement."""
+    first, rest, _ = p.sides
+    reviewed = first.unionByName(rest).where("review_score <> 0")
+    train = S.stratified_sample(reviewed, "order_id", "review_score", {float(s): share for s in range(1, 6)})
+    return train, S.complement(reviewed, train, "order_id")
+
+
+def stratified_refit(p: Prepared) -> tuple[DataFrame, DataFrame]:
+    """Binary refit on the selected features and the stratified sample: (complement scored, holdout predictions)."""
     if "stratified_refit" not in p.cache:
-        first, rest, _ = p.sides
-        reviewed = first.unionByName(rest).where("review_score <> 0")
-        train = S.stratified_sample(reviewed, "order_id", "review_score", {float(s): share for s in range(1, 6)})
-        p.cache["stratified_refit"] = refit(train, S.complement(reviewed, train, "order_id"), [], [*NUMERIC, *CATEGORICAL])[1]
+        train, valid = stratified_parts(p)
+        model, scored, (hold,) = refit(train, valid, [p.sides[2]], selected_columns(p))
+        p.cache["stratified_refit"] = scored, M.predictions(model, hold, keep_label=False)
     return p.cache["stratified_refit"]
+
+
+def multi_refit(p: Prepared) -> tuple[DataFrame, DataFrame]:
+    """One-vs-rest refit on the selected features and the stratified sample: the complement as
+    (order_id, label, prediction), and the holdout predictions, both as scores 1-5."""
+    if "multi_refit" not in p.cache:
+        columns = selected_columns(p)
+        numeric, categorical = [c for c in NUMERIC if c in columns], [c for c in CATEGORICAL if c in columns]
+        train, valid = stratified_parts(p)
+        _, (tr, va, hold) = PR.prepare(train, [valid, p.sides[2]], "review_score", "order_id", numeric, categorical, unseen="keep")
+        tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
+        model = M.ovr_fit(tr, final_gbt())
+        tr.unpersist()
+        p.cache["multi_refit"] = (materialize(M.ovr_scores(model, va), "multi-refit"), M.ovr_scores(model, hold, keep_label=False))
+    return p.cache["multi_refit"]
+
+
+def refit_scores(p: Prepared) -> DataFrame:
+    """(order_id, prediction_binary, prediction_multiclass) of every holdout order, by the refitted models."""
+    return M.score_merge(stratified_refit(p)[1], multi_refit(p)[1])

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import aggregate as A
 from orderlens.operators import clean as C
+from orderlens.operators import importance as IM
 from orderlens.operators import metrics as MT
 from orderlens.operators import models as MO
 from orderlens.operators import pareto as P
@@ -750,14 +751,13 @@ def q_model_select(spark, sf_dir):
 
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
-    p = ML.prepared(spark, sf_dir)
-    return MO.feature_importance(spark, ML.importance_model(p), p.names)
+    """Importances of the leaderboard's winner, whatever its kind."""
+    return ML.importances(ML.prepared(spark, sf_dir))
 
 
 @register("feature_select_topk")
 def q_feature_select_topk(spark, sf_dir):
-    p = ML.prepared(spark, sf_dir)
-    return MO.feature_select_topk(MO.feature_importance(spark, ML.importance_model(p), p.names))
+    return MO.feature_select_topk(ML.importances(ML.prepared(spark, sf_dir)))
 
 
 @register("cross_validate")
@@ -837,8 +837,28 @@ def q_selected_scores(spark, sf_dir):
 
 @register("stratified_refit")
 def q_stratified_refit(spark, sf_dir):
-    """Exact ROC and PR areas of the GBT on the complement of a stratified 70 % sample."""
-    return _areas(ML.stratified_refit(ML.prepared(spark, sf_dir)))
+    """Exact ROC and PR areas, on the complement of a stratified 70 % sample, of the GBT fitted on the sample's
+    selected features."""
+    return _areas(ML.stratified_refit(ML.prepared(spark, sf_dir))[0])
+
+
+@register("multi_refit_confusion")
+def q_multi_refit_confusion(spark, sf_dir):
+    """Confusion matrix, on the same complement, of the one-vs-rest GBT fitted on the sample's selected features."""
+    return MT.confusion_matrix(ML.multi_refit(ML.prepared(spark, sf_dir))[0], classes=_CLASSES)
+
+
+@register("multi_refit_metrics")
+def q_multi_refit_metrics(spark, sf_dir):
+    """Weighted F1 and accuracy of the same predictions."""
+    scored = ML.multi_refit(ML.prepared(spark, sf_dir))[0]
+    return MT.f1_weighted(scored).withColumn("accuracy", MT.accuracy(scored).scalar())
+
+
+@register("refit_scores")
+def q_refit_scores(spark, sf_dir):
+    """Binary and multiclass holdout predictions of the refitted models, merged per order."""
+    return ML.refit_scores(ML.prepared(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- scored-output joins
@@ -910,6 +930,137 @@ def q_model_lift_points(spark, sf_dir):
     return MT.lift_points(s, "max_score", "label", split_col="split")
 
 
+@register("svc_roc_points")
+def q_svc_roc_points(spark, sf_dir):
+    """ROC points of the LinearSVC on its train and validation splits, by its margin."""
+    return MT.roc_points(ML.svc_splits(ML.prepared(spark, sf_dir)), "score", "label", split_col="split")
+
+
+@register("svc_lift_points")
+def q_svc_lift_points(spark, sf_dir):
+    """Lift curves of the LinearSVC by its margin."""
+    return MT.lift_points(ML.svc_splits(ML.prepared(spark, sf_dir)), "score", "label", split_col="split")
+
+
+@register("ovr_class_areas")
+def q_ovr_class_areas(spark, sf_dir):
+    """Exact ROC area of each score against the rest, by the margins of the one-vs-rest models."""
+    return MT.auc_roc(ML.class_margins(ML.prepared(spark, sf_dir)), "score", "label", split_col="class")
+
+
+@register("ovr_roc_points")
+def q_ovr_roc_points(spark, sf_dir):
+    """One ROC curve per score."""
+    return MT.roc_points(ML.class_margins(ML.prepared(spark, sf_dir)), "score", "label", split_col="class")
+
+
+@register("ovr_lift_points")
+def q_ovr_lift_points(spark, sf_dir):
+    """One lift curve per score."""
+    return MT.lift_points(ML.class_margins(ML.prepared(spark, sf_dir)), "score", "label", split_col="class")
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf_dir):
+    """Permutation importances of the compared LinearSVC, which has none of its own."""
+    p = ML.prepared(spark, sf_dir)
+    return ML.permuted_importances(p, ML.binary_board(p)[1]["LinearSVC"])
+
+
+# ---------------------------------------------------------------- the same operators on fixed models, with SQL twins
+
+_FIXED_WEIGHTS = {"delivery_duration_days": -2, "delivery_delay_days": -5, "in_top_20": 3, "not_in_top_20": 1}
+
+
+def _auc_ctes(src: str) -> list[str]:
+    """``areas``: exact area per ``part`` of rows (part, score, label)."""
+    return [f"ag AS (SELECT part, score, count(CASE WHEN label = 1 THEN 1 END) AS pos, count(CASE WHEN label = 0 THEN 1 END) AS neg "
+            f"FROM {src} GROUP BY part, score)",
+            f"ac AS (SELECT *, sum(pos) OVER (PARTITION BY part ORDER BY score DESC {_ROWS}) AS cum_pos FROM ag)",
+            "areas AS (SELECT part, CAST(sum(CAST(neg AS HUGEINT) * (2 * cum_pos - pos)) AS DOUBLE) / (CAST(2.0 AS DOUBLE) * "
+            "CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc FROM ac GROUP BY part)"]
+
+
+def _permuted_sql() -> str:
+    cols = list(_FIXED_WEIGHTS)
+    score = lambda part: " + ".join(f"({w}) * {'o' if c == part else 'r'}.{c}" for c, w in _FIXED_WEIGHTS.items())
+    rank = lambda salt: f"row_number() OVER (ORDER BY substr(md5('{salt}|' || CAST(order_id AS VARCHAR)), 1, 13), order_id)"
+    ctes = ["r AS (SELECT order_id, CASE WHEN review_score >= 4 THEN 1 ELSE 0 END AS label, "
+            + ", ".join(f"coalesce({c}, 0) AS {c}" for c in cols) + f", {rank('a')} AS a, {rank('b')} AS b FROM bt_train WHERE review_score <> 0)",
+            "s AS (" + " UNION ALL ".join(
+                f"SELECT '{c}' AS part, r.label, {score(c)} AS score FROM r JOIN r AS o ON r.a = o.b" for c in ["", *cols]) + ")"]
+    return O.on_basetable("SELECT part AS feature, (SELECT auc FROM areas WHERE part = '') - auc AS importance FROM areas WHERE part <> ''",
+                          extra=ctes + _auc_ctes("s"))
+
+
+@register("permutation_importance_fixed", _permuted_sql(), METRIC_DIGITS, ["importance"])
+def q_permutation_importance_fixed(spark, sf_dir):
+    """Permutation importances of a fixed linear score on the reviewed train orders."""
+    rows = B.binary_label(_bt(spark, sf_dir).select("order_id", F.col("review_score").alias("label"), *_FIXED_WEIGHTS))
+    rows = rows.select("order_id", "label", F.array(*[F.coalesce(F.col(c), F.lit(0)).cast("double") for c in _FIXED_WEIGHTS]).alias("values"))
+    weights = F.array(*[F.lit(float(w)) for w in _FIXED_WEIGHTS.values()])
+    total = F.aggregate(F.zip_with("values", weights, lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x)
+    return IM.permutation_importance(rows, list(_FIXED_WEIGHTS), lambda d: d.withColumn("score", total))
+
+
+@register("class_areas_fixed", O.with_views(
+    "SELECT part AS \"class\", auc AS auc_roc FROM areas", "v_multi",
+    extra=["cls AS (SELECT unnest([1, 2, 3, 4, 5]) AS part)",
+           "s AS (SELECT part, -abs(prediction - part) AS score, CASE WHEN label = part THEN 1 ELSE 0 END AS label FROM v_multi, cls)",
+           *_auc_ctes("s")]), METRIC_DIGITS, ["auc_roc"])
+def q_class_areas_fixed(spark, sf_dir):
+    """One-vs-rest areas of fixed margins: the nearer a prediction is to a class, the greater."""
+    margins = F.array(*[-F.abs(F.col("prediction").cast("double") - c) for c in _CLASSES])
+    scored = V.multi(spark, sf_dir).withColumn("rawPrediction", margins)
+    return MT.auc_roc(MT.class_margins(scored, _CLASSES), "score", "label", split_col="class")
+
+
+@register("binned_auc_roc", O.with_views(
+    "SELECT split, (sure + half / 2) / pairs AS auc_roc, sure / pairs AS auc_low, (sure + half) / pairs AS auc_high FROM ("
+    "SELECT split, CAST(sum(CAST(neg AS HUGEINT) * above) AS DOUBLE) AS sure, CAST(sum(CAST(neg AS HUGEINT) * pos) AS DOUBLE) AS half, "
+    "CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE) AS pairs FROM (SELECT *, coalesce(sum(pos) OVER (PARTITION BY split ORDER BY bin DESC "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM bins) x GROUP BY split) y", "v_scored",
+    extra=["bins AS (SELECT split, greatest(0, least(63, CAST(floor(score / CAST(0.015625 AS DOUBLE)) AS INTEGER))) AS bin, "
+           "count(CASE WHEN label = 1 THEN 1 END) AS pos, count(CASE WHEN label = 0 THEN 1 END) AS neg FROM v_scored GROUP BY 1, 2)"]),
+    METRIC_DIGITS, ["auc_roc", "auc_low", "auc_high"])
+def q_binned_auc_roc(spark, sf_dir):
+    """ROC area per split from a histogram of 64 bins, with the bounds between which the exact one lies."""
+    return MT.binned_auc_roc(_scored(spark, sf_dir), split_col="split", bins=64)
+
+
+@register("fold_sizes", O.with_views(
+    "SELECT CAST((CAST(('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8)) AS BIGINT)) % 3 AS INTEGER) AS fold, label, count(*) AS rows "
+    "FROM v_scored GROUP BY 1, 2", "v_scored"))
+def q_fold_sizes(spark, sf_dir):
+    """Rows per cross-validation fold and label: folds by the id's hash."""
+    return SP.hash_folds(_scored(spark, sf_dir), "id", MO.CV_FOLDS).groupBy("fold", "label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("payment_pivot_fitted", O.with_views(
+    "SELECT * EXCLUDE (payment_methods) FROM (" + O.payments_by_order_sql("(SELECT * FROM v_payments WHERE order_id % 5 = 0)", V.PAYMENT_TYPES)
+    + ") p", "v_payments"), ROUND, [f"{t}_amount" for t in [*V.PAYMENT_TYPES, "other"]])
+def q_payment_pivot_fitted(spark, sf_dir):
+    """A pivot of the holdout payments on the types seen in the train payments."""
+    payments = V.payments(spark, sf_dir)
+    types = A.frequent_values(payments.where(~V.is_holdout()), "payment_type")
+    return A.pivot_agg(payments.where(V.is_holdout()), "order_id", "payment_type", types,
+                       {"installments": ("sum", "payment_installments"), "amount": ("sum", "payment_value")})
+
+
+_CLEANED = ["order_id", "customer_id", "order_status", *O.TS_COLS, *DUR]
+
+
+@register("clean_orders_profiled", O.with_views(
+    " UNION ALL ".join(f"SELECT '{stage}' AS stage, '{c}' AS \"column\", count(*) - count({c}) AS nulls, count(*) AS rows FROM {src}"
+                       for stage, src in (("before", "raw"), ("after", "clean")) for c in _CLEANED),
+    "v_orders", extra=[f"raw AS (SELECT * FROM ({_DATEDIFF_SQL}) d)",
+                       "clean AS (" + _sentinel_sql(f"raw WHERE NOT ({O.all_ts_null('raw')})") + ")"]))
+def q_clean_orders_profiled(spark, sf_dir):
+    """NULLs and rows before and after the cleaning of the orders, observed in one pass."""
+    orders = C.datediff_features(V.orders(spark, sf_dir), FE.DURATIONS).select(*_CLEANED)
+    return C.clean_orders_profiled(orders, TS, DUR)[1]
+
+
 # ---------------------------------------------------------------- unlisted values, text ids, more profiles, CSV tables
 
 _SOME_TYPES = ["credit_card", "voucher"]

@@ -76,6 +76,29 @@ def test_selected_and_stratified_refits(spark, holdout_n):
     assert Q["selected_scores"](spark, SF_SMALL).count() == holdout_n
 
 
+def test_multiclass_refit_covers_the_stratified_complement(spark, holdout_n):
+    from orderlens.plans import modeling as ML
+    valid = ML.stratified_parts(ML.prepared(spark, SF_SMALL))[1]
+    cm = Q["multi_refit_confusion"](spark, SF_SMALL)
+    assert cm.agg(F.sum(sum(F.col(c) for c in cm.columns if c != "label"))).first()[0] == valid.count()
+    m = Q["multi_refit_metrics"](spark, SF_SMALL).first()
+    assert 0 <= m.f1_weighted <= 1 and 0 <= m.accuracy <= 1
+    scores = Q["refit_scores"](spark, SF_SMALL)
+    assert scores.count() == holdout_n
+    assert {r[0] for r in scores.select("prediction_multiclass").distinct().collect()} <= {1.0, 2.0, 3.0, 4.0, 5.0}
+
+
+def test_margin_curves_and_permuted_importances(spark):
+    roc = Q["svc_roc_points"](spark, SF_SMALL).groupBy("split").agg(F.max("fpr").alias("f"), F.max("tpr").alias("t")).collect()
+    assert {r.split for r in roc} == {"train", "validate"} and all(r.f == 1.0 and r.t == 1.0 for r in roc)
+    assert Q["svc_lift_points"](spark, SF_SMALL).where("point < 1 OR point > 10 OR population > 1").count() == 0
+    areas = Q["ovr_class_areas"](spark, SF_SMALL).collect()
+    assert {r["class"] for r in areas} == {1.0, 2.0, 3.0, 4.0, 5.0} and all(0 <= r.auc_roc <= 1 for r in areas)
+    from orderlens.plans import modeling as ML
+    imp = Q["permutation_importance"](spark, SF_SMALL).collect()
+    assert sorted(r.feature for r in imp) == sorted(ML.prepared(spark, SF_SMALL).names) and all(abs(r.importance) <= 1 for r in imp)
+
+
 def test_model_curves(spark):
     roc = Q["model_roc_points"](spark, SF_SMALL)
     last = roc.groupBy("split").agg(F.max("fpr").alias("f"), F.max("tpr").alias("t")).collect()
