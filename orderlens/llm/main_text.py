@@ -3,7 +3,10 @@
 A page is read as a sequence of words and tags. Words score positive where they stand like
 article words and negative where they stand like boilerplate; tags score negative. A linear
 scan finds the contiguous run with the greatest sum, which is the article; what lies inside
-it but belongs to menus, adverts, forms, notices, scripts or reader comments is left out.
+it but belongs to menus, adverts, forms, notices, scripts or reader comments is left out: elements
+of such a kind, and those whose class, id or role says nothing else. Where a name says noise among
+other things (``notice-of-sale``), its words score negative, so they go at the edges and stay within
+the article, unless the element holds ``MOST`` plain words of the page. All steps take linear time.
 
 The weights are log odds from labelled pages: pages whose own markup names the article
 (``<article>`` or ``<main>``), a bounded sample of ``SAMPLE`` rows with the least key hashes,
@@ -17,10 +20,10 @@ equal rows get equal texts; extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import math
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -32,11 +35,18 @@ from .common import with_place
 SAMPLE = 2000
 ASIDE = 1  # one stretch of boilerplate costs at most what so many article words gain, so it splits no article
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+NAMED = 20  # a stretch of words under a doubtful name costs at most what so many article words gain
+MISFITS = 8  # after so many tags whose quotes never close, tags end at their first ">"
+MOST = 0.8  # an element with this share of a page's plain words is a wrapper, whatever its name says
+
+# A quote opens a value only after "=", as the HTML standard reads attributes.
+_VALUE = r"""\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|(?=>))"""
+_OTHER = r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"""
+_TAG = r"<(/?)([a-zA-Z][^\s/>]*+)"
+TOKEN = re.compile(rf"{_OTHER}|{_TAG}((?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_VALUE})?+)*+)>|{_TAG}([^>]*+)>", re.S)
+PLAIN_TOKEN = re.compile(rf"{_OTHER}|{_TAG}([^>]*+)>", re.S)
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 PIECE = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 # Names from the HTML standard, and class names in common use.
@@ -59,8 +69,9 @@ toolbar warning widget widgets alert alerts header headers""".split())
 # Inside an article these often name parts of it: they count only for elements whose words are mostly links.
 DOUBTFUL = set("""alert alerts banner banners byline dialog discussion header headers masthead menu menus notice notices notification
 notifications overlay respond search skip social warning""".split())
-PLAIN_PIECES = set("""area bar block box btn button buttons col container content form group icons inner item items left links list
-module outer panel post posts right row section slot story stories top bottom unit wrap wrapper""".split())
+PLAIN_PIECES = set("""area bar block blog bottom box btn button buttons col container content form global google group icons inner item
+items left links list main module outer page panel post posts primary reader readers right row secondary section site slot story
+stories top unit user users website wrap wrapper""".split())
 HEADING = set("h1 h2 h3 h4 h5 h6".split())
 EXAMPLES = [
     """<html><head><title>t</title></head><body><header><div class="logo">Daily Site</div><nav><ul><li><a href="/">Home</a></li>
@@ -87,107 +98,124 @@ class Run:
     link: bool
     breaks: str  # "\n" at a block boundary, " " at a line break or cell, else ""
     tags: list[str] = field(default_factory=list)
+    named: bool = False  # a class, id or role around it says noise among other things
 
 
-def noisy(name: str, attributes: str, inside: bool, linked: bool = False) -> bool:
-    """Whether an element's name or attributes mark it as something other than the article.
+def attributes_of(source: str) -> dict[str, str]:
+    """A tag's attributes by lower-case name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(source):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def tokens(attributes: dict[str, str]) -> list[list[str]]:
+    """The pieces of each class, id and role."""
+    return [[p.lower() for p in PIECE.findall(token)] for a in ("class", "id", "role") for token in attributes.get(a, "").split()]
+
 
-    Inside an article a class, id or role must say nothing but noise names (``share-buttons``, not
-    ``share-price``), headings are exempt and ``DOUBTFUL`` names need ``linked`` words.
+def noisy(name: str, attributes: dict[str, str], inside: bool, linked: bool = False) -> bool:
+    """Whether an element is something other than the article, by its kind or because a class, id or role
+    says nothing but noise names (``share-buttons``, not ``share-price``).
+
+    Inside an article headings are exempt and ``DOUBTFUL`` names need ``linked`` words.
     """
     if name in NEVER or (name == "header" and not inside):
         return True
     if name in ("html", "body") or name in ARTICLE:
-        return name == "article" and any(w in ("comment", "comments", "reply", "teaser", "related") for w in names(attributes))
-    if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False
-    if HIDDEN.search(attributes):
+        return name == "article" and any(w in ("comment", "comments", "reply", "teaser", "related") for p in tokens(attributes) for w in p)
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true" or NO_DISPLAY.search(attributes.get("style", "")):
         return True
-    if not inside:
-        return not NOISE_NAMES.isdisjoint(names(attributes))
-    return name not in HEADING and any(
-        not (hits := NOISE_NAMES.intersection(pieces)) <= (set() if linked else DOUBTFUL) and all(p in hits or p in PLAIN_PIECES or p.isdigit() for p in pieces)
-        for pieces in tokens(attributes))
-
-
-def tokens(attributes: str) -> list[list[str]]:
-    """The pieces of each class, id and role."""
-    return [[p.lower() for p in PIECE.findall(token)] for m in ATTRIBUTE.finditer(attributes) if m[1].lower() != "itemprop"
-            for token in (m[2] or m[3] or m[4] or "").split()]
+    if inside and name in HEADING:
+        return False
+    spared = DOUBTFUL if inside and not linked else set()
+    return any(not (hits := NOISE_NAMES.intersection(pieces)) <= spared and all(p in hits or p in PLAIN_PIECES or p.isdigit() for p in pieces)
+               for pieces in tokens(attributes))
 
 
-def names(attributes: str) -> list[str]:
-    return [p for pieces in tokens(attributes) for p in pieces]
+def doubtful(name: str, attributes: dict[str, str]) -> bool:
+    """Whether a class, id or role says noise among other things."""
+    return name not in HEADING | ARTICLE | {"html", "body"} and any(not NOISE_NAMES.isdisjoint(p) for p in tokens(attributes))
 
 
-def elements(page: str) -> list[tuple[int, int, str, str, bool, int]]:
+def elements(page: str) -> list[tuple[int, int, str, dict[str, str], bool, int]]:
     """Tags of a page: (start, end, name, attributes, closing, position of the matching tag in the list or -1)."""
     tags: list[list] = []
     stack: list[int] = []
-    open_names: Counter = Counter()
-    at = 0
-    while m := TOKEN.search(page, at):
+    open_at: dict[str, list[int]] = {}  # name -> its places in the stack
+    barriers: list[int] = []  # places of barriers in the stack
+    at, misfits = 0, 0
+    last = page.rfind(">") + 1  # no tag is complete beyond
+    while m := (TOKEN if misfits < MISFITS else PLAIN_TOKEN).search(page, at, last):
         at = m.end()
-        name = (m[2] or m[5] or "").lower()
-        closing = bool(m[1] or m[4])
-        tags.append([m.start(), at, name, m[3] or m[6] or "", closing, -1])
+        plain = misfits >= MISFITS
+        slash, name, source = (m[1], m[2], m[3]) if plain or m[2] else (m[4], m[5], m[6])
+        misfits += not plain and m[5] is not None
+        name, closing = (name or "").lower(), bool(slash)
+        if not name and at == last and m[0].startswith(("<!--", "<![CDATA[")) and not m[0].endswith(("-->", "]]>")):
+            at = len(page)
+        tags.append([m.start(), at, name, attributes_of(source) if source and not closing else {}, closing, -1])
         here = len(tags) - 1
         if not name:
             continue
         if closing:
-            if open_names[name]:
-                depth = len(stack) - 1
-                while tags[stack[depth]][2] != name:
-                    if tags[stack[depth]][2] in BARRIER and name not in BARRIER and name not in NEVER:
-                        depth = -1
-                        break
-                    depth -= 1
-                if depth >= 0:
+            if open_at.get(name):
+                depth = open_at[name][-1]
+                if name in BARRIER or name in NEVER or not barriers or barriers[-1] < depth:
                     tags[stack[depth]][5], tags[here][5] = here, stack[depth]
-                    for x in stack[depth:]:
-                        open_names[tags[x][2]] -= 1
-                    del stack[depth:]
+                    while len(stack) > depth:
+                        other = tags[stack.pop()][2]
+                        open_at[other].pop()
+                        if other in BARRIER:
+                            barriers.pop()
         elif name in RAW:
-            end = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at, max(at, last))
             stop = (end.start(), end.end()) if end else (len(page), len(page))
-            tags.append([stop[0], stop[1], name, "", True, here])
+            tags.append([stop[0], stop[1], name, {}, True, here])
             tags[here][5] = len(tags) - 1
             at = stop[1]
-        elif name not in VOID and not tags[here][3].endswith("/"):
+        elif name not in VOID and not (source or "").endswith("/"):
+            open_at.setdefault(name, []).append(len(stack))
+            if name in BARRIER:
+                barriers.append(len(stack))
             stack.append(here)
-            open_names[name] += 1
+        if at >= last:
+            break
     return [tuple(t) for t in tags]
 
 
-def n_words(page: str, tags: list[tuple], first: int, last: int) -> tuple[int, int]:
-    """Words between two tags that are not in scripts and the like, and those of them in links."""
-    total = linked = 0
-    link, skip = False, -1
-    for i in range(first, min(last, len(tags))):
-        _, at, name, _, closing, match = tags[i]
-        if name == "a":
-            link = not closing
-        if name in RAW and not closing:
-            skip = match
-        if i >= skip:
-            n = len(page[at:tags[i + 1][0] if i + 1 < len(tags) else len(page)].split())
-            total, linked = total + n, linked + n * link
-    return total, linked
+class Words:
+    """Word counts between tags as prefix sums: all words that are not in scripts and the like, and those in links."""
+
+    def __init__(self, page: str, tags: list[tuple]) -> None:
+        self.total, self.linked = [0], [0]
+        link, skip = False, -1
+        for i, (_, at, name, _, closing, match) in enumerate(tags):
+            if name == "a":
+                link = not closing
+            if name in RAW and not closing:
+                skip = match
+            n = len(page[at:tags[i + 1][0] if i + 1 < len(tags) else len(page)].split()) if i >= skip else 0
+            self.total.append(self.total[-1] + n)
+            self.linked.append(self.linked[-1] + n * link)
+
+    def plain(self, first: int, last: int) -> int:
+        return self.between(first, last) - (self.linked[last] - self.linked[first])
 
+    def between(self, first: int, last: int) -> int:
+        return self.total[last] - self.total[first]
 
-def mostly_links(page: str, tags: list[tuple], first: int, last: int) -> bool:
-    total, linked = n_words(page, tags, first, last)
-    return 2 * linked > total
+    def mostly_links(self, first: int, last: int) -> bool:
+        return 2 * (self.linked[last] - self.linked[first]) > self.between(first, last)
 
 
-def holds_most(page: str, tags: list[tuple], first: int, last: int, chosen: dict[int, int]) -> bool:
-    """Whether a form is only a wrapper: it contains the article, or most words of a page that marks none."""
-    if chosen:
-        return any(first < c < last for c in chosen)
-    return 2 * n_words(page, tags, first, last)[0] > n_words(page, tags, 0, len(tags))[0]
+def among(starts: list[int], first: int, last: int) -> bool:
+    """Whether one of the sorted ``starts`` lies strictly between two tags."""
+    k = bisect.bisect_right(starts, first)
+    return k < len(starts) and starts[k] < last
 
 
-def chosen_parts(page: str, tags: list[tuple]) -> dict[int, int]:
+def chosen_parts(tags: list[tuple], words: Words) -> dict[int, int]:
     """Start and end tags of the elements that make up the article.
 
     Articles win over a <main> that holds them, with the headings and paragraphs of the <main> before
@@ -195,49 +223,57 @@ def chosen_parts(page: str, tags: list[tuple]) -> dict[int, int]:
     of its own wins over articles elsewhere when it has more plain words than all of them.
     """
     end_of = lambda i: tags[i][5] if tags[i][5] >= 0 else len(tags)
-    plain = lambda i: (x := n_words(page, tags, i, end_of(i)))[0] - x[1]
     starts = [i for i, t in enumerate(tags) if t[2] in ARTICLE and not t[4] and not noisy(t[2], t[3], True)]
     mains = [i for i in starts if tags[i][2] == "main"]
-    articles = [i for i in starts if tags[i][2] == "article"]
     outer, until = [], -1  # articles that lie in no other article
-    for i in articles:
-        if i >= until:
+    for i in starts:
+        if tags[i][2] == "article" and i >= until:
             outer.append(i)
             until = end_of(i)
     if not outer or not mains:
         return {i: end_of(i) for i in outer or mains}
-    words = {i: plain(i) for i in outer}
+    sums = [0]
+    for i in outer:
+        sums.append(sums[-1] + words.plain(i, end_of(i)))
     out: dict[int, int] = {}
     for m in mains:
-        mine = [i for i in outer if m < i < end_of(m)]
-        rest = plain(m) - sum(words[i] for i in mine)
-        if rest > (sum(words[i] for i in mine) if mine else sum(words.values())):
+        a, b = bisect.bisect_right(outer, m), bisect.bisect_left(outer, end_of(m))
+        mine = sums[max(a, b)] - sums[a]
+        if words.plain(m, end_of(m)) - mine > (mine if a < b else sums[-1]):
             out[m] = end_of(m)
     if out:
         return out
-    out = {i: end_of(i) for i in outer}
+    out, done = {i: end_of(i) for i in outer}, 0
     for m in mains:
-        first = min((i for i in outer if m < i < end_of(m)), default=m)
-        out |= {i: end_of(i) for i in range(m + 1, first) if tags[i][2] in HEADING | {"p"} and not tags[i][4] and 0 <= tags[i][5] < first}
+        a = bisect.bisect_right(outer, m)
+        first = outer[a] if a < len(outer) and outer[a] < end_of(m) else m
+        out |= {i: end_of(i) for i in range(max(m + 1, done), first) if tags[i][2] in HEADING | {"p"} and not tags[i][4] and 0 <= tags[i][5] < first}
+        done = max(done, first)
     return out
 
 
 def runs(page: str) -> tuple[list[Run], bool]:
     """The page's text runs in order, and whether its markup names an article."""
     tags = elements(page)
-    ends = chosen = chosen_parts(page, tags)
+    words = Words(page, tags)
+    ends = chosen_parts(tags, words)
+    chosen = sorted(ends)
     out: list[Run] = []
     pending: list[str] = []
+    under: list[tuple[int, int]] = []  # elements with doubtful names, as bounds in ``out``
+    open_names: list[tuple[int, int]] = []  # (end tag, first run) of those still open
     breaks, at, link = "\n", 0, 0
     noise_until = inside_until = -1
     noise_block = False
-    for i, (s, e, name, attributes, closing, match) in enumerate([*tags, (len(page), len(page), "", "", False, -1)]):
+    for i, (s, e, name, attributes, closing, match) in enumerate([*tags, (len(page), len(page), "", {}, False, -1)]):
         if s > at and (text := page[at:s]) and not text.isspace():
             out.append(Run(text, noise_until > i - 1 or noise_block, i - 1 < inside_until, link > 0, breaks, pending))
             breaks, pending = "", []
         elif s > at:
             breaks = breaks or " "
         at = e
+        while open_names and open_names[-1][0] <= i:
+            under.append((open_names.pop()[1], len(out)))
         if not name:
             continue
         inside = i < inside_until
@@ -250,23 +286,50 @@ def runs(page: str) -> tuple[list[Run], bool]:
         if name == "a":
             link = 0 if closing else 1
         hidden = noise_until > i
-        if not closing and not hidden and name not in VOID and (
-                noisy(name, attributes, inside) or inside and noisy(name, attributes, True, True) and mostly_links(page, tags, i, match)):
-            end = match if match >= 0 else -1
-            if end < 0:
-                noise_block = name in NEVER or name in BLOCK
-            elif name == "form" and holds_most(page, tags, i, end, chosen):
-                pass
-            elif name in NEVER or not any(i < c < end for c in chosen):
-                noise_until, hidden = end, True
+        if not closing and not hidden and name not in VOID:
+            by_links = match >= 0 and words.mostly_links(i, match)
+            named = not inside and bool(attributes) and doubtful(name, attributes)
+            if noisy(name, attributes, inside) or inside and by_links and noisy(name, attributes, True, True) or named and by_links:
+                end = match if match >= 0 else -1
+                if end < 0:
+                    noise_block = name in NEVER or name in BLOCK
+                elif name == "form" and (among(chosen, i, end) if chosen else 2 * words.between(i, end) > words.total[-1]):
+                    pass  # a form is only a wrapper when it contains the article, or most words of a page that marks none
+                elif name in NEVER or not among(chosen, i, end):
+                    noise_until, hidden = end, True
+            elif named and match >= 0 and not among(chosen, i, match):
+                open_names.append((match, len(out)))
         if not hidden and i != noise_until:  # the tags of an aside count as part of it
             pending.append(name)
+    while open_names:
+        under.append((open_names.pop()[1], len(out)))
+    believe(out, under, bool(chosen))
     return out, bool(chosen)
 
 
+def believe(found: list[Run], under: list[tuple[int, int]], marked: bool) -> None:
+    """Marks the runs under doubtful names, but not those of elements that hold ``MOST`` plain words of an unmarked page."""
+    if not under:
+        return
+    plain = [0]
+    for r in found:
+        plain.append(plain[-1] + (0 if r.noise or r.link else len(r.text.split())))
+    steps = [0] * (len(found) + 1)
+    for first, last in under:
+        if marked or plain[last] - plain[first] < MOST * plain[-1]:
+            steps[first] += 1
+            steps[last] -= 1
+    depth = 0
+    for r, step in zip(found, steps):
+        depth += step
+        r.named = depth > 0
+
+
 def context(run: Run, marked: bool) -> str:
     if run.noise:
         return "dropped" if run.inside else "noise"
+    if run.named and not run.inside:
+        return "noise"
     if marked:
         return "inside" if run.inside else "outside"
     return "link" if run.link else "plain"
@@ -280,7 +343,7 @@ def evidence(page: str, counts: dict[str, list[int]]) -> None:
     for r in found:
         good = r.inside and not r.noise
         n = len(r.text.split())
-        as_plain = "noise" if r.noise and not r.inside else "link" if r.link else "plain"
+        as_plain = "noise" if (r.noise or r.named) and not r.inside else "link" if r.link else "plain"
         for feature, k in [(f"word:{context(r, True)}", n), (f"word:{as_plain}", n), *[(f"tag:{t}", 1) for t in r.tags]]:
             counts.setdefault(feature, [0, 0])[0 if good else 1] += k
 
@@ -314,14 +377,18 @@ def example_weights() -> dict[str, list[int]]:
 
 def best_region(found: list[Run], marked: bool, weight: dict[str, float]) -> tuple[int, int]:
     """Bounds of the contiguous runs with the greatest score; (0, 0) when no word scores."""
-    aside = ASIDE * weight.get("word:plain", 1.0)
+    gain_of_word = weight.get("word:plain", 1.0)
     best, bounds, score, start = 0.0, (0, 0), 0.0, 0
     for i, r in enumerate(found):
         score += sum(weight.get(f"tag:{t}", -0.3) for t in r.tags)
         if score <= 0:
             score, start = 0.0, i
         gain = len(r.text.split()) * weight[f"word:{context(r, marked)}"]
-        score += max(gain, -aside) if r.noise or marked and not r.inside else gain
+        if r.noise or marked and not r.inside:
+            gain = max(gain, -ASIDE * gain_of_word)
+        elif r.named:
+            gain = max(gain, -NAMED * gain_of_word)
+        score += gain
         if score > best:
             best, bounds = score, (start, i + 1)
     return bounds
