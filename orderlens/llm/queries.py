@@ -12,7 +12,7 @@ from .common import table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.edits(table(spark, sf_dir, "documents", "doc_id", "text"), unit="sentence")
+    return substring_dedup.edits(table(spark, sf_dir, "documents", "doc_id", "text"), unit="clause")
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

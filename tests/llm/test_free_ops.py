@@ -356,6 +356,87 @@ def test_every_repeated_sentence_goes(spark, make):
     assert sorted(repr(r["text"]) for r in whole) == sorted(repr(got[d]["text"] if d in got else t) for d, t in docs)
 
 
+def test_clauses_in_short_runs_stay(spark, make):
+    """Numbers, initials, abbreviations and stock phrases are repeats of few words; long runs of clauses go."""
+    a, b, c = (" ".join(words(70 + i, 9)) for i in range(3))
+    docs = [(1, f"1. First item\n2. Dr. J. Smith, of course.\nYes.\n{a}, {b}; then {c}."), (2, "1. Other item\n2. Another item, of course.\nYes.\nDr. Jones"),
+            (3, f"Own three, and {a.upper()}: so {b}. {a}, {b}! {a}; 1. ({b}) own end"), (4, f"{a}, {b}; then {c}"), (5, f"{a}, {b} own five"),
+            (6, f"x\n{a},\n--\n{b};\nthen {c}.\ny"), (7, None), (8, ""), (None, f"{a}, {b}, then {c}")]
+    got = {r["doc_id"]: r for r in rows(substring_dedup.edits(make(docs), unit="clause"))}
+    assert {d: r["text"] for d, r in got.items()} == {3: f"Own three, and {a.upper()}: so {b}. ({b}) own end", 4: "", 6: "x\n--\ny", None: ""}
+    assert got[4]["removed_words"] == 28 and got[4]["first_doc_ids"] == [1] and got[6]["first_doc_ids"] == [1]
+    text = dict(docs)
+    assert all(substring_dedup.without(text[d], [(s["start"], s["end"]) for s in r["removed"]]) == r["text"] for d, r in got.items())
+
+
+def plain_edits(docs, least=25):
+    """What the registered query returns, by characters: a document's text without the runs of repeated clauses."""
+    import re
+    first, units, out = {}, {}, {}
+    for d in sorted(docs):
+        units[d] = []
+        for m in re.finditer(r"[^\n]*(?:\n|$)", docs[d] or ""):
+            line = m[0].rstrip("\n")
+            cuts = [0] + [x.end() for x in re.finditer(r"""[.!?,;:…؟।]+["'»”’)\]]*\s+|[。！？，、]+""", line)] + [len(line)]
+            for s, e in zip(cuts, cuts[1:]):
+                w = re.findall(r"[^\W_]+", line[s:e].lower())
+                if w:
+                    first.setdefault(tuple(w), (d, len(units[d])))
+                    units[d].append((m.start(), m.start() + s, m.start() + e, tuple(w)))
+    for d, mine in units.items():
+        again = [first[u[3]] != (d, i) for i, u in enumerate(mine)]
+        gone, i = set(), 0
+        while i < len(mine):
+            j = i
+            while j < len(mine) and again[j]:
+                j += 1
+            if sum(len(u[3]) for u in mine[i:j]) >= least:
+                gone.update(range(i, j))
+            i = max(j, i + 1)
+        if gone:
+            kept_lines = {u[0] for i, u in enumerate(mine) if i not in gone}
+            out[d] = (sum(len(mine[i][3]) for i in gone), sorted({first[mine[i][3]][0] for i in gone}),
+                      [u[1:3] for i, u in enumerate(mine) if i in gone and u[0] in kept_lines], {u[0] for i, u in enumerate(mine) if i in gone} - kept_lines)
+    return out
+
+
+def test_the_query_against_plain_python(spark):
+    """The registered query on the whole table: which documents, how many words, whose, and what is left."""
+    from orderlens.llm.queries import QUERIES
+    text = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
+    want = plain_edits(text)
+    got = {r["doc_id"]: r for r in rows(QUERIES["op1_substring_dedup"](spark, SF))}
+    assert got.keys() == want.keys() and len(want) > 20
+    for d, (n, firsts, spans, lines) in want.items():
+        left, at = [], 0  # lines that go as a whole, and spans in those that stay
+        for line in text[d].split("\n"):
+            if at not in lines:
+                end = at + len(line)
+                inner = [(s - at, e - at) for s, e in spans if at <= s < end]
+                left.append(substring_dedup.without(line, inner))
+            at += len(line) + 1
+        assert got[d]["removed_words"] == n and got[d]["first_doc_ids"] == firsts
+        assert got[d]["text"].rstrip("\n") == "\n".join(left).rstrip("\n"), d
+
+
+def test_clean_documents_and_passages(spark):
+    """At least 0.95 of the documents that share a 51-word passage with an earlier one lose text, at most 0.1 of the others.
+
+    Others share long runs of clauses, but no 51 words in a row.
+    """
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    seen, share = set(), set()
+    for d in sorted(text):
+        w = text[d].lower().split()
+        mine = {" ".join(w[i:i + 51]) for i in range(len(w) - 50)}
+        if not mine.isdisjoint(seen):
+            share.add(d)
+        seen |= mine
+    got = {r["doc_id"] for r in rows(substring_dedup.edits(docs, unit="clause").select("doc_id"))}
+    assert len(share & got) >= 0.95 * len(share) and len(got - share) <= 0.1 * len(text.keys() - share)
+
+
 def test_recall_of_repeated_passages(spark):
     """Against a search of 51-word passages: documents that share one with an earlier document must lose text."""
     docs = table(spark, "/root/testdata/sf0.01", "documents")
