@@ -476,7 +476,7 @@ def test_every_known_text_has_a_marker(spark):
     from pyspark.sql import functions as F
     known = spark.createDataFrame(licenses.KNOWN, "license string, text string")
     assert known.where(~F.col("text").rlike(licenses.MARKER)).count() == 0
-    forms = known.select("license", licenses.canonical(F.col("text")).alias("c"))
+    forms = known.select("license", licenses.canonical(licenses.replaced(F.col("text"), licenses.PREPARE)).alias("c"))
     assert forms.where(~F.col("c").rlike("licens|rights reserved|permission|warrant|redistribut|under ")).count() == 0
     assert forms.groupBy("c").agg(F.count_distinct("license").alias("n")).where("n > 1").count() == 0
 
@@ -489,6 +489,65 @@ def test_equivalent_spellings_without_the_word_licence(make):
     assert got == {i: [x] for i, x in enumerate(docs.values())}
 
 
+BSD3 = f"{licenses._BSD_HEAD}\n\n{licenses._BSD_THIRD}\n\n{licenses._BSD_AS_IS}"
+MIT = f"MIT License\n\nCopyright (c) 2020 Some Body\n\n{licenses._GRANT_MIT}\n\n{licenses._AS_IS_MIT}\n"
+
+
+def commented(text, leader, first="", last=""):
+    return first + "\n".join(f"{leader} {x}".rstrip() for x in text.split("\n")) + last
+
+
+SPELLINGS = [  # text, licence of the whole text, notices, lines that name one
+    (MIT.replace("NONINFRINGEMENT", "NON-INFRINGEMENT"), "MIT", ["MIT"], 0),
+    (MIT.replace("OR COPYRIGHT\nHOLDERS", "OR\nCOPYRIGHT HOLDERS"), "MIT", ["MIT"], 0),
+    ("Copyright 2020, A. B.\nAll rights reserved.\n\n" + BSD3, "BSD-3-Clause", ["BSD-3-Clause"], 0),
+    ("All Rights Reserved\n(c) 2020 A. B.\n\n" + BSD3, "BSD-3-Clause", ["BSD-3-Clause"], 0),
+    ("BSD 3-Clause License\n\nCopyright 2020 A.\nCopyright 2021 B.\n  All rights reserved.  \n\n" + BSD3, "BSD-3-Clause", ["BSD-3-Clause"], 0),
+    (commented(MIT, "#"), "MIT", ["MIT"], 0), (commented(MIT, "//"), "MIT", ["MIT"], 0), (commented(MIT, ";;"), "MIT", ["MIT"], 0),
+    (commented(MIT, " *", "/*\n", "\n */"), "MIT", ["MIT"], 0), (commented(MIT, "dnl"), "MIT", ["MIT"], 0), (f"<!--\n{MIT}-->", "MIT", ["MIT"], 0),
+    ("# SPDX-License-Identifier: GPL-2.0-or-later\nx = 1", None, ["GPL-2.0-or-later"], 1),
+    ("/* SPDX-License-Identifier: MIT OR Apache-2.0 */\nint x;", None, ["Apache-2.0", "MIT"], 1),
+    ("// SPDX-License-Identifier: (GPL-2.0 WITH Linux-syscall-note) AND (ISC or GPL-3.0+)\nint x;", None, ["GPL-2.0-only", "GPL-3.0-or-later", "ISC"], 1),
+    ("SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0-only", ["GPL-2.0-only"], 1),
+    ("SPDX-License-Identifier: LicenseRef-Mine OR Unheard-Of", None, [], 0),
+    ("x\nLicensed under the MIT license (see LICENSE).\ny", None, ["MIT"], 1),
+    ("x\nReleased under the Apache License, Version 2.0. See the LICENSE file for details.\ny", None, ["Apache-2.0"], 1),
+    (licenses._ZLIB.replace("acknowledgment", "acknowledgement"), "Zlib", ["Zlib"], 0), (licenses._UNLICENSE.replace("recognize", "recognise"), "Unlicense", ["Unlicense"], 0),
+    ("Copyright 2020 A. B.\nAll rights reserved.\nProse about a licence.", None, [], 0), ("All rights reserved.", "Proprietary", ["Proprietary"], 1),
+]
+
+
+def test_licence_spellings(make):
+    got = {r["doc_id"]: (r["license"], r["notices"], r["n_matches"]) for r in rows(licenses.scan(make([(i, x[0]) for i, x in enumerate(SPELLINGS)])))}
+    assert got == {i: x[1:] for i, x in enumerate(SPELLINGS)}
+
+
+def test_licences_against_plain_python(spark):
+    """The registered query on the whole table, line by line."""
+    import regex
+    from orderlens.llm.queries import QUERIES
+
+    def replaced(text, steps):
+        for pattern, replacement in steps:
+            text = regex.sub(pattern, replacement.replace("$", "\\"), text)
+        return text
+
+    canonical = lambda t: replaced(t.lower(), licenses.STEPS).strip(" ")
+    known = {}
+    for license, text in licenses.KNOWN:
+        c = canonical(replaced(text, licenses.PREPARE))
+        known[c] = min(license, known.get(c, license))
+    want = {}
+    for r in table(spark, "/root/testdata/sf0.01", "documents").collect():
+        text = replaced(r["text"] or "", licenses.PREPARE)
+        lines = [known[c] for x in text.split("\n") if (c := canonical(x)) in known]
+        parts = [known[c] for x in regex.split(r"\n[ \t\r]*\n", text) if (c := canonical(x)) in known]
+        want[r["doc_id"]] = (known.get(canonical(text)), sorted({*lines, *parts, *filter(None, [known.get(canonical(text))])}), len(lines))
+    assert any(n for _, _, n in want.values())
+    got = {r["doc_id"]: (r["license"], r["notices"], r["n_matches"]) for r in rows(QUERIES["op2_licenses"](spark, "/root/testdata/sf0.01"))}
+    assert got == want
+
+
 def test_full_licence_texts(make):
     texts = {}
     for license, text in licenses.KNOWN:
