@@ -52,14 +52,14 @@ OVR_PARALLELISM = 5  # one concurrent fit per class; results do not depend on it
 FIRST_CLASS = 1  # scores are 1-5; MLlib counts classes from 0 and would fit an empty class 0
 
 
-def zero_based(df: DataFrame, label: str = "label") -> DataFrame:
-    """Scores 1-5 as classes 0-4, the form one-vs-rest models are fitted on."""
-    return df.withColumn(label, F.col(label) - FIRST_CLASS)
+def zero_based(df: DataFrame, label: str = "label", first: int = FIRST_CLASS) -> DataFrame:
+    """Scores from ``first`` on (1-5) as classes from 0 on, the form one-vs-rest models are fitted on."""
+    return df.withColumn(label, F.col(label) - first)
 
 
-def score_based(df: DataFrame, cols: Sequence[str] = ("label", "prediction")) -> DataFrame:
-    """Classes 0-4 back to scores 1-5."""
-    return df.withColumns({c: F.col(c) + FIRST_CLASS for c in cols if c in df.columns})
+def score_based(df: DataFrame, cols: Sequence[str] = ("label", "prediction"), first: int = FIRST_CLASS) -> DataFrame:
+    """Classes from 0 on back to scores."""
+    return df.withColumns({c: F.col(c) + first for c in cols if c in df.columns})
 
 
 def ovr_estimators(n_features: int, seed: int = 7) -> dict[str, Any]:
@@ -167,15 +167,15 @@ def predictions(model: Any, df: DataFrame, id_col: str = "order_id", keep_label:
     return out.select(*cols)
 
 
-def ovr_fit(train: DataFrame, classifier: Any) -> Any:
-    """One-vs-rest on scores 1-5: one sub-model for each of the five."""
-    return OneVsRest(classifier=classifier, parallelism=OVR_PARALLELISM).fit(zero_based(train))
+def ovr_fit(train: DataFrame, classifier: Any, first: int = FIRST_CLASS) -> Any:
+    """One-vs-rest on scores from ``first`` on (1-5): one sub-model for each."""
+    return OneVsRest(classifier=classifier, parallelism=OVR_PARALLELISM).fit(zero_based(train, first=first))
 
 
-def ovr_scores(model: Any, df: DataFrame, id_col: str = "order_id", keep_label: bool = True) -> DataFrame:
-    """Predicted scores 1-5 (``df`` holds labels as scores)."""
-    known = zero_based(df) if "label" in df.columns else df
-    return score_based(predictions(model, known, id_col, keep_label))
+def ovr_scores(model: Any, df: DataFrame, id_col: str = "order_id", keep_label: bool = True, first: int = FIRST_CLASS) -> DataFrame:
+    """Predicted scores from ``first`` on (``df`` holds labels as scores)."""
+    known = zero_based(df, first=first) if "label" in df.columns else df
+    return score_based(predictions(model, known, id_col, keep_label), first=first)
 
 
 def ovr_predict(train: DataFrame, valid: DataFrame, classifier: Any, id_col: str = "order_id") -> DataFrame:

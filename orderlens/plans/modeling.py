@@ -71,11 +71,16 @@ class Prepared:
 
     @property
     def full_binary(self) -> DataFrame:
-        return B.binary_label(self.train.unionByName(self.valid))
+        return B.binary_label(self.every_score)
 
     @property
     def full_multi(self) -> DataFrame:
-        return self.train.unionByName(self.valid).where("label <> 0")
+        return self.every_score.where("label <> 0")
+
+    @property
+    def every_score(self) -> DataFrame:
+        """All train orders; those without a review have score 0."""
+        return self.train.unionByName(self.valid)
 
 
 _PREPARED: dict[tuple, Prepared] = {}
@@ -141,11 +146,13 @@ def scored_splits(p: Prepared, seed: int) -> DataFrame:
     return p.cache[key]
 
 
-def final_binary(p: Prepared) -> Any:
-    """The final binary model, fitted once on all reviewed train orders."""
-    if "final_binary" not in p.cache:
-        p.cache["final_binary"] = final_gbt().fit(p.full_binary)
-    return p.cache["final_binary"]
+def final_binary(p: Prepared, unreviewed: bool = False) -> Any:
+    """The final binary model, fitted once on all reviewed train orders; with ``unreviewed`` also on those
+    without a review, as negatives."""
+    key = "final_binary_unreviewed" if unreviewed else "final_binary"
+    if key not in p.cache:
+        p.cache[key] = final_gbt().fit(B.binary_label(p.every_score, drop=()) if unreviewed else p.full_binary)
+    return p.cache[key]
 
 
 def validation_ovr(p: Prepared) -> Any:
@@ -155,10 +162,12 @@ def validation_ovr(p: Prepared) -> Any:
     return p.cache["validation_ovr"]
 
 
-def final_ovr(p: Prepared) -> Any:
-    if "final_ovr" not in p.cache:
-        p.cache["final_ovr"] = M.ovr_fit(p.full_multi, final_gbt())
-    return p.cache["final_ovr"]
+def final_ovr(p: Prepared, unreviewed: bool = False) -> Any:
+    """The final one-vs-rest model on scores 1-5; with ``unreviewed`` on 0-5, where 0 is an order without a review."""
+    key = "final_ovr_unreviewed" if unreviewed else "final_ovr"
+    if key not in p.cache:
+        p.cache[key] = M.ovr_fit(p.every_score if unreviewed else p.full_multi, final_gbt(), 0 if unreviewed else M.FIRST_CLASS)
+    return p.cache[key]
 
 
 def svc_splits(p: Prepared) -> DataFrame:
@@ -180,10 +189,10 @@ def class_margins(p: Prepared) -> DataFrame:
     return p.cache["class_margins"]
 
 
-def final_scores(p: Prepared) -> DataFrame:
+def final_scores(p: Prepared, unreviewed: bool = False) -> DataFrame:
     """(order_id, prediction_binary, prediction_multiclass) of every holdout order."""
-    return M.score_merge(M.predictions(final_binary(p), p.holdout, keep_label=False),
-                         M.ovr_scores(final_ovr(p), p.holdout, keep_label=False))
+    return M.score_merge(M.predictions(final_binary(p, unreviewed), p.holdout, keep_label=False),
+                         M.ovr_scores(final_ovr(p, unreviewed), p.holdout, keep_label=False, first=0 if unreviewed else M.FIRST_CLASS))
 
 
 def selected_columns(p: Prepared) -> list[str]:

@@ -795,6 +795,12 @@ def q_final_scores(spark, sf_dir):
     return ML.final_scores(ML.prepared(spark, sf_dir))
 
 
+@register("final_scores_unreviewed")
+def q_final_scores_unreviewed(spark, sf_dir):
+    """The same of models that also learn the orders without a review: negatives, and a sixth class 0."""
+    return ML.final_scores(ML.prepared(spark, sf_dir), unreviewed=True)
+
+
 @register("scored_file_sentiment")
 def q_scored_file_sentiment(spark, sf_dir):
     """Final scores written as a headerless file, read back, joined to the holdout and counted

@@ -56,6 +56,16 @@ def test_final_scores_one_row_per_holdout_order(spark, holdout_n):
     assert f.count() == holdout_n == f.select("order_id").distinct().count()
 
 
+def test_final_fits_that_keep_unreviewed_orders(spark, holdout_n):
+    from orderlens.plans import modeling as ML
+    p = ML.prepared(spark, SF_SMALL)
+    f = Q["final_scores_unreviewed"](spark, SF_SMALL)
+    assert f.count() == holdout_n == f.select("order_id").distinct().count()
+    assert {r[0] for r in f.select("prediction_multiclass").distinct().collect()} <= {0.0, 1.0, 2.0, 3.0, 4.0, 5.0}
+    assert p.every_score.where("label = 0").count() > 0
+    assert len(ML.final_ovr(p, True).models) == 6 and len(ML.final_ovr(p).models) == 5
+
+
 def test_scored_file_chain_counts_every_holdout_order(spark, holdout_n):
     got = {r.review_sentiment: r["count"] for r in Q["scored_file_sentiment"](spark, SF_SMALL).collect()}
     assert sum(got.values()) == holdout_n and set(got) <= {"Positive", "Negative"}
