@@ -202,6 +202,13 @@ def impute_medians(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None
     return df.withColumns(exprs)
 
 
+def _filled(df: DataFrame, cols: Sequence[str], impute: Sequence[str], sentinel: dict[str, float] | None) -> DataFrame:
+    data = df.select(*cols)
+    if sentinel:
+        data = data.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in sentinel.items()})
+    return impute_medians(data, list(impute)) if impute else data
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], impute: Sequence[str] = (),
                 sentinel: dict[str, float] | None = None) -> DataFrame:
     """Pearson correlation of every column pair as ``(row, col, r)``.
@@ -210,11 +217,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], impute: Sequence[str] = (),
     ``sentinel`` maps columns whose NULLs are read as a number (the reference's 999).
     Remaining NULLs drop out pairwise. The distinct pairs are one grouped aggregate.
     """
-    data = df.select(*cols)
-    if sentinel:
-        data = data.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in sentinel.items()})
-    if impute:
-        data = impute_medians(data, list(impute))
+    data = _filled(df, cols, impute, sentinel)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     # A few pairs per aggregate: each row is read once per aggregate and never multiplied,
     # and the generated code stays below the JIT's method-size limit (28 pairs in one do not).
@@ -229,3 +232,72 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], impute: Sequence[str] = (),
     lower = upper.select(F.col("col").alias("row"), F.col("row").alias("col"), "r")
     diag = data.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "row string, col string, r double")
     return upper.unionByName(lower).unionByName(diag)
+
+
+def _pair_sums(at: Sequence[float], block: int):
+    """Task function of :func:`corr_wide`: the sums of every column pair over a task's rows."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        d = len(at)
+        blocks = [slice(i, min(i + block, d)) for i in range(0, d, block)]
+        met = [(a, b) for i, a in enumerate(blocks) for b in blocks[i:]]
+        sums = None
+        for batch in batches:
+            m = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).astype("float64")
+            x = np.column_stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns]) - np.array(at)
+            odd = (~np.isfinite(x)).astype("float64") * m
+            x = np.where(np.isfinite(x), x, 0.0) * m
+            xx = x * x
+            if sums is None:
+                sums = [np.zeros((7, a.stop - a.start, b.stop - b.start)) for a, b in met]
+            for s, (a, b) in zip(sums, met):
+                ma, mb = m[:, a].T, m[:, b]
+                s += (ma @ mb, x[:, a].T @ mb, ma @ x[:, b], xx[:, a].T @ mb, ma @ xx[:, b], x[:, a].T @ x[:, b],
+                      odd[:, a].T @ mb + ma @ odd[:, b])
+        for s, (a, b) in zip(sums or [], met):
+            i, j = np.meshgrid(np.arange(a.start, a.stop), np.arange(b.start, b.stop), indexing="ij")
+            upper = i < j
+            cols = [i[upper].astype("int32"), j[upper].astype("int32"), *[v[upper] for v in s]]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in cols], names=["i", "j", "n", "x", "y", "xx", "yy", "xy", "odd"])
+    return run
+
+
+CORR_BLOCK = 64
+
+
+def corr_wide(df: DataFrame, cols: Sequence[str], impute: Sequence[str] = (),
+              sentinel: dict[str, float] | None = None, block: int = CORR_BLOCK) -> DataFrame:
+    """:func:`corr_matrix` for hundreds of columns: ``(row, col, r)`` from two scans, whatever the number of pairs.
+
+    The first scan takes the columns' means. In the second each task adds up count, sums, squares
+    and products of all pairs about those means, as matrix products of ``block`` by ``block`` columns,
+    and hands on one row per pair; these rows are all that is shuffled. A task holds seven numbers a
+    pair (200 columns: 1 MB). (20,000 aggregates would not fit one generated method.)
+
+    Defined cases: NULLs drop out pairwise; r is NULL for pairs with fewer than two common rows
+    or with a column that is constant on them (its squares about its mean there below 1e-12 of
+    those about the column's mean), NaN if a common row has NaN or an infinity. The diagonal is 1.
+    """
+    spark = df.sparkSession
+    data = _filled(df, cols, impute, sentinel)
+    data = data.select(*[_as_double(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    finite = [F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c)) for c in data.columns]
+    means = data.agg(F.array(*[F.avg(v) for v in finite]).alias("m")).first()["m"] if cols else []
+    sums = data.mapInArrow(_pair_sums([v or 0.0 for v in means], block),
+                           "i int, j int, n double, x double, y double, xx double, yy double, xy double, odd double")
+    every = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy", "odd")])
+    sx, sy = F.col("xx") - F.col("x") * F.col("x") / F.col("n"), F.col("yy") - F.col("y") * F.col("y") / F.col("n")
+    spread = (sx > 1e-12 * F.col("xx")) & (sy > 1e-12 * F.col("yy"))
+    r = (F.when(F.col("odd") > 0, F.lit(float("nan")))
+         .when((F.col("n") >= 2) & spread, (F.col("xy") - F.col("x") * F.col("y") / F.col("n")) / F.sqrt(sx * sy)))
+    r = F.when(F.col("n") > 0, r)  # no division by the count of a pair without common rows
+    names = F.array(*[F.lit(c) for c in cols])
+    # An input without rows has no sums: its pairs are listed all the same.
+    at = spark.range(len(cols)).select(F.col("id").cast("int").alias("i"))
+    pairs = at.select("i", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))).alias("j")) if cols else at.select("i", F.col("i").alias("j"))
+    low, high = F.least("i", "j"), F.greatest("i", "j")
+    found = every.select(F.col("i").alias("lo"), F.col("j").alias("hi"), r.alias("r"))
+    return (pairs.select("i", "j", low.alias("lo"), high.alias("hi")).join(found, ["lo", "hi"], "left")
+            .select(F.get(names, F.col("i")).alias("row"), F.get(names, F.col("j")).alias("col"),
+                    F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.col("r")).alias("r")))

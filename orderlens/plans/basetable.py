@@ -5,7 +5,8 @@ aggregate already hash-partitioned on ``order_id``, and each join's output keeps
 partitioning, so the chain needs one exchange per input and none between joins.
 The reference's global ``orderBy`` on the basetable is dropped: a table has no order,
 and a range sort of the whole table buys nothing here (the time split uses a cutoff
-predicate instead).
+predicate instead). ``bucketed`` keeps the order-grain inputs on disk in that partitioning,
+so basetables joined from them later need no exchange at all.
 
 Defaults differ from the reference in two documented ways (SURVEY §1.4, §7.4):
 missing durations stay NULL unless ``sentinel=True`` (then 999 and the 2080 string,
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from orderlens import functions as X
 from orderlens.operators import clean as C
 from orderlens.plans import features as FE
-from orderlens.session import input_stamp, materialize, session_key
+from orderlens.session import input_stamp, materialize, materialize_bucketed, session_key
 from orderlens.sources import views as V
 
 
@@ -39,29 +40,52 @@ def binary_label(df: DataFrame, label_col: str = "label", positive: Sequence = (
     return kept.withColumn(out, F.when(F.col(label_col).isin(*positive), F.lit(1)).otherwise(F.lit(0)))
 
 
-def basetable(orders: DataFrame, payments: DataFrame, items: DataFrame, products: DataFrame,
-              reviews: DataFrame | None = None, fitted: DataFrame | None = None,
-              payment_types: Sequence[str] = FE.NORMALIZED_PAYMENT_TYPES,
-              sentinel: bool = False, by: Sequence[str] = ()) -> DataFrame:
+def order_grain(orders: DataFrame, payments: DataFrame, items: DataFrame, products: DataFrame,
+                reviews: DataFrame | None = None, fitted: DataFrame | None = None,
+                payment_types: Sequence[str] = FE.NORMALIZED_PAYMENT_TYPES,
+                sentinel: bool = False, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The basetable's inputs, each with one row per order: ``orders``, ``payments``, ``items``
+    and, when given, ``reviews``."""
     o = FE.orders_enriched(orders, by)
-    o = C.clean_orders(o, V.TIMESTAMP_COLS, list(FE.DURATIONS), sentinel=sentinel)
-    pay = FE.payments_by_order(FE.normalize_payment_types(payments), payment_types)
-    df = o.join(pay, ["order_id"], "inner")
+    out = {"orders": C.clean_orders(o, V.TIMESTAMP_COLS, list(FE.DURATIONS), sentinel=sentinel),
+           "payments": FE.payments_by_order(FE.normalize_payment_types(payments), payment_types)}
     if reviews is not None:
-        df = (df.join(FE.reviews_by_order(reviews), ["order_id"], "left")
+        out["reviews"] = FE.reviews_by_order(reviews)
+    return out | {"items": FE.items_by_order(items, products, fitted)}
+
+
+def joined(grain: dict[str, DataFrame]) -> DataFrame:
+    """The chain ``orders ⋈ payments ⟕ reviews ⟕ items`` over :func:`order_grain` tables."""
+    df = grain["orders"].join(grain["payments"], ["order_id"], "inner")
+    if "reviews" in grain:
+        df = (df.join(grain["reviews"], ["order_id"], "left")
               .withColumn("review_score", F.coalesce(F.col("review_score"), F.lit(0))))
-    df = df.join(FE.items_by_order(items, products, fitted), ["order_id"], "left")
-    if reviews is not None:
+    df = df.join(grain["items"], ["order_id"], "left")
+    if "reviews" in grain:
         df = review_sentiment(df).withColumn("review_score", F.col("review_score").cast("double"))
     return df
 
 
+def bucketed(grain: dict[str, DataFrame], buckets: int | None = None) -> dict[str, DataFrame]:
+    """:func:`order_grain` tables written bucketed by ``order_id``. For tables that several
+    basetables are joined from: each is shuffled once, when it is written, and :func:`joined`
+    over them plans no exchange (a changed payment list rewrites one table, not four)."""
+    return {name: materialize_bucketed(df, f"order-grain-{name}", "order_id", buckets) for name, df in grain.items()}
+
+
+def basetable(orders: DataFrame, payments: DataFrame, items: DataFrame, products: DataFrame,
+              reviews: DataFrame | None = None, fitted: DataFrame | None = None,
+              payment_types: Sequence[str] = FE.NORMALIZED_PAYMENT_TYPES,
+              sentinel: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    return joined(order_grain(orders, payments, items, products, reviews, fitted, payment_types, sentinel, by))
+
+
 REVIEW_COLS = ["review_score", "first_review_date", "last_review_date", "review_sentiment"]
 SIDE = "sample"
 
 
-def both_sides(spark: SparkSession, sf_dir: str, sentinel: bool = False) -> DataFrame:
-    """Train and holdout basetables in one plan, tagged by ``sample``.
+def both_sides_grain(spark: SparkSession, sf_dir: str, sentinel: bool = False) -> dict[str, DataFrame]:
+    """Order-grain tables of train and holdout orders together, tagged by ``sample``.
 
     One scan of each source serves both sides (building them separately reads every
     table twice). Per-side semantics are kept: the repeat-customer flag is grouped by
@@ -75,8 +99,13 @@ def both_sides(spark: SparkSession, sf_dir: str, sentinel: bool = False) -> Data
     products = V.products(spark, sf_dir)
     reviews = V.reviews(spark, sf_dir).where(~V.is_holdout())
     fitted = materialize(FE.fit_categories(items.where(~V.is_holdout()), products), "pareto-categories")
-    return basetable(orders, V.payments(spark, sf_dir), items, products, reviews, fitted=fitted,
-                     sentinel=sentinel, by=[SIDE])
+    return order_grain(orders, V.payments(spark, sf_dir), items, products, reviews, fitted=fitted,
+                       sentinel=sentinel, by=[SIDE])
+
+
+def both_sides(spark: SparkSession, sf_dir: str, sentinel: bool = False) -> DataFrame:
+    """Train and holdout basetables in one plan, tagged by ``sample``."""
+    return joined(both_sides_grain(spark, sf_dir, sentinel))
 
 
 def sides(both: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -306,6 +306,12 @@ def q_basetable_holdout(spark, sf_dir):
     return _bt(spark, sf_dir, holdout=True)
 
 
+@register("basetable_bucketed", O.on_basetable("SELECT * FROM bt_train"), ROUND, _BT_DOUBLES)
+def q_basetable_bucketed(spark, sf_dir):
+    """The train basetable joined from order-grain tables that are bucketed by order."""
+    return B.sides(B.joined(B.bucketed(B.both_sides_grain(spark, sf_dir))))[0]
+
+
 @register("review_sentiment", O.on_basetable(
     "SELECT order_id, review_score, CASE WHEN review_score > 3 THEN 'Positive' WHEN review_score = 0 "
     "THEN 'No Review' ELSE 'Negative' END AS review_sentiment FROM bt_train"))
@@ -637,6 +643,24 @@ def q_corr_matrix_sentinel(spark, sf_dir):
                           sentinel={"delivery_delay_days": I.MISSING_DAYS, "delivery_duration_days": I.MISSING_DAYS})
 
 
+@register("corr_matrix_blocked", _corr_sql(False), METRIC_DIGITS, ["r"])
+def q_corr_matrix_blocked(spark, sf_dir):
+    """The same matrix from pair sums in blocks of three columns."""
+    return MT.corr_wide(_bt(spark, sf_dir), CORR_COLS, impute=CORR_IMPUTE, block=3)
+
+
+@register("corr_embedding",
+          "WITH v AS (SELECT row_number() OVER () AS k, embedding FROM embeddings), "
+          "l AS (SELECT k, unnest(range(64)) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM v) "
+          "SELECT 'embedding_' || a.i AS row, 'embedding_' || b.i AS col, "
+          "CASE WHEN a.i = b.i THEN CAST(1.0 AS DOUBLE) ELSE corr(a.x, b.x) END AS r "
+          "FROM l a JOIN l b USING (k) GROUP BY a.i, b.i", METRIC_DIGITS, ["r"])
+def q_corr_embedding(spark, sf_dir):
+    """Correlations of all 64 embedding entries (2,016 pairs)."""
+    wide = C.array_expand(V.table(spark, sf_dir, "embeddings"), "embedding", 64)
+    return MT.corr_wide(wide, wide.columns)
+
+
 # ---------------------------------------------------------------- feature preparation
 
 # The imputed item columns.

@@ -3,7 +3,7 @@
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names; it is read
 from the running session, and a cluster session without it is refused: each executor would
 write to a disk of its own. Only a ``local`` master gets a fresh folder under /tmp.
-``release`` removes a session's scratch tables.
+``release`` removes a session's scratch tables, catalogue entries of bucketed ones included.
 """
 
 from __future__ import annotations
@@ -85,6 +85,7 @@ def session_key(spark: SparkSession) -> str:
 
 
 _SCRATCH: dict[str, list[str]] = {}
+_BUCKETED: dict[str, list[str]] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -103,6 +104,8 @@ def release(spark: SparkSession) -> int:
     """Removes the scratch tables of this session and drops its cached ones; results that
     still read them must be consumed before. Returns how many tables there were."""
     spark.catalog.clearCache()
+    for name in _BUCKETED.pop(session_key(spark), []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     paths = _SCRATCH.pop(session_key(spark), [])
     for path in paths:
         fs, where = _file_system(spark, path)
@@ -137,3 +140,21 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` in the shared folder bucketed and sorted by ``key`` and read it back.
+
+    The scan then counts as hash-partitioned by ``key`` into ``buckets`` parts (default:
+    ``spark.sql.shuffle.partitions``), so joins of tables with the same key and bucket count,
+    and aggregates by the key, need no exchange. Rows are shuffled by the key first, so a
+    bucket is one file. The table is external, under a catalogue name of its own.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = f"orderlens_{re.sub(r'[^a-z0-9]+', '_', name.lower())}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+     .option("path", path).format("parquet").saveAsTable(table))
+    _BUCKETED.setdefault(session_key(spark), []).append(table)
+    return spark.table(table)
