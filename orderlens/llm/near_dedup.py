@@ -12,8 +12,9 @@
 4. Verify. Families of plausible pairs compare their full shingle sets exactly. Connected
    components of the verified links are the near-duplicate groups.
 
-A bucket or family reaches tasks in blocks of bounded rows and bytes (a pair of blocks per
-task), and a task emits a spanning forest of what it finds, never all pairs.
+A bucket or family reaches tasks in blocks of bounded rows and bytes, and a task emits a spanning
+forest of what it finds, never all pairs. Blocks of one unit share a few leading nodes; only what
+these do not connect is held against the other blocks.
 
 Defined cases: NULL and blank texts have an empty set and are linked with nothing; a text of
 fewer words than a shingle is one shingle; equal rows share a component; documents with a
@@ -29,7 +30,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import materialize
 from .common import few_places, small_batches, with_place
@@ -41,6 +42,7 @@ REGISTERS = BANDS * ROWS
 SHINGLE, PERCENT = 4, 80
 DOUBT = 12.0  # natural log of the likelihood ratio at which an estimate rules a pair out
 BLOCK_NODES, BLOCK_BYTES = 1024, 8 << 20
+LEADERS = 8  # nodes of a unit of several blocks that join each of them
 FEW = 4  # nodes of a bucket whose pairs are estimated together with those of other buckets
 
 _U = np.uint64
@@ -269,25 +271,52 @@ def _verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": node[i], "b": node[j]})
 
 
-def _in_block_pairs(members: DataFrame) -> DataFrame:
-    """(unit, i, j, node, n, data): each unit's rows dealt to pairs of blocks of bounded size.
+def _run(dealt: DataFrame, task) -> DataFrame:
+    """(a, b): what ``task`` finds in each (unit, i, j) of rows (unit, i, j, node, n, data)."""
+    dealt = dealt.repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j")
+    return dealt.mapInPandas(task, "a long, b long")
 
-    ``members`` has unit, node, n, data. A unit that fits one block is one pair (0, 0). The
-    blocks of a larger one are its nodes by hash; row counts per unit are bounded by
-    rows * blocks, and every two rows meet in some pair.
-    """
-    size = members.groupBy("unit").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("data")).alias("bytes"))
-    size = size.where("rows > 1").select("unit", F.greatest(
-        F.ceil(F.col("rows") / BLOCK_NODES), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
-    dealt = members.join(size, "unit").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.withColumn("other", other)
-    return dealt.select("unit", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", "data")
+
+def _blocks() -> Column:
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum(F.octet_length("data")) / BLOCK_BYTES)).cast("int")
 
 
 def _by_unit(rows: DataFrame, task) -> DataFrame:
-    dealt = _in_block_pairs(rows).repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j")
-    return dealt.mapInPandas(task, "a long, b long")
+    """(a, b): links that connect what ``task`` connects within each unit of rows (unit, node, n, data).
+
+    A unit that fits one block is one group. A larger one is cut into blocks by node hash, and
+    ``LEADERS`` of its nodes join every block. What the blocks link with each other that way is
+    known; only nodes outside the unit's largest component go on, against all blocks. Two nodes
+    of different components have one such node between them, so nothing is missed, and a unit
+    of texts that are all alike costs its rows, not its rows times its blocks.
+    """
+    size = materialize(rows.groupBy("unit").agg(F.count(F.lit(1)).alias("rows"), _blocks().alias("blocks"))
+                       .where("rows > 1").select("unit", "blocks"), "unit-sizes")
+    one, many = size.where("blocks = 1"), size.where("blocks > 1")
+    zero = F.lit(0)
+    small = _run(rows.join(one, "unit").select("unit", zero.alias("i"), zero.alias("j"), "node", "n", "data"), task)
+    if many.isEmpty():
+        return small
+
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    large = materialize(rows.join(many, "unit").select("unit", "blocks", block.alias("block"), "node", "n", "data"), "large-units")
+    slot = F.pmod(F.xxhash64("node", F.lit("leader")), F.lit(LEADERS)).alias("slot")
+    leaders = large.groupBy("unit", slot).agg(F.min("node").alias("node")).drop("slot")
+    led = large.join(leaders, ["unit", "node"]).withColumn("block", F.explode(F.sequence(zero, F.col("blocks") - 1)))
+    near = large.unionByName(led).select("unit", F.col("block").alias("i"), F.col("block").alias("j"), "node", "n", "data")
+    links = materialize(_run(near, task), "block-links")
+
+    known = large.join(materialize(components(links), "block-components"), "node", "left")
+    known = known.withColumn("component", F.coalesce("component", "node"))
+    counts = known.groupBy("unit", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = counts.groupBy("unit").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
+    rest = materialize(known.join(main, "unit").where("component <> main").drop("component", "main"), "unlinked-nodes")
+    meets = materialize(rest.groupBy("unit").agg(_blocks().alias("others")), "unlinked-sizes")
+    other = F.pmod(F.xxhash64("node"), F.col("others")).cast("int")
+    first = rest.join(meets, "unit").select("unit", other.alias("i"), F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("j"), "node", "n", "data")
+    second = large.join(meets, "unit").select("unit", F.explode(F.sequence(zero, F.col("others") - 1)).alias("i"),
+                                              F.col("block").alias("j"), "node", "n", "data")
+    return small.unionByName(links).unionByName(_run(first.unionByName(second), task))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:

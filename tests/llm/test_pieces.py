@@ -58,3 +58,60 @@ def test_slots_of_a_key_with_a_third_of_the_rows(spark):
     for s in range(8):
         slots = sorted(r["slot"] for r in out if r["shard"] == s)
         assert slots == list(range(len(slots)))
+
+
+def _unit_components(spark, sets):
+    import numpy as np
+    from orderlens.llm import near_dedup as N
+    from orderlens.llm.components import components
+    data = [(7, i, len(s), np.array(sorted(s), np.uint64).tobytes()) for i, s in enumerate(sets)]
+    rows = spark.createDataFrame(data, "unit long, node long, n long, data binary")
+    found = {r.node: r.component for r in components(N._by_unit(rows, N._verified)).collect()}
+    return [found.get(i, i) for i in range(len(sets))]
+
+
+def _brute_components(sets):
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(sets))]
+
+
+def test_large_unit_links_across_blocks(spark, monkeypatch):
+    """Chains, several clusters and single bridges between blocks: no link is lost behind the leaders."""
+    import random
+    from orderlens.llm import near_dedup
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", 9)
+    rng = random.Random(3)
+    chain = [set(range(4 * i, 4 * i + 40)) for i in range(60)]  # only neighbours are linked
+    star = [set(range(1000, 1040)) - {1000 + i % 40} | {2000 + i} for i in range(50)]
+    far = [set(rng.sample(range(5000, 9000), 30)) for _ in range(20)]
+    bridge = [set(range(1000, 1020)) | set(range(3000, 3020)), set(range(1000, 1022)) | set(range(3000, 3020))]
+    sets = chain + star + far + bridge
+    rng.shuffle(sets)
+    assert _unit_components(spark, sets) == _brute_components(sets)
+
+
+def test_large_unit_of_alike_texts_costs_its_rows(spark, monkeypatch):
+    """400 alike sets in 40 blocks: tasks get each once and the leaders per block, not 400 * 40 rows."""
+    from orderlens.llm import near_dedup
+    dealt, run = [], near_dedup._run
+
+    def counted(rows, task):
+        dealt.append(rows.count())
+        return run(rows, task)
+
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", 10)
+    monkeypatch.setattr(near_dedup, "_run", counted)
+    sets = [set(range(100)) | {1000 + i} for i in range(400)]
+    assert set(_unit_components(spark, sets)) == {0}
+    assert sum(dealt) <= 400 + 40 * near_dedup.LEADERS
