@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.llm import decontaminate, mixing, quality_rules, sharding
 from orderlens.llm.common import table
@@ -92,7 +93,6 @@ def test_shards(spark, make):
 
 
 def test_weighted_shards_move_little(spark):
-    from pyspark.sql import functions as F
     ids = spark.range(20_000).select(F.col("id").alias("doc_id"))
     key = F.concat(F.lit("k:"), F.col("doc_id").cast("string"))
     both = ids.select(sharding.rendezvous(key, [1, 2, 1]).alias("a"), sharding.rendezvous(key, [1, 2, 1, 4]).alias("b"))
@@ -180,3 +180,22 @@ def test_no_python_on_the_main_path(spark):
     for df in (quality_rules.base_counts(docs), sharding.shard_documents(docs), mixing.mix(docs), decontaminate.decontaminate(docs, bench)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoop"))
+
+
+def test_bloom_filter_of_the_benchmark(spark):
+    """Every hash of the benchmark passes, and few others; the filter is the one plain Python builds."""
+    size = decontaminate.MIN_BYTES
+    hashes = spark.range(3000).select(F.xxhash64("id").alias("hash"))
+    known = decontaminate.bloom_filter(hashes, size)
+    cells = hashes.select(*[c.alias(f"c{i}") for i, (at, bit) in enumerate(decontaminate.cells_of(F.col("hash"), size))
+                            for c in (at * decontaminate.BITS + bit,)]).collect()
+    plain = bytearray(size)
+    for r in cells:
+        for c in r:
+            plain[c // decontaminate.BITS] |= 1 << c % decontaminate.BITS
+    assert known == bytes(plain) and max(known) < 128
+    test = spark.range(60_000).select("id", decontaminate.may_hold(F.lit(known), F.xxhash64("id"), size).alias("maybe"))
+    got = {r["maybe"]: r["n"] for r in test.where("id >= 3000").groupBy("maybe").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert test.where("id < 3000 AND NOT maybe").count() == 0
+    assert 0 < got[True] < 0.01 * sum(got.values())
+    assert decontaminate.bloom_filter(hashes.where("hash IS NULL"), size) == bytes(size)
