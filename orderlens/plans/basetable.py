@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from orderlens import functions as X
 from orderlens.operators import clean as C
 from orderlens.plans import features as FE
-from orderlens.session import input_stamp, materialize, materialize_bucketed, session_key
+from orderlens.session import input_stamp, materialize, materialize_bucketed, session_key, spread
 from orderlens.sources import views as V
 
 
@@ -140,7 +140,8 @@ def materialized_basetable(spark: SparkSession, sf_dir: str, holdout: bool = Fal
     key = (*memo_key(spark, sf_dir), holdout)
     if key not in _MATERIALIZED:
         # One job writes both sides, partitioned by side; each reader prunes to its folder.
-        both = materialize(both_sides(spark, sf_dir), "basetable", partition_by=[SIDE])
+        with spread(spark, sum(size for _, size, _ in key[2])):
+            both = materialize(both_sides(spark, sf_dir), "basetable", partition_by=[SIDE])
         train, hold = sides(both)
         _MATERIALIZED[(*key[:-1], False)] = train
         _MATERIALIZED[(*key[:-1], True)] = hold

@@ -8,10 +8,12 @@ write to a disk of its own. Only a ``local`` master gets a fresh folder under /t
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -126,6 +128,27 @@ def input_stamp(spark: SparkSession, paths: list[str]) -> tuple:
     return tuple(sorted(out))
 
 
+INPUT_SHARE = 4 * 2 ** 20  # bytes of input files for each shuffle partition
+TASK_SHARE = 16 * 2 ** 20  # shuffled bytes of one task
+
+
+@contextlib.contextmanager
+def spread(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Within it, jobs shuffle into a number of partitions that grows with the input (never fewer than configured), and
+    adaptive execution joins small ones up to ``TASK_SHARE`` only: what a task sorts and aggregates stays the same at any
+    size and fits its memory. Only for jobs that end inside, such as writes; the settings are put back."""
+    parts, share = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {k: spark.conf.get(k, None) for k in (parts, share)}
+    wanted = max(int(before[parts]), -(-input_bytes // INPUT_SHARE))
+    spark.conf.set(parts, str(wanted))
+    spark.conf.set(share, str(TASK_SHARE))
+    try:
+        yield wanted
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
