@@ -15,7 +15,8 @@ its line break. Spans keep their offsets in the original text, in characters.
 Digests are counted by their first half in one hash aggregate, so a unit that a third of all
 documents share is one row per task before the shuffle. Digests seen once leave the table before
 the keepers are found and the occurrences are joined back; these joins are plain ones between
-written tables, whose large partitions adaptive execution splits.
+written tables, whose large partitions adaptive execution splits. Both Python steps are written
+in small batches, so a worker holds a thousand texts at most, however large its partition is.
 
 Defined cases: NULL and empty texts have no units and never change; documents with a NULL key
 rank last; rows with an equal key rank by their place; an empty table gives an empty result;
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import with_place
+from .common import small_batches, with_place
 
 LEAST = {"line": 50, "sentence": 1, "clause": 25}  # words of a run that is removed
 OTHER = re.compile(r"[\W_]+")
@@ -189,7 +190,8 @@ def cut_column(unit: str, min_words: int) -> Column:
 def repeats(rows: DataFrame, unit: str) -> DataFrame:
     """(row, at, words, first_key, keeper) of every unit that is not the first of its digest; ``keeper`` hashes the row that keeps it."""
     units = rows.select("row", "key", digest_column(unit).alias("d")).select("row", "key", F.explode(F.arrays_zip("d.at", "d.words", "d.a", "d.b")).alias("u"))
-    units = materialize(units.select("row", "key", "u.at", "u.words", "u.a", "u.b"), "units")
+    with small_batches(rows.sparkSession):
+        units = materialize(units.select("row", "key", "u.at", "u.words", "u.a", "u.b"), "units")
     often = materialize(units.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a"), "often")
     again = materialize(units.join(often, "a", "left_semi"), "again")
     groups = again.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "at")).alias("first"))
@@ -209,7 +211,8 @@ def _edits(rows: DataFrame, unit: str, min_words: int) -> DataFrame:
     # rows with fewer repeated words hold no run that goes
     hit = rows.select("row", "key", "text").join(per_row.where(F.col("n") >= min_words).drop("n"), "row")
     hit = hit.withColumns({"ats": F.col("r.at"), "counts": F.col("r.words"), "keepers": F.col("r.keeper")}).withColumn("x", cut_column(unit, min_words))
-    return hit.select("row", "key", "r", "x.spans", "x.cut").where(F.size("spans") > 0)
+    with small_batches(rows.sparkSession):
+        return materialize(hit.select("row", "key", "r", "x.spans", "x.cut").where(F.size("spans") > 0), "edits")
 
 
 def edits(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int | None = None, unit: str = "line") -> DataFrame:

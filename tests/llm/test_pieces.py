@@ -99,3 +99,17 @@ def test_large_unit_links_across_blocks(spark, monkeypatch):
     sets = chain + star + far + bridge
     rng.shuffle(sets)
     assert _unit_components(spark, sets) == _brute_components(sets)
+
+
+def test_op1_workers_get_small_batches(spark, monkeypatch):
+    """Both Python steps of the substring dedup run within small batches of whole texts."""
+    from orderlens.llm import substring_dedup as SD
+    seen, write = {}, SD.materialize
+    monkeypatch.setattr(SD, "materialize", lambda df, name, *a: seen.update({name: int(df.sparkSession.conf.get(
+        "spark.sql.execution.arrow.maxRecordsPerBatch"))}) or write(df, name, *a))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    line = "a passage of some words, "
+    docs = spark.createDataFrame([(i, line * 9 + str(i)) for i in range(3)], "doc_id long, text string")
+    assert SD.edits(docs, unit="clause").count() > 0
+    assert seen["units"] <= 1000 and seen["edits"] <= 1000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
