@@ -163,3 +163,15 @@ def test_profiles_are_observed_in_one_pass(spark):
     assert cleaned.count() == 1
     assert {tuple(r) for r in profile.collect()} == {("before", "id", 0, 3), ("before", "t", 2, 3), ("before", "n", 2, 3),
                                                      ("after", "id", 0, 1), ("after", "t", 0, 1), ("after", "n", 0, 1)}
+
+
+def test_large_tables_are_fitted_by_fewer_models_at_a_time(spark, labelled, monkeypatch):
+    assert MO.fits_at_once(labelled, 5) == 5
+    whole = [m.coefficients.toArray() for m in MO.ovr_fit(labelled, LogisticRegression()).models]
+    monkeypatch.setattr(MO, "ROWS_AT_ONCE", 900)  # 400 rows
+    assert MO.fits_at_once(labelled, 5) == 2
+    seen, wrapped = [], MO.OneVsRest
+    monkeypatch.setattr(MO, "OneVsRest", lambda **how: seen.append(how["parallelism"]) or wrapped(**how))
+    monkeypatch.setattr(MO, "ROWS_AT_ONCE", 1)
+    alone = [m.coefficients.toArray() for m in MO.ovr_fit(labelled, LogisticRegression()).models]
+    assert seen == [1] and np.allclose(whole, alone, atol=1e-9)
