@@ -1,7 +1,7 @@
 """Model training, comparison and scoring with MLlib.
 
 All estimators are MLlib's distributed implementations, but for the gradient of the factorization
-machine (``factorization``).
+machine (``factorization``) and the histograms of the final boosted trees (``boosting``).
 Results (leaderboards, importances, CV scores) are returned as DataFrames. What reaches
 the driver is model state MLlib itself keeps there (one metric per model, one
 importance per feature), bounded by the number of models and features, never by rows.
@@ -13,15 +13,16 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Any, Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
+from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
+                                       OneVsRest, OneVsRestModel, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from orderlens.operators.boosting import fit_classes, fits_on_blocks
 from orderlens.operators.factorization import BlockFMClassifier
 from orderlens.operators.split import hash_folds
 
@@ -178,15 +179,38 @@ def predictions(model: Any, df: DataFrame, id_col: str = "order_id", keep_label:
 
 
 def ovr_fit(train: DataFrame, classifier: Any, first: int = FIRST_CLASS) -> Any:
-    """One-vs-rest on scores from ``first`` on (1-5): one sub-model for each."""
+    """One-vs-rest on scores from ``first`` on (1-5): one sub-model for each. Boosted trees on blocks are fitted for all
+    classes in the same jobs."""
     rows = zero_based(train, first=first)
+    if fits_on_blocks(classifier, rows, OVR_PARALLELISM):
+        most = int(rows.agg(F.max(classifier.getLabelCol())).first()[0])
+        models = fit_classes(classifier, rows, [float(c) for c in range(most + 1)], range(most + 1))
+        return OneVsRest(classifier=classifier)._copyValues(OneVsRestModel(models=models))
     return OneVsRest(classifier=classifier, parallelism=fits_at_once(rows, OVR_PARALLELISM)).fit(rows)
 
 
+def ovr_transform(model: OneVsRestModel, df: DataFrame) -> DataFrame:
+    """``model.transform`` (columns ``rawPrediction``, one margin a class, and ``prediction``) without its row-by-row Python
+    functions: the sub-models' margins as an array, the first greatest one wins."""
+    out, margins = df, []
+    for i, sub in enumerate(model.models):
+        own = sub.copy()
+        own.setRawPredictionCol(f"_raw_{i}")
+        for unused in ("setProbabilityCol", "setPredictionCol"):
+            if hasattr(own, unused):
+                getattr(own, unused)("")
+        out = own.transform(out)
+        margins.append(vector_to_array(f"_raw_{i}")[1])
+    out = out.withColumn("_margins", F.array(*margins))
+    best = (F.array_position("_margins", F.array_max("_margins")) - 1).cast("double")
+    return out.withColumns({"rawPrediction": array_to_vector("_margins"), "prediction": best}).select(*df.columns, "rawPrediction", "prediction")
+
+
 def ovr_scores(model: Any, df: DataFrame, id_col: str = "order_id", keep_label: bool = True, first: int = FIRST_CLASS) -> DataFrame:
     """Predicted scores from ``first`` on (``df`` holds labels as scores)."""
     known = zero_based(df, first=first) if "label" in df.columns else df
-    return score_based(predictions(model, known, id_col, keep_label), first=first)
+    out = ovr_transform(model, known)
+    return score_based(out.select(id_col, *(["label"] if keep_label and "label" in out.columns else []), "prediction"), first=first)
 
 
 def ovr_predict(train: DataFrame, valid: DataFrame, classifier: Any, id_col: str = "order_id") -> DataFrame:

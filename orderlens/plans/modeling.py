@@ -13,7 +13,6 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from orderlens.operators import metrics as MT
 from orderlens.operators import models as M
 from orderlens.operators import prep as PR
 from orderlens.operators import split as S
+from orderlens.operators.boosting import BlockGBTClassifier
 from orderlens.plans import basetable as B
 from orderlens.plans import features as FE
 from orderlens.session import materialize
@@ -125,8 +125,8 @@ def permuted_importances(p: Prepared, model: Any) -> DataFrame:
     return IM.model_importance(model, p.valid_binary, p.names, MT.margin)
 
 
-def final_gbt() -> GBTClassifier:
-    return GBTClassifier(seed=M.GBT_SEED_FINAL, maxDepth=M.GBT_FINAL_DEPTH)
+def final_gbt() -> BlockGBTClassifier:
+    return BlockGBTClassifier(seed=M.GBT_SEED_FINAL, maxDepth=M.GBT_FINAL_DEPTH)
 
 
 def scored_splits(p: Prepared, seed: int) -> DataFrame:
@@ -135,7 +135,7 @@ def scored_splits(p: Prepared, seed: int) -> DataFrame:
     the reference's train-versus-validate ROC and lift curves."""
     key = f"scored_splits_{seed}"
     if key not in p.cache:
-        model = GBTClassifier(seed=seed, maxDepth=M.GBT_FINAL_DEPTH).fit(p.train_binary)
+        model = BlockGBTClassifier(seed=seed, maxDepth=M.GBT_FINAL_DEPTH).fit(p.train_binary)
         parts = []
         for name, d in (("train", p.train_binary), ("validate", p.valid_binary)):
             scored = M.probability_columns(model.transform(d)).withColumn("split", F.lit(name))
@@ -183,7 +183,7 @@ def svc_splits(p: Prepared) -> DataFrame:
 def class_margins(p: Prepared) -> DataFrame:
     """``(order_id, class, score, label)``: the margins of the five one-vs-rest models on the validation orders."""
     if "class_margins" not in p.cache:
-        scored = validation_ovr(p).transform(p.valid_multi)
+        scored = M.ovr_transform(validation_ovr(p), p.valid_multi)
         out = MT.class_margins(scored, [1.0, 2.0, 3.0, 4.0, 5.0], keep=["order_id"])
         p.cache["class_margins"] = out.persist(StorageLevel.MEMORY_AND_DISK)
     return p.cache["class_margins"]
