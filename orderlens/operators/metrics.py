@@ -20,10 +20,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.session import materialize
+from orderlens.session import INPUT_SHARE, materialize, spread
 from orderlens.operators.aggregate import is_other
 from orderlens.operators.bracket import medians
-from orderlens.operators.prefix import prefix_sums
+from orderlens.operators.prefix import default_buckets, prefix_sums
+
+SCORES_A_TASK = 100_000  # distinct scores that a task of a running sum sorts, about
 
 
 def _groups(split_col: str | None) -> list[str]:
@@ -40,9 +42,13 @@ def score_groups(df: DataFrame, score: str, label: str, split_col: str | None =
 
 def _cumulative(df: DataFrame, score: str, label: str, split_col: str | None) -> tuple[DataFrame, DataFrame]:
     """The per-score counts with running sums, and the counts themselves (written once:
-    split points, bucket totals and rows all read them)."""
-    g = materialize(score_groups(df, score, label, split_col), "score-counts")
-    return prefix_sums(g, [(score, False)], ["pos", "neg"], _groups(split_col), few_groups=True), g
+    split points, bucket totals and rows all read them). Tasks and buckets grow with the scores, so that what a task
+    aggregates and sorts stays the same at any size."""
+    with spread(df.sparkSession, df.count() // SCORES_A_TASK * INPUT_SHARE):
+        g = materialize(score_groups(df, score, label, split_col), "score-counts")
+    buckets = g.count() // SCORES_A_TASK + 1
+    more = {"buckets": buckets, "tasks": buckets} if buckets > default_buckets(g) else {}
+    return prefix_sums(g, [(score, False)], ["pos", "neg"], _groups(split_col), few_groups=True, **more), g
 
 
 def _as_double(c: str | Column) -> Column:

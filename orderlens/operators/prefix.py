@@ -27,7 +27,7 @@ from orderlens.operators.bracket import medians
 OrderSpec = Sequence[tuple]  # (column, ascending[, nulls_last])
 
 
-def _default_buckets(df: DataFrame) -> int:
+def default_buckets(df: DataFrame) -> int:
     try:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # noqa: BLE001
@@ -85,7 +85,7 @@ def _order_exprs(order_by: OrderSpec) -> list[Column]:
 
 def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
                 partition_by: Sequence[str] = (), buckets: int | None = None,
-                accuracy: int | None = None, prefix: str = "cum_", few_groups: bool = False) -> DataFrame:
+                accuracy: int | None = None, prefix: str = "cum_", few_groups: bool = False, tasks: int | None = None) -> DataFrame:
     """Add ``cum_<s>``: the inclusive running sum of ``s`` in ``order_by`` order within
     each ``partition_by`` group.
 
@@ -94,9 +94,10 @@ def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
     handful by construction (listed columns, split labels): the per-group split points and
     bucket offsets are then broadcast, so no row is shuffled on a group key.
     ``buckets`` defaults to twice the shuffle partitions (at least 16); the sketch's
-    relative error is kept at a twentieth of a bucket, so buckets stay even.
+    relative error is kept at a twentieth of a bucket, so buckets stay even. ``tasks`` deals the
+    buckets to that many tasks (default: the shuffle partitions).
     """
-    nb = buckets or _default_buckets(df)
+    nb = buckets or default_buckets(df)
     accuracy = accuracy or max(10000, 20 * nb)
     groups = list(partition_by)
     lead, lead_asc = order_by[0][0], order_by[0][1]
@@ -132,6 +133,8 @@ def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
     running = (Window.partitionBy(*groups, "_b").orderBy(*_order_exprs(order_by))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = bucketed.join(offsets, [*groups, "_b"])
+    if tasks:  # the window's own partitioning: no further exchange
+        out = out.repartition(tasks, *groups, "_b")
     out = out.withColumns({f"{prefix}{s}": F.col(f"_o_{s}") + F.sum(s).over(running) for s in sums})
     return out.drop("_b", *[f"_o_{s}" for s in sums])
 

@@ -1,8 +1,10 @@
 """Shuffle partitions of the basetable grow with its input and the session keeps its settings."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens import session as SE
+from orderlens.operators import metrics as MT
 from orderlens.plans import basetable as B
 from tests.conftest import SF_SMALL
 
@@ -30,3 +32,16 @@ def test_the_basetable_is_written_in_more_tasks_for_more_input(spark, monkeypatc
     train = B.materialized_basetable(spark, SF_SMALL)
     assert seen["basetable"] > 2 * int(spark.conf.get(PARTS))
     assert train.count() == train.select("order_id").distinct().count() > 0
+
+
+def test_tasks_of_a_curve_do_not_grow_with_its_scores(spark, monkeypatch):
+    df = spark.range(20_000).select((F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1e6).alias("score"),
+                                    (F.col("id") % 3 == 0).cast("int").alias("label"), (F.col("id") % 2).alias("part"))
+    rows = lambda d: sorted(tuple(r) for r in d.collect())
+    how = {"split_col": "part"}
+    before = [rows(MT.lift_points(df, **how)), rows(MT.roc_points(df, **how)), rows(MT.auc_roc(df, **how))]
+    monkeypatch.setattr(MT, "SCORES_A_TASK", 500)
+    sums, counts = MT._cumulative(df, "score", "label", "part")
+    assert max(r["count"] for r in sums.groupBy(F.spark_partition_id()).count().collect()) <= 3_000
+    assert sums.count() == counts.count()
+    assert [rows(MT.lift_points(df, **how)), rows(MT.roc_points(df, **how)), rows(MT.auc_roc(df, **how))] == before
