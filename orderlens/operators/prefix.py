@@ -130,13 +130,16 @@ def prefix_sums(df: DataFrame, order_by: OrderSpec, sums: Sequence[str],
     if not groups or few_groups:  # at most `buckets` rows for each group: a proven bound
         offsets = F.broadcast(offsets)
 
-    running = (Window.partitionBy(*groups, "_b").orderBy(*_order_exprs(order_by))
+    out, keys = bucketed.join(offsets, [*groups, "_b"]), [*groups, "_b"]
+    if tasks:  # the window's own partitioning: no further exchange (a window normalises floating keys, so they go as text)
+        floating = {g: f"_g_{g}" for g in groups if out.schema[g].dataType.typeName() in ("double", "float")}
+        out = out.withColumns({t: (F.col(g) + F.lit(0.0)).cast("string") for g, t in floating.items()}) if floating else out
+        keys = [floating.get(g, g) for g in keys]
+        out = out.repartition(tasks, *keys)
+    running = (Window.partitionBy(*keys).orderBy(*_order_exprs(order_by))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = bucketed.join(offsets, [*groups, "_b"])
-    if tasks:  # the window's own partitioning: no further exchange
-        out = out.repartition(tasks, *groups, "_b")
     out = out.withColumns({f"{prefix}{s}": F.col(f"_o_{s}") + F.sum(s).over(running) for s in sums})
-    return out.drop("_b", *[f"_o_{s}" for s in sums])
+    return out.drop("_b", *[k for k in keys if k not in groups], *[f"_o_{s}" for s in sums])
 
 
 def rows_at_ranks(df: DataFrame, order_by: OrderSpec, weight: str, ranks: Column,

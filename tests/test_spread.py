@@ -34,9 +34,10 @@ def test_the_basetable_is_written_in_more_tasks_for_more_input(spark, monkeypatc
     assert train.count() == train.select("order_id").distinct().count() > 0
 
 
-def test_tasks_of_a_curve_do_not_grow_with_its_scores(spark, monkeypatch):
+@pytest.mark.parametrize("kind", ["int", "double"])  # a window normalises floating keys
+def test_tasks_of_a_curve_do_not_grow_with_its_scores(spark, monkeypatch, kind):
     df = spark.range(20_000).select((F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1e6).alias("score"),
-                                    (F.col("id") % 3 == 0).cast("int").alias("label"), (F.col("id") % 2).alias("part"))
+                                    (F.col("id") % 3 == 0).cast("int").alias("label"), (F.col("id") % 2).cast(kind).alias("part"))
     rows = lambda d: sorted(tuple(r) for r in d.collect())
     how = {"split_col": "part"}
     before = [rows(MT.lift_points(df, **how)), rows(MT.roc_points(df, **how)), rows(MT.auc_roc(df, **how))]
