@@ -20,6 +20,30 @@ def test_partitions_grow_with_the_input_and_settings_return(spark):
         assert (spark.conf.get(PARTS), spark.conf.get(SHARE, None)) == before
 
 
+@pytest.fixture
+def unset(spark):
+    """A session without a number of shuffle partitions of its own: Spark's default holds."""
+    before = spark.conf.get(PARTS)
+    spark.conf.unset(PARTS)
+    yield int(spark.conf.get(PARTS))
+    spark.conf.set(PARTS, before)
+
+
+def test_a_session_without_settings_has_the_default_of_spark(spark, unset):
+    for size, wanted in ((0, unset), (1000 * SE.INPUT_SHARE + 1, 1001)):
+        with SE.spread(spark, size) as parts:
+            assert parts == wanted == int(spark.conf.get(PARTS))
+        assert spark.conf.get(PARTS, None) is None
+
+
+@pytest.mark.parametrize("key", ["basetable_train", "auc_pr"])
+def test_queries_run_in_a_session_without_settings(spark, unset, monkeypatch, key):
+    from orderlens.plans.registry import QUERIES
+    monkeypatch.setattr(B, "_MATERIALIZED", {})
+    assert QUERIES[key](spark, SF_SMALL).count() > 0
+    assert spark.conf.get(PARTS, None) is None
+
+
 def test_the_basetable_is_written_in_more_tasks_for_more_input(spark, monkeypatch):
     seen = {}
 
