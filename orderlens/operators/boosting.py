@@ -10,10 +10,11 @@ driver. It returns MLlib's own ``GBTClassificationModel``. ``fit_classes`` fits
 from __future__ import annotations
 
 import json
+import sys
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any, Sequence
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 
 from orderlens.session import scratch_path
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # task functions call each other: workers need not have the package
+
 BLOCK_ROWS = 65_536
 WORTH = 1_000_000  # rows times classes from which blocks are quicker than MLlib's own fit (two jobs a level whatever the rows)
 HIST_CELLS = 16_384  # of one joint histogram, so that it stays in a core's cache

@@ -1,7 +1,11 @@
 """Boosted trees fitted on blocks: the same models as MLlib, all classes of one-vs-rest in the same jobs."""
 
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -91,3 +95,23 @@ def test_rows_of_one_label_end_at_the_root(rows):
     same = rows.withColumn("label", F.lit(1.0))
     model = BO.BlockGBTClassifier(maxIter=2, maxDepth=3).fit(same)
     assert [t.numNodes for t in model.trees] == [1, 1] and (margins(model, same) > 1).all()
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """Workers do not share the driver's ``sys.path``: task functions bring what they call."""
+    tree, widths = (np.zeros(4, "i4"), np.full(4, BO.LEAF, "u1")), [2, 3]
+    tasks = {"pack": BO._pack([np.array([0.5]), np.array([1.0, 2.0])], [1.0], [0.0, 1.0]),
+             "histograms": BO._histograms([tree], [np.array([1])], 0, 0, widths), "best": BO._best(widths, 1),
+             "add": BO._add_trees([tree], [np.array([0.25, 0.5])], 1, 0.5, 2)}
+    (tmp_path / "tasks").write_bytes(cloudpickle.dumps(tasks))
+    worker = """
+import sys, pyarrow as pa
+from pyspark import cloudpickle
+tasks = cloudpickle.loads(open(sys.argv[1], "rb").read())
+rows = pa.RecordBatch.from_arrays([pa.array([1.0, 0.0, 1.0]), pa.array([[0.0, 1.5], [1.0, 3.0], [0.0, 1.0]])], names=["y", "x"])
+blocks = list(tasks["pack"]([rows]))
+n = tasks["best"](tasks["histograms"](blocks))
+print([b.num_rows for b in tasks["add"](blocks)], next(n).column("n").to_pylist(), "orderlens" in sys.modules)
+"""
+    done = subprocess.run([sys.executable, "-I", "-c", worker, str(tmp_path / "tasks")], cwd="/", capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == "[1] [3.0] False", done.stderr
