@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StringType
 
 from orderlens import functions as X
-from orderlens.session import materialize
+from orderlens.session import apart, materialize
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Fixed values of the reference's missing-data encodings.
@@ -92,10 +92,11 @@ def clean_orders_profiled(df: DataFrame, ts_cols: list[str], num_cols: list[str]
     """``clean_orders`` written to the shared folder, and its NULL profile ``(stage, column, nulls, rows)`` before and
     after. Both profiles are observed while the cleaned table is written, so the orders are read once."""
     before, after = Observation("before"), Observation("after")
+    spark, df = df.sparkSession, apart(df)
     cleaned = clean_orders(df.observe(before, *_nulls(df)), ts_cols, num_cols, sentinel)
-    written = materialize(cleaned.observe(after, *_nulls(cleaned)), "clean-orders")
+    written = materialize(cleaned.observe(after, *_nulls(cleaned)), "clean-orders", reader=spark)
     rows = [(stage, c, n, seen["rows"]) for stage, seen in (("before", before.get), ("after", after.get)) for c, n in seen.items() if c != "rows"]
-    return written, df.sparkSession.createDataFrame(rows, "stage string, column string, nulls bigint, rows bigint")
+    return written, spark.createDataFrame(rows, "stage string, column string, nulls bigint, rows bigint")
 
 
 def null_profile(df: DataFrame) -> DataFrame:

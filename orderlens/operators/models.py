@@ -12,7 +12,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any, Sequence
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
                                        OneVsRest, OneVsRestModel, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -93,6 +93,16 @@ def evaluate(pred: DataFrame, metric: str) -> float:
     return MulticlassClassificationEvaluator(metricName=metric).evaluate(pred)
 
 
+def without_summary(model: Any) -> Any:
+    """``model`` without the training summaries that MLlib leaves in it: they refer to the training data and its session, go
+    along with every task that scores, and fail to be serialized once that session has observed a metric."""
+    none = SparkContext._active_spark_context._jvm.scala.Option.apply(None)
+    for m in getattr(model, "models", [model]):
+        if getattr(m, "hasSummary", False):
+            m._java_obj.setSummary(none)
+    return model
+
+
 def leaderboard(train: DataFrame, valid: DataFrame, estimators: dict[str, Any],
                 metrics: Sequence[str] = BINARY_METRICS, parallelism: int | None = None) -> tuple[DataFrame, dict[str, Any]]:
     """Fit every estimator on ``train``, score ``valid``; one row per model with one
@@ -105,7 +115,7 @@ def leaderboard(train: DataFrame, valid: DataFrame, estimators: dict[str, Any],
 
     def fit_one(item):
         name, est = item
-        model = est.fit(train)
+        model = without_summary(est.fit(train))
         # Scored once, read by every metric (MEMORY_AND_DISK: recomputable on loss).
         pred = model.transform(valid).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -186,7 +196,7 @@ def ovr_fit(train: DataFrame, classifier: Any, first: int = FIRST_CLASS) -> Any:
         most = int(rows.agg(F.max(classifier.getLabelCol())).first()[0])
         models = fit_classes(classifier, rows, [float(c) for c in range(most + 1)], range(most + 1))
         return OneVsRest(classifier=classifier)._copyValues(OneVsRestModel(models=models))
-    return OneVsRest(classifier=classifier, parallelism=fits_at_once(rows, OVR_PARALLELISM)).fit(rows)
+    return without_summary(OneVsRest(classifier=classifier, parallelism=fits_at_once(rows, OVR_PARALLELISM)).fit(rows))
 
 
 def ovr_transform(model: OneVsRestModel, df: DataFrame) -> DataFrame:

@@ -149,8 +149,20 @@ def spread(spark: SparkSession, input_bytes: int) -> Iterator[int]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` in a session of its own with the same settings, for observed metrics: a session that has observed any holds an
+    object that cannot be serialized, and MLlib models whose training summary refers to that session fail in every task."""
+    spark = df.sparkSession
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    plan = df._jdf.queryExecution().analyzed()
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(own._jsparkSession, plan), own)
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, reader: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back (in the session ``reader`` if given).
 
     Cuts lineage (a lost executor re-reads files instead of recomputing the plan) and,
     unlike ``checkpoint()``, keeps column pruning and filter pushdown for readers (and
@@ -162,7 +174,7 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    return (reader or spark).read.parquet(path)
 
 
 def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:

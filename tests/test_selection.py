@@ -165,6 +165,26 @@ def test_profiles_are_observed_in_one_pass(spark):
                                                      ("after", "id", 0, 1), ("after", "t", 0, 1), ("after", "n", 0, 1)}
 
 
+def test_models_score_after_profiles_were_observed(spark, labelled):
+    binary = labelled.withColumn("label", (F.col("label") > 1).cast("int"))
+    model = LinearSVC(maxIter=2).fit(binary)
+    C.clean_orders_profiled(spark.sql("SELECT 1 AS id, TIMESTAMP '2020-01-01 00:00:00' AS t, 2 AS n"), ["t"], ["n"])
+    assert 0 <= model.transform(binary).agg(F.sum("prediction")).first()[0] <= 400
+
+
+def test_models_score_in_a_session_that_has_observed(spark, labelled):
+    from pyspark.sql import Observation
+    own = spark.newSession()  # other tests go on in the shared one
+    rows = own.createDataFrame([(r["order_id"], r["label"], r["features"]) for r in labelled.collect()], ["order_id", "label", "features"])
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).count()
+    assert seen.get == {"n": 400}
+    binary = rows.withColumn("label", (F.col("label") > 1).cast("int"))
+    board, _ = MO.leaderboard(binary, binary, {"svc": LinearSVC(maxIter=3), "lr": LogisticRegression(maxIter=3)})
+    assert all(0.5 < r["areaUnderROC"] <= 1 for r in board.collect())
+    assert MO.ovr_scores(MO.ovr_fit(rows, LogisticRegression(maxIter=3)), rows).count() == 400
+
+
 def test_large_tables_are_fitted_by_fewer_models_at_a_time(spark, labelled, monkeypatch):
     assert MO.fits_at_once(labelled, 5) == 5
     whole = [m.coefficients.toArray() for m in MO.ovr_fit(labelled, LogisticRegression()).models]
