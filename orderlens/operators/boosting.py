@@ -26,6 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # task functions ca
 
 BLOCK_ROWS = 65_536
 WORTH = 1_000_000  # rows times classes from which blocks are quicker than MLlib's own fit (two jobs a level whatever the rows)
+HIST_SHARE = 256 * 2 ** 10  # bytes of added-up histograms that one task searches for splits: less is not worth a task
 HIST_CELLS = 16_384  # of one joint histogram, so that it stays in a core's cache
 LEAF = 255  # a threshold that no bin exceeds: rows of a leaf go left to the last level
 FLAT = 1e-12  # share of a node's variance below which a gain is rounding
@@ -300,7 +301,8 @@ def _grow(blocks: DataFrame, trees: Sequence[_Tree], round_: int, widths: Sequen
     nodes = [[1] for _ in trees]
     for level in range(trees[0].depth):
         task = _histograms([(t.feature, t.cut) for t in trees], [np.array(sorted(v), "i8") for v in nodes], level, round_, widths)
-        hist = blocks.mapInArrow(task, _HIST).repartition(max(1, min(parts, sum(map(len, nodes)))), "cls", "node")
+        tasks = -(-sum(map(len, nodes)) * sum(widths) * 16 // HIST_SHARE)  # a count and a sum a bin
+        hist = blocks.mapInArrow(task, _HIST).repartition(max(1, min(parts, tasks)), "cls", "node")
         found = hist.mapInArrow(_best(widths, least), _SPLIT).toArrow().to_pydict()  # one row for each open node
         nodes = [[] for _ in trees]
         for c, i, n, s, f, b, gain, n_left, s_left, sq in zip(*found.values()):
